@@ -60,7 +60,14 @@ def title_words(c: Column) -> Column:
     Unlike ``initcap``, punctuation starts a new word too: ``o'neil`` -> ``O'Neil``.
     """
     runs = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))), "")
+    return F.array_join(F.transform(runs, _capital), "")
+
+
+def _capital(word: Column) -> Column:
+    first = F.substring(word, 1, 1)
+    # a letter whose capital is two letters long stays as it is
+    capital = F.when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(first)
+    return F.concat(capital, word.substr(F.lit(2), F.length(word)))
 
 
 def clean_name(c: Column) -> Column:

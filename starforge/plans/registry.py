@@ -16,14 +16,14 @@ CHECK_SQL: dict[str, str] = {}
 def query(key: str, sql: str | None = None, doubles: str = "", bigints: str = ""):
     """Register a function ``Tables -> DataFrame`` under ``key``; ``sql`` is its check.
 
-    Results are reported as doubles and bigints; ``doubles`` and ``bigints`` list the columns
-    of the check that have to be cast for that.
+    Results are reported as doubles and bigints.  ``doubles`` names further columns to report
+    as double on both sides (integers that may be NULL), ``bigints`` columns of the check only.
     """
 
     def register(fn):
         if key in QUERIES:
             raise ValueError(f"query {key} registered twice")
-        QUERIES[key] = fn
+        QUERIES[key] = lambda t: presented(fn(t), doubles.split())
         if sql is not None:
             CHECK_SQL[key] = _cast_columns(with_views(sql), doubles.split(), bigints.split())
         return fn
@@ -36,10 +36,10 @@ def _cast_columns(sql: str, doubles: list[str], bigints: list[str]) -> str:
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
 
 
-def presented(df: DataFrame) -> DataFrame:
+def presented(df: DataFrame, doubles: list[str]) -> DataFrame:
     """Decimals and floats as double, small integers as bigint."""
     widths = {"decimal": "double", "float": "double", "tinyint": "bigint", "smallint": "bigint", "int": "bigint"}
-    target = {n: widths.get(t.split("(")[0]) for n, t in df.dtypes}
+    target = {n: "double" if n in doubles else widths.get(t.split("(")[0]) for n, t in df.dtypes}
     if not any(target.values()):
         return df
     return df.select(*[df[n].cast(w).alias(n) if w else df[n] for n, w in target.items()])
@@ -68,7 +68,7 @@ def with_views(sql: str) -> str:
 
 
 def bound(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: presented(fn(Tables(spark, sf_dir)))
+    return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -92,4 +92,8 @@ def load_catalog() -> None:
 CATALOG = (
     "filters",
     "aggregates",
+    "joins",
+    "window_queries",
+    "sets",
+    "scalars",
 )
