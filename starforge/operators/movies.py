@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from starforge.functions import columns as c
 from starforge.operators.relational import mean
-from starforge.operators.star import dim_release_date
+from starforge.operators.star import calendar, dim_release_date
 from starforge.operators.windows import dense_key, top_n_per
 
 col = F.col
@@ -128,7 +128,7 @@ def build(raw: DataFrame, calendar_end: dt.date = dt.date(2026, 12, 31)) -> Movi
         named["Language"][0],
         named["Rated"][0],
         genre,
-        dim_release_date(raw.sparkSession, calendar_end),
+        dim_release_date(calendar(raw.sparkSession, dt.date(1900, 1, 1), calendar_end)),
         bridge_movie_genre(raw, movie, genre),
         fact_movie(raw, named, movie),
     )

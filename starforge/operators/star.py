@@ -17,14 +17,25 @@ col = F.col
 # --------------------------------------------------------------------------- generated dimensions
 
 
-def _calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """All days from ``start`` to ``end``."""
     days = F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
     return spark.range(1).select(F.explode(days).alias("full_date"))
 
 
-def dim_date(spark: SparkSession, start: dt.date = dt.date(2023, 1, 1), end: dt.date = dt.date(2026, 12, 31)) -> DataFrame:
+def calendar_over(df: DataFrame, ts: str) -> DataFrame:
+    """All days of the years that ``ts`` touches."""
+    first = F.make_date(F.year(F.min(ts)), F.lit(1), F.lit(1))
+    last = F.make_date(F.year(F.max(ts)), F.lit(12), F.lit(31))
+    return df.agg(first.alias("a"), last.alias("b")).select(
+        F.explode(F.expr("sequence(a, b, INTERVAL 1 DAY)")).alias("full_date")
+    )
+
+
+def dim_date(days: DataFrame) -> DataFrame:
+    """Calendar dimension over a table of days."""
     d = col("full_date")
-    return _calendar(spark, start, end).select(
+    return days.select(
         c.date_key(d).alias("date_key"),
         "full_date",
         F.year(d).cast("smallint").alias("year"),
@@ -38,9 +49,10 @@ def dim_date(spark: SparkSession, start: dt.date = dt.date(2023, 1, 1), end: dt.
     )
 
 
-def dim_release_date(spark: SparkSession, end: dt.date, start: dt.date = dt.date(1900, 1, 1)) -> DataFrame:
+def dim_release_date(days: DataFrame) -> DataFrame:
+    """Calendar dimension with decades."""
     d = col("full_date")
-    return _calendar(spark, start, end).select(
+    return days.select(
         c.date_key(d).alias("date_key"),
         "full_date",
         F.year(d).alias("year"),
@@ -248,22 +260,47 @@ class Lookups:
     promo_code: DataFrame
 
 
-def dimension_lookups(t, start: dt.date = dt.date(1995, 1, 1), end: dt.date = dt.date(2000, 12, 31)) -> Lookups:
+def etl_lookups(raw, days: DataFrame) -> Lookups:
     """Dimensions over the raw tables, reduced to id and key."""
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
         return dense_key(df.select(f"{name}_id"), [f"{name}_id"], f"{name}_key")
 
     return Lookups(
-        dim_date(t.spark, start, end).select("date_key"),
-        keyed(t.drivers, "driver"),
-        keyed(t.passengers, "passenger"),
-        keyed(t.locations, "location"),
-        keyed(t.payment_methods, "payment_method"),
-        keyed(t.promo_codes, "promo_code"),
+        dim_date(days).select("date_key"),
+        keyed(raw.drivers, "driver"),
+        keyed(raw.passengers, "passenger"),
+        keyed(raw.locations, "location"),
+        keyed(raw.payment_methods, "payment_method"),
+        keyed(raw.promo_codes, "promo_code"),
     )
 
 
+def marts(raw, as_of: Column, days: DataFrame) -> dict[str, DataFrame]:
+    """Staging projections and the marts built on them, by table name."""
+    stg = {
+        "stg_drivers": stg_drivers(raw.drivers),
+        "stg_passengers": stg_passengers(raw.passengers),
+        "stg_locations": stg_locations(raw.locations),
+        "stg_payment_methods": stg_payment_methods(raw.payment_methods),
+        "stg_promo_codes": stg_promo_codes(raw.promo_codes),
+        "stg_trips": stg_trips(raw.trips),
+    }
+    dims = {
+        "dim_driver": dim_driver(stg["stg_drivers"], as_of),
+        "dim_passenger": dim_passenger(stg["stg_passengers"]),
+        "dim_location": dim_location(stg["stg_locations"], "listed"),
+        "dim_payment_method": dim_payment_method(stg["stg_payment_methods"]),
+        "dim_promo_code": dim_promo_code(stg["stg_promo_codes"]),
+    }
+    return {**stg, **dims, "fact_trips": fact_trips_marts(stg["stg_trips"], mart_lookups(dims, days))}
+
+
+def mart_lookups(dims: dict[str, DataFrame], days: DataFrame) -> Lookups:
+    names = ("driver", "passenger", "location", "payment_method", "promo_code")
+    return Lookups(days, *[dims[f"dim_{n}"].select(f"{n}_id", f"{n}_key") for n in names])
+
+
 def resolve_trips(trips: DataFrame, dims: Lookups) -> DataFrame:
     """Trips with their dimension keys and measures; ``skip_reason`` names the first key that is missing.
 

@@ -220,7 +220,8 @@ def agg_18(t):
 )
 def flagship(t):
     """Resolve every trip against the dimensions, then score the drivers over the trips that resolve."""
-    dims = star.dimension_lookups(t)
+    days = star.calendar(t.spark, dt.date(1995, 1, 1), dt.date(2000, 12, 31))
+    dims = star.etl_lookups(t, days)
     resolved = star.resolve_trips(t.trips, dims)
     good = resolved.where(col("skip_reason").isNull())
     return r.scorecard(t.drivers, good)

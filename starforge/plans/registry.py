@@ -96,4 +96,6 @@ CATALOG = (
     "window_queries",
     "sets",
     "scalars",
+    "star_schema",
+    "movie_star",
 )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from starforge.operators import movies, star
+from starforge.operators import movies
 from starforge.operators import windows as w
 from starforge.plans.registry import query
 
