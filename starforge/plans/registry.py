@@ -98,4 +98,7 @@ CATALOG = (
     "scalars",
     "star_schema",
     "movie_star",
+    "loading",
+    "sourcing",
+    "quality_checks",
 )
