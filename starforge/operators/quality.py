@@ -18,16 +18,20 @@ class DataQualityError(Exception):
 
 @dataclass(frozen=True)
 class Rule:
-    """``bad`` holds for the rows that break the rule; an unknown result does not break it."""
+    """``bad`` holds for the rows that break the rule; an unknown result does not break it.
+
+    It may be a column or a SQL condition.
+    """
 
     name: str
-    bad: Column | None = None
+    bad: Column | str | None = None
     at_least: int | None = None  # minimum number of rows, instead of a row condition
 
     def failures(self) -> Column:
         if self.at_least is not None:
             return F.greatest(F.lit(self.at_least) - F.count(F.lit(1)), F.lit(0))
-        return F.count_if(F.coalesce(self.bad, F.lit(False)))
+        bad = F.expr(self.bad) if isinstance(self.bad, str) else self.bad
+        return F.count_if(F.coalesce(bad, F.lit(False)))
 
 
 def min_rows(n: int = 1) -> Rule:
@@ -50,7 +54,7 @@ def accepted(column: str, values: Sequence) -> Rule:
     return Rule(f"accepted_values_{column}", ~col(column).isin(*values))
 
 
-def no_rows(name: str, bad: Column) -> Rule:
+def no_rows(name: str, bad: Column | str) -> Rule:
     return Rule(name, bad)
 
 
@@ -131,7 +135,7 @@ class Suite:
     """
 
     tests: dict[str, dict[str, list]]
-    conditions: dict[str, dict[str, Column]]
+    conditions: dict[str, dict[str, Column | str]]
 
 
 def run_suite(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:

@@ -97,7 +97,8 @@ def agg_6(t):
     return r.rated_counts(t.rides, "rating")
 
 
-_OUTCOMES = dict(completed=col("status") == "completed", cancelled=col("status") == "cancelled")
+def _outcomes():
+    return dict(completed=col("status") == "completed", cancelled=col("status") == "cancelled")
 
 
 @query(
@@ -106,7 +107,7 @@ _OUTCOMES = dict(completed=col("status") == "completed", cancelled=col("status")
               count(trip_id) FILTER (WHERE status = 'cancelled') AS cancelled FROM trips GROUP BY driver_id""",
 )
 def agg_7(t):
-    return r.count_where(t.trips, "driver_id", **_OUTCOMES)
+    return r.count_where(t.trips, "driver_id", **_outcomes())
 
 
 @query(
@@ -115,7 +116,7 @@ def agg_7(t):
               count(CASE WHEN status = 'cancelled' THEN 1 END) AS cancelled FROM trips GROUP BY driver_id""",
 )
 def agg_8(t):
-    return r.count_case(t.trips, "driver_id", **_OUTCOMES)
+    return r.count_case(t.trips, "driver_id", **_outcomes())
 
 
 @query("agg_9", SCORECARD_SQL.format(on="AND t.requested_at >= TIMESTAMP '2001-07-25 00:00:00'"), doubles="avg_rating cancellation_rate")

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starforge.plans.bindings import CHECK_VIEWS, Tables
+from starforge.session import ship_package
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -68,7 +69,11 @@ def with_views(sql: str) -> str:
 
 
 def bound(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(Tables(spark, sf_dir))
+
+    return run
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -101,4 +106,6 @@ CATALOG = (
     "loading",
     "sourcing",
     "quality_checks",
+    "texts",
+    "retrieval",
 )

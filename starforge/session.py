@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "starforge"), "zip", root, "starforge")
+    sc.addPyFile(archive)  # the driver hands the archive to the executors
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
