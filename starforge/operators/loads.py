@@ -28,9 +28,14 @@ def _one_per_key(src: DataFrame, keys: list[str], order: list[str]) -> tuple[Dat
 
 
 def new_rows(target: DataFrame, src: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Source rows whose key the target lacks; of several with one key, the first."""
+    """Source rows whose key the target lacks; of several with one key, the first.
+
+    The target is first reduced to the keys the source holds.  For a small source that is a
+    scan of its key column, without a shuffle of the target.
+    """
     first, keyless = _one_per_key(src, keys, order)
-    return first.join(target.select(*keys), keys, "left_anti").select(*src.columns).unionByName(keyless)
+    known = target.select(*keys).join(src.select(*keys), keys, "left_semi")
+    return first.join(known, keys, "left_anti").select(*src.columns).unionByName(keyless)
 
 
 def insert_new(target: DataFrame, src: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

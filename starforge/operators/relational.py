@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions.columns import percent_of
@@ -170,17 +170,14 @@ def full_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def not_in(a: DataFrame, b: DataFrame, column: str, other: str | None = None) -> DataFrame:
     """``column NOT IN (SELECT other FROM b)``: empty as soon as ``b`` holds a NULL.
 
-    The NULL test is one cheap aggregate; what remains is an ordinary anti join, which
-    needs no copy of ``b`` on every executor.
+    The NULL test is a scalar subquery over one column; what remains is an ordinary anti join,
+    which needs no copy of ``b`` on every executor.
     """
     other = other or column
-    found = b.agg(
-        F.count(F.lit(1)).alias("_n"), F.coalesce(F.bool_or(F.col(other).isNull()), F.lit(False)).alias("_null")
-    )
+    n_rows = b.agg(F.count(F.lit(1))).scalar()
+    n_null = b.agg(F.count_if(F.col(other).isNull())).scalar()
     kept = a.join(b.select(F.col(other).alias(column)), column, "left_anti").select(*a.columns)
-    # one row is joined to every row: a constant, not a pairing
-    flagged = kept.join(F.broadcast(found), F.lit(True))
-    return flagged.where(~F.col("_null") & (F.col(column).isNotNull() | (F.col("_n") == 0))).drop("_n", "_null")
+    return kept.where((n_null == 0) & (F.col(column).isNotNull() | (n_rows == 0)))
 
 
 def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -198,9 +195,15 @@ def join_clean_key(a: DataFrame, b: DataFrame, cleaned: Column, key: str, how: s
     return a.withColumn(key, cleaned).join(b, key, how)
 
 
-def cross(a: DataFrame, b: DataFrame) -> DataFrame:
-    """All combinations of two generated series."""
-    return a.crossJoin(b)
+def cross_series(spark: SparkSession, **series: tuple[int, int, int]) -> DataFrame:
+    """All combinations of generated integer series, given as (first, last, step).
+
+    Each series is unfolded in place, so no join is needed.
+    """
+    df = spark.range(1)
+    for name, (first, last, step) in series.items():
+        df = df.withColumn(name, F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(step))))
+    return df.drop("id")
 
 
 def look_up(df: DataFrame, dim: DataFrame, on: dict[str, str], out: dict[str, str]) -> DataFrame:
@@ -243,9 +246,8 @@ def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
 
 
 def above_average(df: DataFrame, column: str) -> DataFrame:
-    """Rows above the overall average; the average is one row, whatever the data size."""
-    mean = df.agg(F.avg(column).alias("_mean"))
-    return df.join(F.broadcast(mean), F.col(column) > F.col("_mean")).drop("_mean")
+    """Rows above the overall average, which is computed once as a scalar subquery."""
+    return df.where(F.col(column) > df.agg(mean(column)).scalar())
 
 
 def rows_at_group_max(df: DataFrame, key: str, column: str) -> DataFrame:

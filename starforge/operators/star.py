@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
-from starforge.operators.relational import join_null_safe, look_up
+from starforge.operators.relational import cross_series, join_null_safe, look_up
 from starforge.operators.windows import dense_key
 
 col = F.col
@@ -63,11 +63,9 @@ def dim_release_date(days: DataFrame) -> DataFrame:
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
-    hours = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    minutes = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(45), F.lit(15))).alias("minute_bucket"))
+    """The 96 quarters of an hour of a day."""
     h, m = col("hour"), col("minute_bucket")
-    # 24 x 4 rows, whatever the data size
-    return hours.crossJoin(minutes).select(
+    return cross_series(spark, hour=(0, 23, 1), minute_bucket=(0, 45, 15)).select(
         (h * 100 + m).alias("time_key"),
         h.cast("smallint").alias("hour"),
         m.cast("smallint").alias("minute_bucket"),
@@ -374,7 +372,8 @@ def fact_trips_marts(stg: DataFrame, dims: Lookups, number: bool = True) -> Data
         .alias("duration_minutes"),
         F.lit(1).alias("trip_count"), "driver_rating", "passenger_rating", "surge_multiplier", "requested_at",
     )
-    return dense_key(fact, ["source_trip_id"], "trip_key") if number else fact
+    # the joins are on unique ids and only drop trips
+    return dense_key(fact, ["source_trip_id"], "trip_key", bound=stg) if number else fact
 
 
 def v_trips(trips: DataFrame, cancellations: DataFrame) -> DataFrame:

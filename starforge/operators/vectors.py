@@ -8,8 +8,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from starforge.operators import loads
 from starforge.operators.windows import top_n_per
@@ -94,40 +97,52 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
-def _search_block(index: DataFrame, block: pd.DataFrame, id_: str, vector: str, k: int, cells: list | None, query_type: str) -> DataFrame:
+def _search_block(
+    index: DataFrame, block: pd.DataFrame, id_: str, vector: str, k: int, cells: list | None, query_type: DataType
+) -> DataFrame:
     """Best ``k`` of one block of queries.
 
-    Each batch of the index is multiplied with the block and only its best ``k`` per query
-    leave the task, so what is shuffled grows with tasks, not with pairs.
+    A task multiplies its batches with the block and keeps the best ``k`` per query, so what
+    is shuffled grows with the number of tasks, not with the index.
     """
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast((block["query_id"].tolist(), unit_rows(_matrix(block["vector"])), cells))
-    id_type = index.schema[id_].dataType.simpleString()
+    sc = index.sparkSession.sparkContext
+    shared = sc.broadcast((block["query_id"].tolist(), unit_rows(_matrix(block["vector"])), cells))
+    id_type = index.schema[id_].dataType
+    arrow_types = to_arrow_type(query_type), to_arrow_type(id_type)
     columns = [id_, vector] + (["cell"] if cells is not None else [])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, queries, probed = shared.value
+        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
         for batch in batches:
-            if not len(batch):
+            lists = batch.column(vector)
+            if not batch.num_rows:
                 continue
-            ids = batch[id_].to_numpy()
-            rows = _matrix(batch[vector])
+            rows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            ids = batch.column(id_).to_numpy(zero_copy_only=False)
             lengths = np.linalg.norm(rows, axis=1)
             usable = lengths > 0  # a vector of zeros has no direction
             ids, rows = ids[usable], rows[usable] / lengths[usable, None]
-            cell = batch["cell"].to_numpy()[usable] if probed is not None else None
-            found = []
+            cell = batch.column("cell").to_numpy(zero_copy_only=False)[usable] if probed is not None else None
             for start in range(0, len(names), 256):
                 scores = queries[start : start + 256] @ rows.T
-                for i, s in enumerate(scores):
-                    at = np.arange(len(s)) if probed is None else np.flatnonzero(np.isin(cell, probed[start + i]))
-                    best = at[_best(s[at], ids[at], k)]
-                    found.append(pd.DataFrame({"query_id": names[start + i], id_: ids[best], "score": s[best]}))
-            if found:
-                yield pd.concat(found)
-
-    schema = f"query_id {query_type}, {id_} {id_type}, score double"
-    partial = index.select(*columns).mapInPandas(score, schema)
+                for q, s in enumerate(scores, start):
+                    at = slice(None) if probed is None else np.isin(cell, probed[q])
+                    found_s, found_i = s[at], ids[at]
+                    if best[q] is not None:
+                        found_s = np.concatenate([best[q][0], found_s])
+                        found_i = np.concatenate([best[q][1], found_i])
+                    top = _best(found_s, found_i, k)
+                    best[q] = (found_s[top], found_i[top])
+        for name, hit in zip(names, best):
+            if hit is not None and len(hit[0]):
+                names_column = pa.array([name] * len(hit[0]), arrow_types[0])
+                yield pa.RecordBatch.from_arrays(
+                    [names_column, pa.array(hit[1], arrow_types[1]), pa.array(hit[0])], ["query_id", id_, "score"]
+                )
+
+    schema = f"query_id {query_type.simpleString()}, {id_} {id_type.simpleString()}, score double"
+    partial = index.where(col(vector).isNotNull()).select(*columns).mapInArrow(search, schema)
     return top_n_per(partial, ["query_id"], ["-score", id_], k, "rank")
 
 
@@ -153,14 +168,16 @@ def top_k_cosine(
     ``where`` restricts the index before ranking.
     """
     candidates = index if where is None else index.where(where)
-    query_type = queries.schema[query_id].dataType.simpleString()
+    query_type = queries.schema[query_id].dataType
     parts = [
         _search_block(candidates, b, id_, vector, k, None, query_type)
         for b in _query_blocks(queries, query_id, vector, block)
     ]
     if not parts:
         id_type = index.schema[id_].dataType.simpleString()
-        return index.sparkSession.createDataFrame([], f"query_id {query_type}, {id_} {id_type}, score double, rank long")
+        return index.sparkSession.createDataFrame(
+            [], f"query_id {query_type.simpleString()}, {id_} {id_type}, score double, rank long"
+        )
     return _union(parts)
 
 
@@ -210,7 +227,7 @@ def approx_top_k(
 
     Scores are exact.  Queries whose cells hold fewer than ``k`` vectors are answered exactly.
     """
-    query_type = queries.schema[query_id].dataType.simpleString()
+    query_type = queries.schema[query_id].dataType
     parts = []
     for b in _query_blocks(queries, query_id, vector, block):
         probed = [_probes(int(c), bits, radius) for c in _cells(_matrix(b["vector"]), bits, seed)]

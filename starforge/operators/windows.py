@@ -23,6 +23,8 @@ _TASK, _POS = "_task", "_pos"
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows of the most frequent key; counted per input task before the shuffle."""
+    if not keys:
+        return df.count()
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
 
@@ -83,10 +85,20 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, li
     )
 
 
-def dense_key(df: DataFrame, order: list[str], name: str, limit: int | None = None, start: int = 0) -> DataFrame:
-    """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique."""
+def dense_key(
+    df: DataFrame,
+    order: list[str],
+    name: str,
+    limit: int | None = None,
+    start: int = 0,
+    bound: DataFrame | None = None,
+) -> DataFrame:
+    """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique.
+
+    ``bound`` is a table with at least as many rows that is cheaper to count.
+    """
     limit = GROUP_LIMIT if limit is None else limit
-    if df.count() <= limit:
+    if (df if bound is None else bound).count() <= limit:
         w = Window.orderBy(*order_by(*order))
         return df.withColumn(name, F.row_number().over(w).cast("bigint") + F.lit(start))
     placed = spread(df, [], order)
@@ -110,7 +122,7 @@ def ranked(df: DataFrame, order: str, rank: str = "rnk", dense: str = "dense_rnk
     column = order.lstrip("-")
     values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     numbered = dense_key(values, [order], dense, limit)
-    ranks = running(numbered, [], [dense], {"_upto": F.sum("_n")}, limit, unique=True)
+    ranks = running(numbered, [], [dense], {"_upto": F.sum("_n")}, limit)
     ranks = ranks.select(column, dense, (F.col("_upto") - F.col("_n") + 1).alias(rank))
     return join_null_safe(df, ranks, [column])
 
@@ -121,15 +133,13 @@ def running(
     order: list[str],
     sums: dict[str, Column],
     limit: int | None = None,
-    unique: bool = False,
 ) -> DataFrame:
     """Running sums or counts per group; rows with equal order values share the total.
 
-    ``sums`` maps names to ``F.sum`` or ``F.count`` columns.  ``unique`` says that no two
-    rows of a group share an order value.
+    ``sums`` maps names to ``F.sum`` or ``F.count`` columns.
     """
     columns = [o.lstrip("-") for o in order]
-    if group and not is_heavy(df, group, limit) or not group and df.count() <= (GROUP_LIMIT if limit is None else limit):
+    if not is_heavy(df, group, limit):
         w = Window.partitionBy(*group).orderBy(*order_by(*order))
         return df.select(*df.columns, *[s.over(w).alias(n) for n, s in sums.items()])
     parts = {f"_p{i}": s for i, s in enumerate(sums.values())}
@@ -138,8 +148,7 @@ def running(
     placed = spread(steps, group, order)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     totals = placed.select(*placed.columns, *[F.sum(p).over(local).alias(f"{p}_l") for p in parts])
-    carry = carried(placed, group, **{f"{p}_c": F.sum(p) for p in parts})
-    # a sum of NULLs only is NULL; keep such groups by counting rows first
+    # rows are counted first, as the sum of a task may be NULL
     carry = carried(placed, group, _before=F.count(F.lit(1)), **{f"{p}_c": F.sum(p) for p in parts})
     totals = _add_carry(totals, carry, group)
     out = [
@@ -150,8 +159,6 @@ def running(
         for n, p in zip(sums, parts)
     ]
     totals = totals.select(*group, *columns, *out)
-    if unique:
-        return join_null_safe(df, totals, [*group, *columns])
     return join_null_safe(df, totals, [*group, *columns])
 
 

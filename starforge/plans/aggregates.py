@@ -172,7 +172,7 @@ def agg_14(t):
     default = c.now(dt.datetime(2000, 1, 1))
     mark = r.max_or(t.trips, "requested_at", default, "mark")
     empty = r.max_or(t.trips.where(col("status") == "unheard of"), "requested_at", default, "empty_mark")
-    return mark.join(F.broadcast(empty), F.lit(True))
+    return mark.select("mark", empty.scalar().alias("empty_mark"))
 
 
 @query(

@@ -56,10 +56,9 @@ def fil_5(t):
        FROM rides""",
 )
 def fil_6(t):
-    r = t.rides
-    unrated = r.where(col("rating").isNull()).agg(F.count(F.lit(1)).alias("unrated"))
-    rated = r.where(col("rating").isNotNull()).agg(F.count(F.lit(1)).alias("rated"))
-    return unrated.join(F.broadcast(rated), F.lit(True))
+    rated = t.rides.where(col("rating").isNotNull()).agg(F.count(F.lit(1))).scalar()
+    unrated = t.rides.where(col("rating").isNull()).agg(F.count(F.lit(1)).alias("unrated"))
+    return unrated.select("unrated", rated.alias("rated"))
 
 
 @query(

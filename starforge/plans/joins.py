@@ -159,7 +159,8 @@ def joi_12(t):
        GROUP BY h.n, m.n""",
 )
 def joi_13(t):
-    buckets = star.dim_time(t.spark).select("time_key", "hour", "minute_bucket")
+    buckets = r.cross_series(t.spark, hour=(0, 23, 1), minute_bucket=(0, 45, 15))
+    buckets = buckets.withColumn("time_key", col("hour") * 100 + col("minute_bucket"))
     used = t.trips.groupBy(c.quarter_hour_key(col("requested_at")).alias("time_key")).agg(
         F.count(F.lit(1)).alias("trips")
     )

@@ -107,9 +107,9 @@ def sub_3(t):
 )
 def sub_4(t):
     # new rows know their driver only by name; the id is looked up before they are appended
-    last = t.orders.agg(F.max("o_orderkey").alias("last"))
-    new = t.raw("supplier").join(F.broadcast(last), F.lit(True)).select(
-        (col("last") + 1 + col("s_suppkey")).alias("trip_id"), "s_name", F.lit("no_show").alias("status")
+    last = t.orders.agg(F.max("o_orderkey")).scalar()
+    new = t.raw("supplier").select(
+        (last + 1 + col("s_suppkey")).alias("trip_id"), "s_name", F.lit("no_show").alias("status")
     )
     resolved = r.scalar_lookup(new, t.drivers, ("s_name", "name"), "driver_id", "driver_id").drop("s_name")
     return t.trips.select("trip_id", "driver_id", "status").unionByName(resolved)

@@ -93,7 +93,17 @@ class Table:
             remove(self.spark, f"{self.path}/v{n}")
 
     def insert_new(self, src: DataFrame, keys: list[str], order: list[str]) -> None:
-        self.overwrite(loads.insert_new(self.read(), src, keys, order))
+        """Append the rows with new keys to the current version; nothing is rewritten.
+
+        A repeat after a crash adds only what is still missing.
+        """
+        versions = self._versions()
+        if not versions:
+            self.overwrite(loads.insert_new(src.limit(0), src, keys, order))
+            return
+        target = self.read()
+        fresh = loads.insert_new(target.limit(0), loads.new_rows(target, src, keys, order), keys, order)
+        append(fresh, f"{self.path}/v{versions[-1]}")
 
     def upsert(self, src: DataFrame, keys: list[str], update: list[str], order: list[str]) -> None:
         self.overwrite(loads.upsert(self.read(), src, keys, update, order))

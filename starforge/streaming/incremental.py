@@ -41,7 +41,7 @@ def run_load(table: Table, src: DataFrame, ts: str, keys: list[str], full_reload
         table.overwrite(loads.load_fact(target, src, keys, [ts], full_reload=True))
     else:
         newer = newer_than(src, ts, high_water(target, ts))
-        table.overwrite(loads.load_fact(target, newer, keys, [ts]))
+        table.insert_new(newer, keys, [ts])
 
 
 def stage_stream(stream: DataFrame, staging: Staging, checkpoint: str):
