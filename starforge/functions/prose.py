@@ -115,7 +115,7 @@ def chunk_text(text: str, limit: int = MAX_CHARS, overlap: int = OVERLAP_CHARS)
     if len(text) <= limit:
         return [text] if text else []
     segments = list(_segments(text, limit))
-    return segments[:1] + [f"{a[-overlap:]} {b}".strip() for a, b in pairwise(segments)]
+    return segments[:1] + [f"{a[max(len(a) - overlap, 0):]} {b}".strip() for a, b in pairwise(segments)]
 
 
 def chunks(c: Column, limit: int = MAX_CHARS, overlap: int = OVERLAP_CHARS) -> Column:
