@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Character classes that mean the same in every regex dialect used here.
 WORD = r"[\p{L}\p{N}_]"
+# Letters whose capital takes more than one letter.
+_LONG_CAPITALS = "".join(ch for ch in map(chr, range(0x10000)) if len(ch.title()) > 1)
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
@@ -57,17 +59,14 @@ def strip_spaces(c: Column) -> Column:
 def title_words(c: Column) -> Column:
     """Upper-case the first letter of each run of letters and digits, lower-case the rest.
 
-    Unlike ``initcap``, punctuation starts a new word too: ``o'neil`` -> ``O'Neil``.
+    ``initcap`` knows only the space as a separator, so a marked space is put before each
+    word that follows another separator, and taken out again.  It also writes some capitals
+    with two letters; such a first letter is shielded by a mark and stays as it is.
     """
-    runs = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-    return F.array_join(F.transform(runs, _capital), "")
-
-
-def _capital(word: Column) -> Column:
-    first = F.substring(word, 1, 1)
-    # a letter whose capital is two letters long stays as it is
-    capital = F.when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(first)
-    return F.concat(capital, word.substr(F.lit(2), F.length(word)))
+    mark, shield = "\u0001 ", "\u0002"
+    marked = F.regexp_replace(c, r"([^\p{L}\p{N} ])(?=[\p{L}\p{N}])", f"$1{mark}")
+    marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{N}}])(?=[{_LONG_CAPITALS}])", shield)
+    return F.translate(F.replace(F.initcap(marked), F.lit(mark), F.lit("")), shield, "")
 
 
 def clean_name(c: Column) -> Column:

@@ -16,12 +16,17 @@ from starforge.functions.markup import strip_html
 # --------------------------------------------------------------------------- redaction
 
 _START = f"(?<!{WORD})"
+# a digit that starts a word; the digit comes first as that is quickest to rule out
+_FIRST_DIGIT = rf"\p{{Nd}}(?<!{WORD}\p{{Nd}})"
 _EDGE = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
 # What is redacted, in this order, and what it is replaced by.
 REDACTIONS = [
-    (rf"{_START}(?:\p{{Nd}}[ -]*?){{13,16}}{_EDGE}", "[REDACTED_CARD]"),
-    (rf"{_START}\p{{Nd}}{{3}}(?:[-.]|{SPACE})\p{{Nd}}{{3}}(?:[-.]|{SPACE})\p{{Nd}}{{4}}(?!{WORD})", "[REDACTED_PHONE]"),
+    (rf"{_FIRST_DIGIT}[ -]*?(?:\p{{Nd}}[ -]*?){{12,15}}{_EDGE}", "[REDACTED_CARD]"),
+    (
+        rf"{_FIRST_DIGIT}\p{{Nd}}{{2}}(?:[-.]|{SPACE})\p{{Nd}}{{3}}(?:[-.]|{SPACE})\p{{Nd}}{{4}}(?!{WORD})",
+        "[REDACTED_PHONE]",
+    ),
     (r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+", "[REDACTED_EMAIL]"),
 ]
 
@@ -29,7 +34,9 @@ REDACTIONS = [
 def redact(c: Column) -> Column:
     """Replace card numbers, then phone numbers, then e-mail addresses."""
     for pattern, placeholder in REDACTIONS:
-        c = F.regexp_replace(c, pattern, placeholder)
+        replaced = F.regexp_replace(c, pattern, placeholder)
+        # most texts hold no address, which a search for one character shows
+        c = F.when(F.contains(c, F.lit("@")), replaced).otherwise(c) if "@" in pattern else replaced
     return c
 
 
@@ -47,12 +54,13 @@ ABBREVIATIONS = [("pls", "please"), ("Pls", "Please")]
 
 def _before(c: Column, pattern: str) -> Column:
     """Text before the first match, empty if there is none."""
-    return F.regexp_extract(c, rf"(?s)^(.*?){pattern}", 1)
+    parts = F.split(c, pattern, 2)
+    return F.when(F.size(parts) > 1, F.get(parts, 0)).otherwise("")
 
 
 def strip_signature(c: Column, min_pos: int = 15) -> Column:
     """Cut at the first sign-off phrase or ``--``, unless it starts within ``min_pos`` characters."""
-    phrase = _before(c, rf"(?iu:{_START}(?:{'|'.join(SIGN_OFFS)}){SPACE}*,)")
+    phrase = _before(c, rf"(?iu){_START}(?:{'|'.join(SIGN_OFFS)}){SPACE}*,")
     delimiter = _before(c, rf"{SPACE}--{SPACE}")
     cut_phrase, cut_delimiter = F.length(phrase) > min_pos, F.length(delimiter) > min_pos
     nearer = cut_phrase & (~cut_delimiter | (F.length(phrase) <= F.length(delimiter)))

@@ -46,18 +46,22 @@ class MovieStar:
     fact_movie: DataFrame
 
 
+def one_per_movie(raw: DataFrame) -> DataFrame:
+    """Repeats of a movie are reduced to the smallest record, so that a rerun picks the same one."""
+    rest = [name for name in raw.columns if name != "imdbID"]
+    return raw.groupBy("imdbID").agg(F.min(F.struct(*rest)).alias("_m")).select("imdbID", "_m.*")
+
+
 def dim_movie(raw: DataFrame) -> DataFrame:
     """One descriptive row per movie id."""
-    rows = raw.select(
+    rows = one_per_movie(raw).select(
         col("imdbID").alias("imdb_id"),
         c.known(col("Title")).alias("title"),
         c.known(col("Rated")).alias("rated"),
         c.known(col("Plot")).alias("plot"),
         c.known(col("Poster")).alias("poster_url"),
     )
-    # the smallest record wins among repeats, so a rerun picks the same one
-    best = rows.groupBy("imdb_id").agg(F.min(F.struct("title", "rated", "plot", "poster_url")).alias("m"))
-    return dense_key(best.select("imdb_id", "m.*"), ["imdb_id"], "movie_key")
+    return dense_key(rows, ["imdb_id"], "movie_key", bound=raw)
 
 
 def dim_named(raw: DataFrame, field: str, key: str, name: str) -> DataFrame:
@@ -89,7 +93,7 @@ def bridge_movie_genre(raw: DataFrame, movie: DataFrame, genre: DataFrame) -> Da
 def fact_movie(raw: DataFrame, dims: dict[str, tuple[DataFrame, str, str, str]], movie: DataFrame) -> DataFrame:
     """One row per movie: keys of all dimensions and the parsed measures."""
     rotten = c.pick(col("Ratings"), "Source", "Rotten Tomatoes")["Value"]
-    df = raw.dropDuplicates(["imdbID"]).select(
+    df = one_per_movie(raw).select(
         "imdbID",
         *dims,
         c.minutes_text(col("Runtime")).alias("runtime_minutes"),

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starforge.operators.relational import union_all
+
 col = F.col
 
 
@@ -70,22 +71,22 @@ def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(results))
 
 
-def _result(name: str, bad_rows: DataFrame) -> DataFrame:
-    n = bad_rows.agg(F.count(F.lit(1)).alias("n_bad"))
-    return n.select(F.lit(name).alias("check"), (col("n_bad") == 0).alias("passed"), "n_bad")
+def _counted(name: str, bad: DataFrame, n: Column) -> DataFrame:
+    return bad.agg(F.lit(name).alias("check"), (n == 0).alias("passed"), n.alias("n_bad"))
 
 
 def repeated_keys(df: DataFrame, columns: Sequence[str], where: Column | None = None) -> DataFrame:
     """Key values that occur more than once; keys with a NULL never repeat."""
-    known = df if where is None else df.where(where)
+    repeated = col("n_rows") > 1
     for c in columns:
-        known = known.where(col(c).isNotNull())
-    return known.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows")).where(col("n_rows") > 1)
+        repeated = repeated & col(c).isNotNull()
+    rows = df if where is None else df.where(where)
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows")).where(repeated)
 
 
 def unique(df: DataFrame, columns: Sequence[str], where: Column | None = None, name: str | None = None) -> DataFrame:
     """``n_bad`` counts repeated key values; ``where`` makes it a partial unique rule."""
-    return _result(name or f"unique_{'_'.join(columns)}", repeated_keys(df, columns, where))
+    return _counted(name or f"unique_{'_'.join(columns)}", repeated_keys(df, columns, where), F.count(F.lit(1)))
 
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -93,21 +94,19 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
 
     References are counted per value first, so a value that fills the table is one row in the join.
     """
-    used = df.where(col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    used = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).where(col(column).isNotNull())
     return used.join(parent.select(col(parent_column).alias(column)), column, "left_anti")
 
 
 def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: str, name: str | None = None) -> DataFrame:
-    missing = orphans(df, column, parent, parent_column)
-    n = missing.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_bad"))
-    label = name or f"relationships_{column}"
-    return n.select(F.lit(label).alias("check"), (col("n_bad") == 0).alias("passed"), "n_bad")
+    n = F.coalesce(F.sum("n_rows"), F.lit(0))
+    return _counted(name or f"relationships_{column}", orphans(df, column, parent, parent_column), n)
 
 
 def audit(df: DataFrame, rules: Sequence[Rule], keys: Sequence[tuple[str, Sequence[str], Column | None]] = ()) -> DataFrame:
     """Row rules and (partial) unique rules of one table."""
     parts = [run_rules(df, rules)] + [unique(df, columns, where, name) for name, columns, where in keys]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def gate(df: DataFrame, rules: Sequence[Rule]) -> dict:
@@ -159,7 +158,7 @@ def run_suite(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
         if rules:
             results.append(run_rules(df, rules))
         parts += [r.select(F.lit(table).alias("table_name"), "check", "passed", "n_bad") for r in results]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 # --------------------------------------------------------------------------- valid / rejected

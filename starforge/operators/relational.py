@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,6 +228,13 @@ def aggregate_then_join(parents: DataFrame, key: str, *branches: DataFrame) -> D
     return out
 
 
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """UNION ALL of many parts, built pairwise, so that analysing it stays quick."""
+    while len(parts) > 1:
+        parts = [a if b is None else a.unionByName(b) for a, b in zip_longest(parts[::2], parts[1::2])]
+    return parts[0]
+
+
 # --------------------------------------------------------------------------- order and limits
 
 

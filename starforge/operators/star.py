@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starforge.functions import columns as c
 from starforge.operators.relational import cross_series, join_null_safe, look_up
 from starforge.operators.windows import dense_key
+from starforge.session import cut_lineage
 
 col = F.col
 
@@ -204,28 +205,42 @@ class Entities:
 
 
 def _entity(names: DataFrame, key: str, label: str) -> DataFrame:
-    return dense_key(names.where(col(label).isNotNull()).distinct(), [label], key).select(key, label)
+    # the table is stored before it is numbered, as it is read once for its size and then for its rows
+    return dense_key(cut_lineage(names.distinct()), [label], key).select(key, label)
+
+
+def cleaned_names(rides: DataFrame, source: str) -> DataFrame:
+    """(spelling, name): each spelling is cleaned once, however many rides it has.
+
+    The spellings are stored: otherwise a condition on the name, such as a join on it, would
+    be moved below the DISTINCT and clean the name of every ride.
+    """
+    spellings = rides.select(col(source).alias("spelling")).where(col("spelling").isNotNull()).distinct()
+    return cut_lineage(spellings).withColumn("name", c.clean_name(col("spelling")))
 
 
 def entities(rides: DataFrame) -> Entities:
     """Distinct drivers, passengers, cities and payment methods of a flat ride table."""
-    cities = rides.select(col("pickup_city").alias("city_name")).union(rides.select("dropoff_city"))
+    methods = rides.select(col("payment_method").alias("name")).where(col("name").isNotNull())
+    cities = rides.select(col("pickup_city").alias("city_name")).distinct().union(rides.select("dropoff_city").distinct())
+    cities = cities.where(col("city_name").isNotNull())
     return Entities(
-        _entity(rides.select(c.clean_name(col("driver_name")).alias("name")), "driver_id", "name"),
-        _entity(rides.select(c.clean_name(col("passenger_name")).alias("name")), "passenger_id", "name"),
+        _entity(cleaned_names(rides, "driver_name").select("name"), "driver_id", "name"),
+        _entity(cleaned_names(rides, "passenger_name").select("name"), "passenger_id", "name"),
         _entity(cities, "location_id", "city_name"),
-        _entity(rides.select(col("payment_method").alias("name")), "payment_method_id", "name"),
+        _entity(methods, "payment_method_id", "name"),
     )
 
 
 def normalise_trips(rides: DataFrame, e: Entities) -> DataFrame:
     """The flat rides with ids in place of names; the payment method may be missing."""
-    keyed = rides.withColumn("_driver", c.clean_name(col("driver_name"))).withColumn(
-        "_passenger", c.clean_name(col("passenger_name"))
-    )
+    # the id of every spelling, so that rides join on the name they carry
+    drivers = cleaned_names(rides, "driver_name").join(e.drivers, "name")
+    passengers = cleaned_names(rides, "passenger_name").join(e.passengers, "name")
+    keyed = rides
     for table, key, label, source, how, out in [
-        (e.drivers, "driver_id", "name", "_driver", "inner", "driver_id"),
-        (e.passengers, "passenger_id", "name", "_passenger", "inner", "passenger_id"),
+        (drivers, "driver_id", "spelling", "driver_name", "inner", "driver_id"),
+        (passengers, "passenger_id", "spelling", "passenger_name", "inner", "passenger_id"),
         (e.locations, "location_id", "city_name", "pickup_city", "inner", "pickup_location_id"),
         (e.locations, "location_id", "city_name", "dropoff_city", "inner", "dropoff_location_id"),
         (e.payment_methods, "payment_method_id", "name", "payment_method", "left", "payment_method_id"),

@@ -15,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from starforge.operators import loads
+from starforge.operators.relational import union_all
 from starforge.operators.windows import top_n_per
 from starforge.session import cut_lineage
 
@@ -146,13 +147,6 @@ def _search_block(
     return top_n_per(partial, ["query_id"], ["-score", id_], k, "rank")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def top_k_cosine(
     index: DataFrame,
     queries: DataFrame,
@@ -178,7 +172,7 @@ def top_k_cosine(
         return index.sparkSession.createDataFrame(
             [], f"query_id {query_type.simpleString()}, {id_} {id_type}, score double, rank long"
         )
-    return _union(parts)
+    return union_all(parts)
 
 
 # --------------------------------------------------------------------------- approximate search
@@ -237,7 +231,7 @@ def approx_top_k(
     if not parts:
         return top_k_cosine(index, queries, k, id_, query_id, vector)
     # at most k rows per query; stored, as they are read twice
-    found = cut_lineage(_union(parts))
+    found = cut_lineage(union_all(parts))
     full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(col("_n") >= k).select("query_id")
     short = queries.join(full.withColumnRenamed("query_id", query_id), query_id, "left_anti")
     exact = top_k_cosine(index, short, k, id_, query_id, vector)

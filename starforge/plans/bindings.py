@@ -10,6 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starforge.session import widen
+
 # ---------------------------------------------------------------------------
 # check side
 # ---------------------------------------------------------------------------
@@ -181,11 +183,11 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.raw("documents")
+        return widen(self.raw("documents"), "doc_id")
 
     @cached_property
     def pages(self) -> DataFrame:
-        return self.raw("pages")
+        return widen(self.raw("pages"), "page_id")
 
     @cached_property
     def trips(self) -> DataFrame:

@@ -18,6 +18,7 @@ from starforge.plans.star_schema import (
     DIM_PROMO_SQL,
     FACT_MARTS_SQL,
     LISTED_SQL,
+    RESOLVED_SQL,
     covered,
 )
 
@@ -133,7 +134,12 @@ def dq_9(t):
     return q.audit(t.trips, rules, keys)
 
 
-@query("dq_10")
+@query(
+    "dq_10",
+    f"""{RESOLVED_SQL}
+    SELECT count(*) AS row_count, CASE WHEN count(*) FILTER (WHERE status = 'completed' AND completed_at IS NULL) > 0
+           THEN 'completed_have_duration' ELSE 'passed' END AS stopped_by FROM resolved WHERE skip_reason IS NULL""",
+)
 def dq_10(t):
     good, _ = star.fact_trips_etl(t.trips, star.etl_lookups(t, covered(t)))
     rules = [

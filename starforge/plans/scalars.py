@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
+from starforge.operators import star
 from starforge.plans.joins import clean_name_sql
 from starforge.plans.registry import query
 
@@ -44,7 +45,7 @@ def str_5(t):
 
 @query("str_6", f"SELECT DISTINCT {clean_name_sql('driver_name')} AS clean_driver_name FROM rides")
 def str_6(t):
-    return t.rides.select(c.clean_name(col("driver_name")).alias("clean_driver_name")).distinct()
+    return star.cleaned_names(t.rides, "driver_name").select(col("name").alias("clean_driver_name")).distinct()
 
 
 @query(
@@ -132,7 +133,11 @@ def dat_6(t):
     )
 
 
-@query("dat_7")
+@query(
+    "dat_7",
+    """SELECT count(*) FILTER (WHERE o_orderdate <= current_localtimestamp()) AS up_to_now,
+              count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '1998-01-01') AS up_to_1998 FROM orders""",
+)
 def dat_7(t):
     return t.orders.agg(
         F.count_if(col("o_orderdate") <= c.now()).alias("up_to_now"),
@@ -223,7 +228,11 @@ def cnd_4(t):
     )
 
 
-@query("jsn_1")
+@query(
+    "jsn_1",
+    """SELECT load_id, CAST(to_json({'ticket_id': ticket_id, 'subject': subject, 'body': body, 'category': category})
+              AS VARCHAR) AS record FROM tickets""",
+)
 def jsn_1(t):
     return t.tickets.select("load_id", c.record_json("ticket_id", "subject", "body", "category").alias("record"))
 

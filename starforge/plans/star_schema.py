@@ -223,7 +223,7 @@ _KEYS = """
     dm AS (SELECT payment_method_id, row_number() OVER (ORDER BY payment_method_id) AS payment_method_key
            FROM payment_methods),
     dc AS (SELECT promo_code_id, row_number() OVER (ORDER BY promo_code_id) AS promo_code_key FROM promo_codes)"""
-_RESOLVED = f"""WITH {_KEYS}, resolved AS (
+RESOLVED_SQL = f"""WITH {_KEYS}, resolved AS (
     SELECT t.*, driver_key, passenger_key, f.location_key AS pickup_location_key, g.location_key AS dropoff_location_key,
            payment_method_key, promo_code_key,
            CASE WHEN requested_at < TIMESTAMP '1995-01-01' OR requested_at >= TIMESTAMP '2001-01-01'
@@ -240,7 +240,7 @@ _RESOLVED = f"""WITH {_KEYS}, resolved AS (
 
 @query(
     "fct_2",
-    f"""{_RESOLVED}
+    f"""{RESOLVED_SQL}
     SELECT trip_id AS source_trip_id, CAST(strftime(requested_at, '%Y%m%d') AS BIGINT) AS date_key, driver_key,
            passenger_key, pickup_location_key, dropoff_location_key, payment_method_key, promo_code_key, base_fare,
            tip_amount, discount_amount, coalesce(surge_multiplier, 0) AS surge_multiplier,
@@ -260,7 +260,7 @@ def fct_2(t):
 
 @query(
     "fct_2_skipped",
-    f"{_RESOLVED} SELECT trip_id, skip_reason FROM resolved WHERE skip_reason IS NOT NULL",
+    f"{RESOLVED_SQL} SELECT trip_id, skip_reason FROM resolved WHERE skip_reason IS NOT NULL",
 )
 def fct_2_skipped(t):
     _, skipped = star.fact_trips_etl(t.trips, star.etl_lookups(t, covered(t)))

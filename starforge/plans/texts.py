@@ -26,7 +26,7 @@ _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("
 
 def _decoded(sql: str) -> str:
     for entity, char in _ENTITIES:
-        sql = f"replace({sql}, '{entity}', '{char}')"
+        sql = f"regexp_replace({sql}, '{entity}?', '{char}', 'g')"
     return f"trim(regexp_replace({sql}, '[\\s\\v\\p{{Z}}]+', ' ', 'g'))"
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -39,16 +41,36 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application."""
+    """Make this package importable in the Python workers, once per application.
+
+    The archive is put into the shared folder, from where every executor fetches it.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    root = Path(__file__).resolve().parent.parent
-    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "starforge"), "zip", root, "starforge")
-    sc.addPyFile(archive)  # the driver hands the archive to the executors
+    package = Path(__file__).resolve().parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    path = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), f"starforge-{sc.applicationId}.zip"))
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    stream = fs.create(path, True)
+    stream.write(buffer.getvalue())
+    stream.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(sc.applicationId)
 
 
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that arrives in fewer partitions than there are cores, such as one small file.
+
+    Larger tables already have a partition for every core and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

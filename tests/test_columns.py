@@ -23,6 +23,22 @@ def test_names(spark):
     assert text(spark, "ßein 3rd", c.title_words) == "ßein 3rd"
 
 
+def test_title_words_on_random_text(spark):
+    import random
+    import re
+
+    rnd = random.Random(4)
+    data = [("".join(rnd.choice("abÉéßŉﬁ9 _-'.\n\tZ") for _ in range(25)),) for _ in range(1000)]
+    df = spark.createDataFrame(data, "x string")
+
+    def word(m):
+        w = m.group(0)
+        return (w[0].upper() if len(w[0].upper()) == 1 else w[0]) + w[1:].lower()
+
+    for value, got in df.select("x", c.title_words(col("x"))).collect():
+        assert got == re.sub(r"[^\W_]+", word, value), repr(value)
+
+
 def test_dates_golden_rows(spark):
     data = [
         (1, "2024-03-04 08:12:00", "2024-03-04 08:45:00"),
