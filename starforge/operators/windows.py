@@ -21,26 +21,29 @@ GROUP_LIMIT = 2_000_000
 _TASK, _POS = "_task", "_pos"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key; counted per input task before the shuffle."""
-    if not keys:
-        return df.count()
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+def _limit(limit: int | None) -> int:
+    return GROUP_LIMIT if limit is None else limit
 
 
-def is_heavy(df: DataFrame, keys: list[str], limit: int | None) -> bool:
-    limit = GROUP_LIMIT if limit is None else limit
-    return largest_group(df, keys) > limit
+def measure(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the table and of its most frequent key, counted per input task before the shuffle."""
+    if not keys:
+        n = df.count()
+        return n, n
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    return total, largest
 
 
-def spread(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+def spread(df: DataFrame, group: list[str], order: list[str], n_rows: int) -> DataFrame:
     """Rows sorted by (group, order) over all tasks, with ``_task`` and ``_pos`` columns.
 
-    The result is stored, because task numbers may differ if a range partitioning is repeated.
+    There are enough tasks for ``n_rows`` rows.  The result is stored, because task numbers
+    may differ if a range partitioning is repeated.
     """
     keys = [*order_by(*group), *order_by(*order)]
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(configured, -(-n_rows // GROUP_LIMIT), 2)
     placed = (
         df.repartitionByRange(tasks, *keys)
         .sortWithinPartitions(*keys)
@@ -71,10 +74,11 @@ def _add_carry(placed: DataFrame, carry: DataFrame, group: list[str]) -> DataFra
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, limit: int | None = None) -> DataFrame:
     """1, 2, 3 .. per group.  ``order`` must end in a unique column."""
-    if not is_heavy(df, group, limit):
+    n_rows, largest = measure(df, group)
+    if largest <= _limit(limit):
         w = Window.partitionBy(*group).orderBy(*order_by(*order))
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    placed = spread(df, group, order)
+    placed = spread(df, group, order, n_rows)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS)
     numbered = placed.withColumn("_local", F.row_number().over(local))
     carry = carried(placed, group, _before=F.count(F.lit(1)))
@@ -97,11 +101,11 @@ def dense_key(
 
     ``bound`` is a table with at least as many rows that is cheaper to count.
     """
-    limit = GROUP_LIMIT if limit is None else limit
-    if (df if bound is None else bound).count() <= limit:
+    n_rows = (df if bound is None else bound).count()
+    if n_rows <= _limit(limit):
         w = Window.orderBy(*order_by(*order))
         return df.withColumn(name, F.row_number().over(w).cast("bigint") + F.lit(start))
-    placed = spread(df, [], order)
+    placed = spread(df, [], order, n_rows)
     in_task = placed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
     # one row per task
     earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
@@ -139,13 +143,14 @@ def running(
     ``sums`` maps names to ``F.sum`` or ``F.count`` columns.
     """
     columns = [o.lstrip("-") for o in order]
-    if not is_heavy(df, group, limit):
+    n_rows, largest = measure(df, group)
+    if largest <= _limit(limit):
         w = Window.partitionBy(*group).orderBy(*order_by(*order))
         return df.select(*df.columns, *[s.over(w).alias(n) for n, s in sums.items()])
     parts = {f"_p{i}": s for i, s in enumerate(sums.values())}
     # one row per distinct order value
     steps = df.groupBy(*group, *columns).agg(*[s.alias(n) for n, s in parts.items()])
-    placed = spread(steps, group, order)
+    placed = spread(steps, group, order, n_rows)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     totals = placed.select(*placed.columns, *[F.sum(p).over(local).alias(f"{p}_l") for p in parts])
     # rows are counted first, as the sum of a task may be NULL
@@ -170,7 +175,7 @@ def with_neighbour(
     df: DataFrame, group: list[str], order: list[str], value: str, name: str, step: int, limit: int | None = None
 ) -> DataFrame:
     """``value`` of the row ``step`` places earlier (or later, if negative) in the group."""
-    if not is_heavy(df, group, limit):
+    if measure(df, group)[1] <= _limit(limit):
         w = Window.partitionBy(*group).orderBy(*order_by(*order))
         return df.withColumn(name, (F.lag(value, step) if step > 0 else F.lead(value, -step)).over(w))
     numbered = number_rows(df, group, order, "_nr", limit)

@@ -20,6 +20,35 @@ def txt_1(t):
     return text.with_reason(t.tickets, text.missing_field()).select("load_id", "reason")
 
 
+_WS = "[\\s\\v\\p{Z}]"
+
+
+def _strip(sql: str) -> str:
+    return f"regexp_replace({sql}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _chunks(source: str, key: str) -> str:
+    """Check side of chunking: CTEs that fold the sentences of ``source.text`` into ``chunked``."""
+    return f"""
+    stripped AS (SELECT {key}, {_strip('text')} AS t FROM {source}),
+    sentences AS (SELECT {key}, t,
+        string_split(regexp_replace(t, '([.!?]){_WS}+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM stripped),
+    units AS (SELECT {key}, t, flatten(list_transform(s, lambda x, i:
+        CASE WHEN length(x) <= 400 THEN [{{'done': CAST([] AS VARCHAR[]), 'cur': x, 'run': CAST(0 AS BIGINT)}}]
+             ELSE list_transform(string_split_regex(x, '{_WS}+'),
+                                 lambda w: {{'done': CAST([] AS VARCHAR[]), 'cur': w, 'run': CAST(i AS BIGINT)}}) END)) AS u
+        FROM sentences),
+    folded AS (SELECT {key}, t, list_reduce(u, lambda a, x:
+        CASE WHEN a.run = x.run AND length(a.cur) + 1 + length(x.cur) <= 400
+             THEN {{'done': a.done, 'cur': a.cur || ' ' || x.cur, 'run': a.run}}
+             ELSE {{'done': list_append(a.done, a.cur), 'cur': x.cur, 'run': x.run}} END) AS f FROM units),
+    packed AS (SELECT {key}, t, list_append(f.done, f.cur) AS p FROM folded),
+    lapped AS (SELECT {key}, CASE WHEN length(t) = 0 THEN [] WHEN length(t) <= 400 THEN [t]
+        ELSE list_transform(p, lambda x, i: CASE WHEN i = 1 THEN x
+                            ELSE {_strip("right(p[i - 1], 60) || ' ' || x")} END) END AS c FROM packed),
+    chunked AS (SELECT {key}, unnest(c) AS text, generate_subscripts(c, 1) - 1 AS n FROM lapped)"""
+
+
 _PAGE_TEXT = r"""regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g')"""
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
@@ -36,13 +65,13 @@ def txt_2(t):
     return t.pages.select("page_id", text.too_short(tidy, 1500).alias("short"))
 
 
-@query(
-    "txt_3",
-    f"""SELECT load_id, CASE WHEN reason IS NOT NULL THEN reason
+_JUDGED = f"""SELECT load_id, CASE WHEN reason IS NOT NULL THEN reason
                WHEN load_id <> min(load_id) OVER (PARTITION BY ticket_id, reason) THEN 'duplicate_ticket_id' END AS reason
         FROM (SELECT load_id, ticket_id, coalesce({_REASON}, CASE WHEN length(trim(body)) < 8
-              THEN 'body_too_short_or_garbled' END) AS reason FROM tickets)""",
-)
+              THEN 'body_too_short_or_garbled' END) AS reason FROM tickets)"""
+
+
+@query("txt_3", _JUDGED)
 def txt_3(t):
     return text.rejection_reasons(t.tickets)
 
@@ -107,7 +136,7 @@ def txt_8(t):
     )
 
 
-@query("txt_9")
+@query("txt_9", f"WITH {_chunks('documents', 'doc_id')} SELECT doc_id || '-' || n AS chunk_id, doc_id, text FROM chunked")
 def txt_9(t):
     return text.chunk_column(t.documents.select("doc_id", "text"), "doc_id", "text")
 
@@ -125,7 +154,25 @@ def txt_10(t):
     return both.groupBy("kind", has_markup(col("text")).alias("had_html")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("txt_11")
+_TICKET_CHUNKS = f"""judged AS ({_JUDGED}),
+    valid AS (SELECT ticket_id, subject, {_REDACTED.replace('(text,', '(body,')} AS body
+              FROM tickets JOIN judged USING (load_id) WHERE reason IS NULL),
+    tidied AS (SELECT ticket_id, subject, {_strip(f"regexp_replace(body, '{_WS}+', ' ', 'g')")} AS s FROM valid),
+    signed AS (SELECT *, {_PHRASE} AS p, regexp_extract(s, '(?s)^(.*?)\\s--\\s', 1) AS d FROM tidied),
+    unsigned AS (SELECT ticket_id, subject,
+        CASE WHEN length(p) > 15 AND (length(d) <= 15 OR length(p) <= length(d)) THEN trim(p)
+             WHEN length(d) > 15 THEN trim(d) ELSE s END AS s FROM signed),
+    plain AS (SELECT ticket_id, subject, trim(regexp_replace(replace(replace(regexp_replace(s,
+        'sent from my iphone|sent from my android|sent from yahoo mail.*|get outlook for ios', '', 'gi'),
+        'pls', 'please'), 'Pls', 'Please'), ' +', ' ', 'g')) AS body FROM unsigned),
+    whole AS (SELECT ticket_id, CASE WHEN subject = '' THEN body ELSE subject || '. ' || body END AS text FROM plain),
+    {_chunks('whole', 'ticket_id')}"""
+
+
+@query(
+    "txt_11",
+    f"WITH {_TICKET_CHUNKS} SELECT ticket_id, count(*) AS n_chunks FROM chunked GROUP BY ticket_id HAVING count(*) > 1",
+)
 def txt_11(t):
     valid, _ = text.validate(t.tickets)
     return text.multi_chunk(text.ticket_chunks(valid), "ticket_id")
