@@ -61,7 +61,7 @@ def dim_movie(raw: DataFrame) -> DataFrame:
         c.known(col("Plot")).alias("plot"),
         c.known(col("Poster")).alias("poster_url"),
     )
-    return dense_key(rows, ["imdb_id"], "movie_key", bound=raw)
+    return dense_key(rows, ["imdb_id"], "movie_key", n_rows=raw.count())
 
 
 def dim_named(raw: DataFrame, field: str, key: str, name: str) -> DataFrame:

@@ -208,6 +208,26 @@ def cross_series(spark: SparkSession, **series: tuple[int, int, int]) -> DataFra
     return df.drop("id")
 
 
+def count_all(tables: list[DataFrame]) -> list[int]:
+    """Row counts of several tables, from one job."""
+    counts = [df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")) for i, df in enumerate(tables)]
+    return [n for _, n in sorted((r["i"], r["n"]) for r in union_all(counts).collect())]
+
+
+# Rows of a narrow lookup table (an id and a key) that every executor may hold.
+BROADCAST_ROWS = 4_000_000
+
+
+def broadcast_up_to(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Ask for a broadcast of a narrow table whose ``n_rows`` have been counted.
+
+    Spark's own threshold is a few megabytes; a lookup table of some millions of rows is
+    still far cheaper to broadcast than the fact is to shuffle.  Beyond the limit there is
+    no hint, and Spark joins by shuffling and splits heavy keys.
+    """
+    return F.broadcast(df) if n_rows <= limit else df
+
+
 def look_up(df: DataFrame, dim: DataFrame, on: dict[str, str], out: dict[str, str]) -> DataFrame:
     """Fetch ``out`` columns of ``dim`` by id; rows without a match get NULL."""
     right = dim.select(

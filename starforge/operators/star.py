@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
-from starforge.operators.relational import cross_series, join_null_safe, look_up
+from starforge.operators.relational import broadcast_up_to, count_all, cross_series, join_null_safe, look_up
 from starforge.operators.windows import dense_key
 from starforge.session import cut_lineage
 
@@ -149,24 +149,24 @@ def region(state: Column, mapping: dict[str, list[str]], country: Column | None
     return c.bucket(rules, "International")
 
 
-def dim_driver(stg: DataFrame, as_of: Column) -> DataFrame:
-    return dense_key(stg, ["driver_id"], "driver_key").withColumn(
+def dim_driver(stg: DataFrame, as_of: Column, n_rows: int | None = None) -> DataFrame:
+    return dense_key(stg, ["driver_id"], "driver_key", n_rows=n_rows).withColumn(
         "tenure_bucket", c.tenure_bucket(col("joined_at"), as_of)
     )
 
 
-def dim_passenger(stg: DataFrame) -> DataFrame:
-    return dense_key(stg, ["passenger_id"], "passenger_key").withColumn(
+def dim_passenger(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
+    return dense_key(stg, ["passenger_id"], "passenger_key", n_rows=n_rows).withColumn(
         "cohort_month", F.date_format("created_at", "yyyy-MM")
     )
 
 
-def dim_location(stg: DataFrame, mapping: str = "all_states") -> DataFrame:
+def dim_location(stg: DataFrame, mapping: str = "all_states", n_rows: int | None = None) -> DataFrame:
     if mapping == "all_states":
         name = region(col("state_province"), US_REGIONS, col("country"))
     else:
         name = region(col("state_province"), LISTED_REGIONS)
-    return dense_key(stg, ["location_id"], "location_key").withColumn("region", name)
+    return dense_key(stg, ["location_id"], "location_key", n_rows=n_rows).withColumn("region", name)
 
 
 def _with_sentinel(stg: DataFrame, label: str, text: str) -> DataFrame:
@@ -177,12 +177,16 @@ def _with_sentinel(stg: DataFrame, label: str, text: str) -> DataFrame:
     return stg.unionByName(sentinel)
 
 
-def dim_payment_method(stg: DataFrame) -> DataFrame:
-    return dense_key(_with_sentinel(stg, "name", "Unknown"), ["payment_method_id"], "payment_method_key")
+def dim_payment_method(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """``n_rows`` includes the sentinel row."""
+    return dense_key(
+        _with_sentinel(stg, "name", "Unknown"), ["payment_method_id"], "payment_method_key", n_rows=n_rows
+    )
 
 
-def dim_promo_code(stg: DataFrame) -> DataFrame:
-    return dense_key(_with_sentinel(stg, "code", "No Promo"), ["promo_code_id"], "promo_code_key")
+def dim_promo_code(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """``n_rows`` includes the sentinel row."""
+    return dense_key(_with_sentinel(stg, "code", "No Promo"), ["promo_code_id"], "promo_code_key", n_rows=n_rows)
 
 
 def assign_keys(existing: DataFrame, new: DataFrame, natural: list[str], name: str, limit: int | None = None) -> DataFrame:
@@ -239,6 +243,7 @@ def normalise_trips(rides: DataFrame, e: Entities) -> DataFrame:
     passengers = cleaned_names(rides, "passenger_name").join(e.passengers, "name")
     keyed = rides
     for table, key, label, source, how, out in [
+        # the spellings of a name may be many: no hint on these two
         (drivers, "driver_id", "spelling", "driver_name", "inner", "driver_id"),
         (passengers, "passenger_id", "spelling", "passenger_name", "inner", "passenger_id"),
         (e.locations, "location_id", "city_name", "pickup_city", "inner", "pickup_location_id"),
@@ -261,6 +266,9 @@ def trips_with_cancellation(trips: DataFrame, cancellations: DataFrame) -> DataF
     return trips.join(cancellations.select("trip_id", "cancelled_by"), "trip_id", "left")
 
 
+DIMENSIONS = ("driver", "passenger", "location", "payment_method", "promo_code")
+
+
 @dataclass
 class Lookups:
     """Natural id -> surrogate key, one table per dimension, and the known date keys."""
@@ -276,17 +284,12 @@ class Lookups:
 def etl_lookups(raw, days: DataFrame) -> Lookups:
     """Dimensions over the raw tables, reduced to id and key."""
 
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        return dense_key(df.select(f"{name}_id"), [f"{name}_id"], f"{name}_key")
-
-    return Lookups(
-        dim_date(days).select("date_key"),
-        keyed(raw.drivers, "driver"),
-        keyed(raw.passengers, "passenger"),
-        keyed(raw.locations, "location"),
-        keyed(raw.payment_methods, "payment_method"),
-        keyed(raw.promo_codes, "promo_code"),
-    )
+    ids = [getattr(raw, f"{n}s").select(f"{n}_id") for n in DIMENSIONS]
+    keyed = [
+        broadcast_up_to(dense_key(df, [f"{n}_id"], f"{n}_key", n_rows=size), size)
+        for n, df, size in zip(DIMENSIONS, ids, count_all(ids))
+    ]
+    return Lookups(dim_date(days).select("date_key"), *keyed)
 
 
 def marts(raw, as_of: Column, days: DataFrame) -> dict[str, DataFrame]:
@@ -299,19 +302,19 @@ def marts(raw, as_of: Column, days: DataFrame) -> dict[str, DataFrame]:
         "stg_promo_codes": stg_promo_codes(raw.promo_codes),
         "stg_trips": stg_trips(raw.trips),
     }
+    n = dict(zip(stg, count_all(list(stg.values()))))
     dims = {
-        "dim_driver": dim_driver(stg["stg_drivers"], as_of),
-        "dim_passenger": dim_passenger(stg["stg_passengers"]),
-        "dim_location": dim_location(stg["stg_locations"], "listed"),
-        "dim_payment_method": dim_payment_method(stg["stg_payment_methods"]),
-        "dim_promo_code": dim_promo_code(stg["stg_promo_codes"]),
+        "dim_driver": dim_driver(stg["stg_drivers"], as_of, n["stg_drivers"]),
+        "dim_passenger": dim_passenger(stg["stg_passengers"], n["stg_passengers"]),
+        "dim_location": dim_location(stg["stg_locations"], "listed", n["stg_locations"]),
+        "dim_payment_method": dim_payment_method(stg["stg_payment_methods"], n["stg_payment_methods"] + 1),
+        "dim_promo_code": dim_promo_code(stg["stg_promo_codes"], n["stg_promo_codes"] + 1),
     }
-    return {**stg, **dims, "fact_trips": fact_trips_marts(stg["stg_trips"], mart_lookups(dims, days))}
-
-
-def mart_lookups(dims: dict[str, DataFrame], days: DataFrame) -> Lookups:
-    names = ("driver", "passenger", "location", "payment_method", "promo_code")
-    return Lookups(days, *[dims[f"dim_{n}"].select(f"{n}_id", f"{n}_key") for n in names])
+    keys = [
+        broadcast_up_to(dims[f"dim_{d}"].select(f"{d}_id", f"{d}_key"), n[f"stg_{d}s"] + 1) for d in DIMENSIONS
+    ]
+    fact = fact_trips_marts(stg["stg_trips"], Lookups(days, *keys), n["stg_trips"])
+    return {**stg, **dims, "fact_trips": fact}
 
 
 def resolve_trips(trips: DataFrame, dims: Lookups) -> DataFrame:
@@ -365,7 +368,7 @@ def fact_trips_etl(trips: DataFrame, dims: Lookups) -> tuple[DataFrame, DataFram
     return good, skipped
 
 
-def fact_trips_marts(stg: DataFrame, dims: Lookups, number: bool = True) -> DataFrame:
+def fact_trips_marts(stg: DataFrame, dims: Lookups, n_rows: int | None = None) -> DataFrame:
     """Fact for the marts layer: unknown mandatory ids drop the trip, missing optional ids
     map to the sentinel row, unknown optional ids give a NULL key.  Nothing is rounded."""
     df = stg.join(dims.driver, "driver_id").join(dims.passenger, "passenger_id")
@@ -387,8 +390,8 @@ def fact_trips_marts(stg: DataFrame, dims: Lookups, number: bool = True) -> Data
         .alias("duration_minutes"),
         F.lit(1).alias("trip_count"), "driver_rating", "passenger_rating", "surge_multiplier", "requested_at",
     )
-    # the joins are on unique ids and only drop trips
-    return dense_key(fact, ["source_trip_id"], "trip_key", bound=stg) if number else fact
+    # the joins are on unique ids and only drop trips, so the number of trips is a bound
+    return dense_key(fact, ["source_trip_id"], "trip_key", n_rows=stg.count() if n_rows is None else n_rows)
 
 
 def v_trips(trips: DataFrame, cancellations: DataFrame) -> DataFrame:

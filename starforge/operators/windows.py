@@ -95,13 +95,13 @@ def dense_key(
     name: str,
     limit: int | None = None,
     start: int = 0,
-    bound: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique.
 
-    ``bound`` is a table with at least as many rows that is cheaper to count.
+    ``n_rows`` is the number of rows, or a bound on it, if the caller knows it.
     """
-    n_rows = (df if bound is None else bound).count()
+    n_rows = df.count() if n_rows is None else n_rows
     if n_rows <= _limit(limit):
         w = Window.orderBy(*order_by(*order))
         return df.withColumn(name, F.row_number().over(w).cast("bigint") + F.lit(start))

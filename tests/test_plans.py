@@ -35,6 +35,17 @@ def test_scorecard_shuffles_partial_aggregates_only(tables):
     assert "partial_count" in text
 
 
+def test_a_counted_lookup_is_broadcast(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = star.calendar(spark, dt.date(1995, 1, 1), dt.date(2000, 12, 31))
+        text = plan(star.resolve_trips(tables.trips, star.etl_lookups(tables, days)))
+        # driver, passenger, two locations, payment method, promo code
+        assert text.count("BroadcastHashJoin") >= 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_contradictions_read_nothing(tables):
     text = tables.rides.where(c.equals_sql_null(col("rating")))._jdf.queryExecution().optimizedPlan().toString()
     assert text.startswith("LocalRelation <empty>")
@@ -53,8 +64,9 @@ def test_batches_prune_partitions(spark, tables):
     assert "PartitionFilters: [isnotnull(batch_id" in plan(staging.read_batch("a"))
 
 
-def test_no_forced_broadcasts_of_tables(spark, tables):
-    """With automatic broadcasts off, large-capable joins must fall back to shuffles."""
+def test_no_forced_broadcasts_of_tables(spark, tables, monkeypatch):
+    """Beyond the limits, joins must fall back to shuffles."""
+    monkeypatch.setattr(r.broadcast_up_to, "__defaults__", (0,))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         days = star.calendar(spark, dt.date(1995, 1, 1), dt.date(2000, 12, 31))
