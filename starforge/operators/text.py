@@ -72,14 +72,14 @@ def validate(tickets: DataFrame, redacted: Sequence[str] = ("body", "response"))
 
 
 def ticket_chunks(valid: DataFrame, limit: int = MAX_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
-    """Chunks of subject and body, numbered from 0 within the ticket; the response goes with each."""
+    """Chunks of subject and body, numbered from 0 within the ticket; the rest goes with each."""
 
     def cleaned(name: str) -> Column:
         return clean_text(F.coalesce(col(name), F.lit("")))
 
     prepared = valid.select(
         "ticket_id",
-        "category",
+        *[c for c in ("category", "created_at") if c in valid.columns],
         has_markup(F.coalesce(col("body"), F.lit(""))).alias("had_html"),
         combine(cleaned("subject"), cleaned("body")).alias("text"),
         cleaned("response").alias("response"),

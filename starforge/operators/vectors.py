@@ -64,6 +64,12 @@ def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = hashin
     return df.withColumn(out, encode(col(text)))
 
 
+def build_index(chunks: DataFrame, make_encoder: Callable[[], Encoder] = hashing_encoder) -> DataFrame:
+    """Vectors of chunks, with what a search may filter on."""
+    carried = [c for c in ("chunk_id", "ticket_id", "category", "created_at") if c in chunks.columns]
+    return embed(chunks, "text", make_encoder).select(*carried, "embedding")
+
+
 def update_index(index: DataFrame, fresh: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Insert new vectors and replace those of known chunks."""
     return loads.upsert(index, fresh, [key], [c for c in fresh.columns if c != key], [key])
@@ -246,6 +252,12 @@ def recall(found: DataFrame, truth: DataFrame, id_: str = "vec_id") -> DataFrame
 
 # --------------------------------------------------------------------------- context for an answer
 
+
+def with_text(hits: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Hits with the text and response of their chunk."""
+    return hits.join(chunks.select("chunk_id", "ticket_id", "category", "text", "response"), "chunk_id")
+
+
 # Fixed value: what stands in for the context when nothing was found.
 NO_HITS = "No related tickets were found."
 

@@ -104,3 +104,25 @@ def test_context(spark):
     )
     assert got[2] == "No related tickets were found."
     assert rows(v.sources(hits), "score", "response") == [(0.5124, ""), (0.9, "reset it")]
+
+
+def test_questions_find_their_ticket(spark):
+    from starforge.operators import text
+
+    tickets = spark.createDataFrame(
+        [
+            ("1", "Login", "I cannot log in with my password.", "account", "Reset the password."),
+            ("2", "Invoice", "The invoice shows the wrong amount.", "billing", None),
+            ("3", "Export", "The export of the report never ends.", "reports", None),
+        ],
+        "ticket_id string, subject string, body string, category string, response string",
+    )
+    chunks = text.ticket_chunks(tickets)
+    index = v.build_index(chunks)
+    asked = spark.createDataFrame([(1, "wrong invoice amount"), (2, "password for log in")], "query_id int, text string")
+    queries = v.embed(asked, "text")
+    hits = v.with_text(v.top_k_cosine(index, queries, 1, id_="chunk_id"), chunks)
+    assert rows(hits, "query_id", "ticket_id") == [(1, "2"), (2, "1")]
+    assert "Resolution: Reset the password." in dict(v.build_context(queries, hits).collect())[2]
+    billing = v.top_k_cosine(index, queries, 3, id_="chunk_id", where=col("category") == "billing")
+    assert rows(billing, "query_id", "chunk_id") == [(1, "2-0"), (2, "2-0")]
