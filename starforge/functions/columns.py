@@ -17,6 +17,11 @@ _LONG_CAPITALS = "".join(ch for ch in map(chr, range(0x10000)) if len(ch.title()
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
+def instant(value: dt.datetime) -> Column:
+    """A constant without a time zone; as text, so that no zone of the session shifts it."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 # --------------------------------------------------------------------------- predicates
 
 
@@ -36,12 +41,12 @@ def equals_sql_null(c: Column) -> Column:
 
 def later_than_day(c: Column, day: dt.date) -> Column:
     """The calendar day of ``c`` lies after ``day``; written as a range so that it is pushed down."""
-    return c >= F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    return c >= instant(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))
 
 
 def in_range(c: Column, low: dt.datetime, high: dt.datetime) -> Column:
     """Half-open time range."""
-    return (c >= F.lit(low).cast("timestamp_ntz")) & (c < F.lit(high).cast("timestamp_ntz"))
+    return (c >= instant(low)) & (c < instant(high))
 
 
 # --------------------------------------------------------------------------- text
@@ -100,8 +105,14 @@ def quarter_hour_key(c: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Exact decimal seconds, for timestamps with or without a zone."""
-    return F.timestamp_diff("MICROSECOND", start, end).cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)")
+    """Exact decimal seconds.  Subtraction needs no time zone, unlike ``timestamp_diff``."""
+    passed = end - start
+
+    def field(name: str) -> Column:
+        return F.extract(F.lit(name), passed)
+
+    minutes = (field("DAY") * 24 + field("HOUR")) * 60 + field("MINUTE")
+    return minutes.cast("decimal(18,0)") * 60 + field("SECOND")
 
 
 def minutes_between(start: Column, end: Column, digits: int | None = None, half_even: bool = False) -> Column:
@@ -143,7 +154,7 @@ def now(as_of: dt.datetime | None = None) -> Column:
     """The given instant, or the current one."""
     if as_of is None:
         return F.localtimestamp()
-    return F.lit(as_of).cast("timestamp_ntz")
+    return instant(as_of)
 
 
 # --------------------------------------------------------------------------- numbers

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions import columns as c
-from starforge.operators.relational import mean
+from starforge.operators.relational import count_all, mean
 from starforge.operators.star import calendar, dim_release_date
 from starforge.operators.windows import dense_key, top_n_per
 
@@ -52,7 +52,7 @@ def one_per_movie(raw: DataFrame) -> DataFrame:
     return raw.groupBy("imdbID").agg(F.min(F.struct(*rest)).alias("_m")).select("imdbID", "_m.*")
 
 
-def dim_movie(raw: DataFrame) -> DataFrame:
+def dim_movie(raw: DataFrame, n_rows: int | None = None) -> DataFrame:
     """One descriptive row per movie id."""
     rows = one_per_movie(raw).select(
         col("imdbID").alias("imdb_id"),
@@ -61,14 +61,17 @@ def dim_movie(raw: DataFrame) -> DataFrame:
         c.known(col("Plot")).alias("plot"),
         c.known(col("Poster")).alias("poster_url"),
     )
-    return dense_key(rows, ["imdb_id"], "movie_key", n_rows=raw.count())
+    return dense_key(rows, ["imdb_id"], "movie_key", n_rows=n_rows)
 
 
-def dim_named(raw: DataFrame, field: str, key: str, name: str) -> DataFrame:
-    """Names from a field that may list several; only the first counts."""
+def first_names(raw: DataFrame, field: str, name: str) -> DataFrame:
+    """Distinct names from a field that may list several; only the first counts."""
     first = c.first_listed(c.known(col(field)))
-    names = raw.select(first.alias(name)).where(col(name).isNotNull()).distinct()
-    return dense_key(names, [name], key)
+    return raw.select(first.alias(name)).where(col(name).isNotNull()).distinct()
+
+
+def dim_named(raw: DataFrame, field: str, key: str, name: str, n_rows: int | None = None) -> DataFrame:
+    return dense_key(first_names(raw, field, name), [name], key, n_rows=n_rows)
 
 
 def genres_of(raw: DataFrame) -> DataFrame:
@@ -77,8 +80,8 @@ def genres_of(raw: DataFrame) -> DataFrame:
     return raw.select(col("imdbID").alias("imdb_id"), F.explode(listed).alias("genre_name")).distinct()
 
 
-def dim_genre(raw: DataFrame) -> DataFrame:
-    return dense_key(genres_of(raw).select("genre_name").distinct(), ["genre_name"], "genre_key")
+def dim_genre(raw: DataFrame, n_rows: int | None = None) -> DataFrame:
+    return dense_key(genres_of(raw).select("genre_name").distinct(), ["genre_name"], "genre_key", n_rows=n_rows)
 
 
 def bridge_movie_genre(raw: DataFrame, movie: DataFrame, genre: DataFrame) -> DataFrame:
@@ -90,7 +93,7 @@ def bridge_movie_genre(raw: DataFrame, movie: DataFrame, genre: DataFrame) -> Da
     )
 
 
-def fact_movie(raw: DataFrame, dims: dict[str, tuple[DataFrame, str, str, str]], movie: DataFrame) -> DataFrame:
+def fact_movie(raw: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], movie: DataFrame) -> DataFrame:
     """One row per movie: keys of all dimensions and the parsed measures."""
     rotten = c.pick(col("Ratings"), "Source", "Rotten Tomatoes")["Value"]
     df = one_per_movie(raw).select(
@@ -105,32 +108,35 @@ def fact_movie(raw: DataFrame, dims: dict[str, tuple[DataFrame, str, str, str]],
         c.date_key(F.to_date(c.known(col("Released")), "dd MMM yyyy")).alias("release_date_key"),
     )
     df = df.join(movie.select(col("imdb_id").alias("imdbID"), "movie_key"), "imdbID")
-    for field, (dim, key, name, _) in dims.items():
+    for field, (dim, key, name) in dims.items():
         side = dim.select(col(key), col(name).alias(f"_{key}"))
         df = df.join(side, c.first_listed(c.known(col(field))) == col(f"_{key}"), "left")
     return df.select(
-        "movie_key", *[key for _, key, _, _ in dims.values()], "release_date_key", "runtime_minutes", "imdb_rating",
+        "movie_key", *[key for _, key, _ in dims.values()], "release_date_key", "runtime_minutes", "imdb_rating",
         "imdb_votes", "metascore", "rotten_tomatoes_pct", "box_office_usd",
     )
 
 
-def build(raw: DataFrame, calendar_end: dt.date = dt.date(2026, 12, 31)) -> MovieStar:
-    movie, genre = dim_movie(raw), dim_genre(raw)
+# Fields that become small dimensions: field, key, name column.
+NAMED = [
+    ("Director", "director_key", "name"),
+    ("Country", "country_key", "country_name"),
+    ("Language", "language_key", "language_name"),
+    ("Rated", "certificate_key", "code"),
+]
+
+
+def build(raw: DataFrame, calendar_end: dt.date | None = None) -> MovieStar:
+    """All tables of the star; the release calendar runs from 1900 to ``calendar_end`` or today."""
+    names = [first_names(raw, field, name) for field, _, name in NAMED]
+    n_movies, n_genres, *sizes = count_all([raw, genres_of(raw).select("genre_name").distinct(), *names])
+    movie, genre = dim_movie(raw, n_movies), dim_genre(raw, n_genres)
     named = {
-        field: (dim_named(raw, field, key, name), key, name, field)
-        for field, key, name in [
-            ("Director", "director_key", "name"),
-            ("Country", "country_key", "country_name"),
-            ("Language", "language_key", "language_name"),
-            ("Rated", "certificate_key", "code"),
-        ]
+        field: (dim_named(raw, field, key, name, size), key, name) for (field, key, name), size in zip(NAMED, sizes)
     }
     return MovieStar(
         movie,
-        named["Director"][0],
-        named["Country"][0],
-        named["Language"][0],
-        named["Rated"][0],
+        *[dim for dim, _, _ in named.values()],
         genre,
         dim_release_date(calendar(raw.sparkSession, dt.date(1900, 1, 1), calendar_end)),
         bridge_movie_genre(raw, movie, genre),

@@ -18,9 +18,14 @@ col = F.col
 # --------------------------------------------------------------------------- generated dimensions
 
 
-def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    """All days from ``start`` to ``end``."""
-    days = F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
+# The days of the warehouse calendar.
+FIRST_DAY, LAST_DAY = dt.date(2023, 1, 1), dt.date(2026, 12, 31)
+
+
+def calendar(spark: SparkSession, start: dt.date = FIRST_DAY, end: dt.date | None = LAST_DAY) -> DataFrame:
+    """All days from ``start`` to ``end``, or to today if that is None."""
+    last = F.current_date() if end is None else F.lit(end)
+    days = F.sequence(F.lit(start), last, F.expr("INTERVAL 1 DAY"))
     return spark.range(1).select(F.explode(days).alias("full_date"))
 
 

@@ -190,7 +190,7 @@ def lod_11(t):
 )
 def inc_1(t):
     mark = incremental.high_water(_earlier(t.trips, "requested_at"), "requested_at")
-    return t.spark.range(1).select(F.lit(mark).cast("timestamp_ntz").alias("mark"))
+    return t.spark.range(1).select(c.instant(mark).alias("mark"))
 
 
 @query(

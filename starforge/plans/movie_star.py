@@ -1,5 +1,7 @@
 """Queries over nested movie records."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from starforge.operators import movies
@@ -25,7 +27,7 @@ _GENRES = "SELECT DISTINCT imdb_id, g AS genre_name FROM movies, unnest(string_s
               count(imdb_id) AS released FROM days LEFT JOIN movies ON movies.released = d GROUP BY d""",
 )
 def dim_10(t):
-    m = movies.build(t.movies)
+    m = movies.build(t.movies, dt.date(2026, 12, 31))
     used = m.fact_movie.groupBy(col("release_date_key").alias("date_key")).agg(F.count(F.lit(1)).alias("released"))
     joined = m.dim_release_date.drop("full_date").join(used, "date_key", "left")
     return joined.withColumn("released", F.coalesce("released", F.lit(0)))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starforge.functions.columns import now
 from starforge.operators import loads
 from starforge.session import cut_lineage
 
@@ -151,7 +152,7 @@ class Staging:
 
     def replace_batch(self, df: DataFrame, batch_id: str, staged_at=None) -> None:
         """Delete-then-insert of one batch; an empty batch leaves none of the old rows."""
-        stamp = F.localtimestamp() if staged_at is None else F.lit(staged_at).cast("timestamp_ntz")
+        stamp = now(staged_at)
         df.withColumn("staged_at", stamp).write.mode("overwrite").parquet(self._dir(batch_id))
 
     def read(self) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.functions.columns import instant
 from starforge.operators import loads
 from starforge.sources.tables import Staging, Table
 
@@ -15,7 +16,7 @@ DEFAULT_MARK = dt.datetime(2000, 1, 1)
 
 def high_water(target: DataFrame, ts: str, default: dt.datetime = DEFAULT_MARK) -> dt.datetime:
     """Latest event time in the target; the default on an empty one."""
-    mark = F.coalesce(F.max(ts), F.lit(default).cast("timestamp_ntz"))
+    mark = F.coalesce(F.max(ts), instant(default))
     return target.agg(mark.alias("mark")).first()["mark"]
 
 
@@ -25,7 +26,7 @@ def newer_than(src: DataFrame, ts: str, mark: dt.datetime, lookback: dt.timedelt
     Rows that arrive late, or share the time of the mark, are not seen again; ``lookback``
     re-reads a period before it, which insert-if-absent makes harmless.
     """
-    return src.where(F.col(ts) > F.lit(mark - lookback).cast("timestamp_ntz"))
+    return src.where(F.col(ts) > instant(mark - lookback))
 
 
 def run_load(table: Table, src: DataFrame, ts: str, keys: list[str], full_reload: bool = False, truncate: bool = False) -> None:
