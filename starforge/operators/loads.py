@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.operators.quality import Rule, gate
+from starforge.operators.relational import anti, keys_of, semi
 from starforge.operators.windows import top_n_per
 
 col = F.col
@@ -34,7 +35,7 @@ def new_rows(target: DataFrame, src: DataFrame, keys: list[str], order: list[str
     scan of its key column, without a shuffle of the target.
     """
     first, keyless = _one_per_key(src, keys, order)
-    known = target.select(*keys).join(src.select(*keys), keys, "left_semi")
+    known = target.select(*keys).join(keys_of(src, *keys), keys, "left_semi")
     return first.join(known, keys, "left_anti").select(*src.columns).unionByName(keyless)
 
 
@@ -78,13 +79,12 @@ def load_fact(target: DataFrame, src: DataFrame, keys: list[str], order: list[st
 
 def replace_children(target: DataFrame, src: DataFrame, parents: DataFrame, parent_key: str) -> DataFrame:
     """Drop all children of the changed ``parents`` and add the fresh set."""
-    kept = target.join(parents.select(parent_key), parent_key, "left_anti").select(*target.columns)
-    return kept.unionByName(src)
+    return anti(target, parents, parent_key).unionByName(src)
 
 
 def drop_orphans(dependents: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Rows whose parent still exists."""
-    return dependents.join(parents.select(key), key, "left_semi").select(*dependents.columns)
+    return semi(dependents, parents, key)
 
 
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:

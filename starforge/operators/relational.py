@@ -160,12 +160,31 @@ def trip_log(trips: DataFrame, drivers: DataFrame, passengers: DataFrame, locati
     )
 
 
+def keys_of(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Distinct keys for a semi or anti join.
+
+    Repeats vanish before the shuffle, so a key that fills the table arrives as one row; the
+    join then reuses the partitioning of the DISTINCT.
+    """
+    return df.select(*columns).distinct()
+
+
+def semi(a: DataFrame, b: DataFrame, column: str, other: str | None = None) -> DataFrame:
+    """``column IN (SELECT other FROM b)``"""
+    return a.join(keys_of(b, F.col(other or column).alias(column)), column, "left_semi").select(*a.columns)
+
+
+def anti(a: DataFrame, b: DataFrame, column: str, other: str | None = None) -> DataFrame:
+    """Rows of ``a`` without a partner in ``b``."""
+    return a.join(keys_of(b, F.col(other or column).alias(column)), column, "left_anti").select(*a.columns)
+
+
 def full_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Full outer join on one key, as a left join plus the rows of ``b`` without a partner.
 
     Spark can split a heavy key in both parts, which it cannot in a full join.
     """
-    right_only = b.join(a.select(key).where(F.col(key).isNotNull()), key, "left_anti")
+    right_only = anti(b, a, key)
     return a.join(b, key, "left").unionByName(right_only, allowMissingColumns=True)
 
 
@@ -178,7 +197,7 @@ def not_in(a: DataFrame, b: DataFrame, column: str, other: str | None = None) ->
     other = other or column
     n_rows = b.agg(F.count(F.lit(1))).scalar()
     n_null = b.agg(F.count_if(F.col(other).isNull())).scalar()
-    kept = a.join(b.select(F.col(other).alias(column)), column, "left_anti").select(*a.columns)
+    kept = anti(a, b, column, other)
     return kept.where((n_null == 0) & (F.col(column).isNotNull() | (n_rows == 0)))
 
 

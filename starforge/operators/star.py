@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
-from starforge.operators.relational import broadcast_up_to, count_all, cross_series, join_null_safe, look_up
+from starforge.operators.relational import broadcast_up_to, count_all, cross_series, join_null_safe, keys_of, look_up
 from starforge.operators.windows import dense_key
 from starforge.session import cut_lineage
 
@@ -196,7 +196,8 @@ def dim_promo_code(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
 
 def assign_keys(existing: DataFrame, new: DataFrame, natural: list[str], name: str, limit: int | None = None) -> DataFrame:
     """Old rows keep their key; natural keys not seen before continue after the highest."""
-    unseen = new.join(existing.select(*natural), natural, "left_anti").dropDuplicates(natural)
+    # of several rows with one natural key any may stay: they should agree on the rest
+    unseen = new.join(keys_of(existing, *natural), natural, "left_anti").dropDuplicates(natural)
     start = existing.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
     keyed = dense_key(unseen, natural, name, limit, start=start)
     return existing.unionByName(keyed, allowMissingColumns=True)

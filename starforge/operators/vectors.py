@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -208,7 +209,8 @@ def with_cell(index: DataFrame, vector: str = "embedding", bits: int = 6, seed:
 
 def _probes(cell: int, bits: int, radius: int) -> list[int]:
     """All cells that differ from ``cell`` in at most ``radius`` planes."""
-    return [c for c in range(1 << bits) if (c ^ cell).bit_count() <= radius]
+    flips = (combo for r in range(radius + 1) for combo in combinations(range(bits), r))
+    return [cell ^ sum(1 << b for b in combo) for combo in flips]
 
 
 def approx_top_k(

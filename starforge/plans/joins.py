@@ -89,8 +89,7 @@ def joi_6(t):
        WHERE l.l_orderkey IS NULL""",
 )
 def joi_7(t):
-    lines = t.raw("lineitem").select(col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey", "o_custkey").join(lines, "o_orderkey", "left_anti")
+    return r.anti(t.orders.select("o_orderkey", "o_custkey"), t.raw("lineitem"), "o_orderkey", "l_orderkey")
 
 
 @query("joi_8", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -103,8 +102,8 @@ def joi_8(t):
     """SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)""",
 )
 def joi_9(t):
-    big = t.raw("lineitem").where(col("l_quantity") >= 50).select(col("l_partkey").alias("p_partkey"))
-    return t.raw("part").select("p_partkey", "p_name").join(big, "p_partkey", "left_semi")
+    big = t.raw("lineitem").where(col("l_quantity") >= 50)
+    return r.semi(t.raw("part").select("p_partkey", "p_name"), big, "p_partkey", "l_partkey")
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starforge.functions.columns import now
 from starforge.operators import loads
+from starforge.operators.relational import keys_of
 from starforge.session import cut_lineage
 
 
@@ -124,7 +125,7 @@ def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys: list
         latest.write.partitionBy(part).parquet(path)
         return
     target = spark.read.parquet(path)
-    old = target.select(*keys, part).join(src.select(*keys), keys, "left_semi").select(part)
+    old = target.select(*keys, part).join(keys_of(src, *keys), keys, "left_semi").select(part)
     touched = [r[0] for r in old.union(src.select(part)).distinct().collect()]  # partition values only
     before = target.where(F.col(part).isin(touched))
     update = [c for c in src.columns if c not in keys]
