@@ -101,8 +101,12 @@ def add_column(df: DataFrame, name: str, type_: str | T.DataType) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(type_))
 
 
-def load_atomic(table, rows: DataFrame, rules: list[Rule]) -> dict:
-    """Append ``rows`` only if every rule holds for all of them, in one new table version."""
-    summary = gate(rows, rules)
-    table.overwrite(table.read().unionByName(rows, allowMissingColumns=True))
-    return summary
+def load_atomic(*batches: tuple) -> list[dict]:
+    """Append several batches, each (table, rows, rules), or none of them.
+
+    All rules of all batches are checked before the first row is written.
+    """
+    summaries = [gate(rows, rules) for _, rows, rules in batches]
+    for table, rows, _ in batches:
+        table.append(rows)
+    return summaries

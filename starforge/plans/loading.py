@@ -168,13 +168,13 @@ def lod_11(t):
     trips = t.trips.select("trip_id", "base_fare", "status")
     rules = [quality.min_rows(1), quality.no_rows("base_fare_positive", col("base_fare") <= 0)]
     table.overwrite(trips.where(col("status") == "completed").drop("status"))
-    loads.load_atomic(table, trips.where(col("status") == "cancelled").drop("status"), rules)
+    loads.load_atomic((table, trips.where(col("status") == "cancelled").drop("status"), rules))
     # one bad row: nothing of this batch may appear
     broken = trips.where(col("status") == "no_show").withColumn(
         "base_fare", F.when(col("trip_id") > 100, col("base_fare")).otherwise(-col("base_fare"))
     )
     try:
-        loads.load_atomic(table, broken.drop("status"), rules)
+        loads.load_atomic((table, broken.drop("status"), rules))
     except quality.DataQualityError:
         pass
     return table.read()

@@ -60,12 +60,15 @@ class Table:
     """A parquet table that is replaced as a whole by writing the next version beside it.
 
     A version counts once its write job has committed, so readers see the old or the new
-    table and a failed write changes nothing.
+    table and a failed write changes nothing.  With ``partition_by``, rows are balanced over
+    tasks before they are written, so that a large partition gets several files and a small
+    one does not get many.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType | None = None
+    partition_by: tuple[str, ...] = ()
 
     def _versions(self) -> list[int]:
         fs, p = _fs(self.spark, self.path)
@@ -83,11 +86,24 @@ class Table:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.parquet(f"{self.path}/v{versions[-1]}")
 
+    def _write(self, df: DataFrame, version: int, mode: str) -> None:
+        if self.partition_by:
+            df = df.hint("rebalance", *self.partition_by)
+        writer = df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/v{version}")
+
     def overwrite(self, df: DataFrame) -> None:
         """Write the next version; ``df`` may read the current one."""
-        versions = self._versions()
         # a failed attempt at this number is replaced
-        df.write.mode("overwrite").parquet(f"{self.path}/v{(versions[-1] if versions else 0) + 1}")
+        self._write(df, max(self._versions(), default=0) + 1, "overwrite")
+
+    def append(self, df: DataFrame) -> None:
+        """Add rows to the current version; they appear when the write job commits."""
+        versions = self._versions()
+        if versions:
+            self._write(df, versions[-1], "append")
+        else:
+            self.overwrite(df)
 
     def vacuum(self, keep: int = 2) -> None:
         """Drop all but the newest versions."""
@@ -99,13 +115,10 @@ class Table:
 
         A repeat after a crash adds only what is still missing.
         """
-        versions = self._versions()
-        if not versions:
-            self.overwrite(loads.insert_new(src.limit(0), src, keys, order))
-            return
-        target = self.read()
-        fresh = loads.insert_new(target.limit(0), loads.new_rows(target, src, keys, order), keys, order)
-        append(fresh, f"{self.path}/v{versions[-1]}")
+        target = self.read() if self._versions() else src.limit(0)
+        fresh = loads.new_rows(target, src, keys, order)
+        known = [c for c in src.columns if c in target.columns]
+        self.append(target.limit(0).unionByName(fresh.select(*known), allowMissingColumns=True))
 
     def upsert(self, src: DataFrame, keys: list[str], update: list[str], order: list[str]) -> None:
         self.overwrite(loads.upsert(self.read(), src, keys, update, order))

@@ -90,15 +90,28 @@ def test_a_failed_write_leaves_the_table(spark):
     assert table.read().count() == 1
 
 
-def test_atomic_load(spark):
-    table = tables.Table(spark, scratch_path(spark, "t"))
-    table.overwrite(target(spark))
+def test_atomic_load_of_two_tables(spark):
+    drivers = tables.Table(spark, scratch_path(spark, "drivers"))
+    trips = tables.Table(spark, scratch_path(spark, "trips"))
+    drivers.overwrite(target(spark))
+    trips.overwrite(target(spark))
+    new_driver = spark.createDataFrame([(3, "x")], "id int, v string")
+    bad_trips = spark.createDataFrame([(3, "x"), (4, None)], "id int, v string")
     rules = [quality.not_null("v")]
     with pytest.raises(quality.DataQualityError, match="not_null_v"):
-        loads.load_atomic(table, spark.createDataFrame([(3, "x"), (4, None)], "id int, v string"), rules)
-    assert table.read().count() == 2
-    loads.load_atomic(table, spark.createDataFrame([(3, "x")], "id int, v string"), rules)
-    assert table.read().count() == 3
+        loads.load_atomic((drivers, new_driver, rules), (trips, bad_trips, rules))
+    assert drivers.read().count() == 2 and trips.read().count() == 2
+    loads.load_atomic((drivers, new_driver, rules), (trips, new_driver, rules))
+    assert drivers.read().count() == 3 and trips.read().count() == 3
+
+
+def test_partitioned_table(spark):
+    table = tables.Table(spark, scratch_path(spark, "p"), partition_by=("month",))
+    df = spark.range(100).select("id", (col("id") % 3).cast("int").alias("month"))
+    table.insert_new(df, ["id"], ["id"])
+    table.insert_new(spark.range(120).select("id", F.lit(5).alias("month")), ["id"], ["id"])
+    assert table.read().count() == 120 and table.read().where("month = 5").count() == 20
+    assert "PartitionFilters: [isnotnull(month" in table.read().where("month = 5")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_partitioned_upsert_moves_rows(spark):
