@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import combinations
+from functools import lru_cache
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,15 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 def hashing_encoder(dim: int = 384) -> Encoder:
     """Word counts hashed to ``dim`` signed buckets: a stand-in where no language model is at hand."""
-    word = re.compile(r"\w+")
+    words = re.compile(r"\w+").findall
+    hashed = lru_cache(100_000)(lambda word: zlib.crc32(word.encode()))
 
     def encode(texts: list[str]) -> np.ndarray:
+        found = [[hashed(w) for w in words(text.lower())] for text in texts]
+        rows = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        hashes = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=len(rows))
         out = np.zeros((len(texts), dim))
-        for row, text in enumerate(texts):
-            for token in word.findall(text.lower()):
-                h = zlib.crc32(token.encode())
-                out[row, h % dim] += 1.0 if h & 0x80000000 else -1.0
+        np.add.at(out, (rows, hashes % dim), np.where(hashes & 0x80000000, 1.0, -1.0))
         return out
 
     return encode
@@ -55,12 +57,14 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = hashing_encoder, out: str = "embedding") -> DataFrame:
     """Add unit vectors of ``text``; the encoder is built once per task."""
 
-    @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = make_encoder()
         for batch in batches:
-            vectors = unit_rows(np.asarray(encoder(batch.fillna("").tolist()), dtype=np.float64))
-            yield pd.Series(list(vectors.astype(np.float32)))
+            texts = [t or "" for t in batch.to_pylist()]
+            vectors = unit_rows(np.asarray(encoder(texts), dtype=np.float64)).astype(np.float32)
+            ends = np.arange(len(texts) + 1, dtype=np.int32) * vectors.shape[1]
+            yield pa.ListArray.from_arrays(ends, pa.array(vectors.ravel()))
 
     return df.withColumn(out, encode(col(text)))
 
@@ -83,6 +87,12 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
+def _list_matrix(lists: pa.ListArray) -> np.ndarray:
+    """Rows of equally long lists, without a copy per row."""
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
+
+
 def _query_blocks(queries: DataFrame, query_id: str, vector: str, size: int) -> Iterator[pd.DataFrame]:
     """Queries in blocks; the driver holds one block."""
     block = []
@@ -123,10 +133,9 @@ def _search_block(
         names, queries, probed = shared.value
         best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
         for batch in batches:
-            lists = batch.column(vector)
             if not batch.num_rows:
                 continue
-            rows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            rows = _list_matrix(batch.column(vector))
             ids = batch.column(id_).to_numpy(zero_copy_only=False)
             lengths = np.linalg.norm(rows, axis=1)
             usable = lengths > 0  # a vector of zeros has no direction
@@ -190,6 +199,8 @@ def _planes(dim: int, bits: int, seed: int) -> np.ndarray:
 
 
 def _cells(m: np.ndarray, bits: int, seed: int) -> np.ndarray:
+    if not len(m):
+        return np.zeros(0, dtype=np.int64)
     return ((m @ _planes(m.shape[1], bits, seed)) > 0) @ (1 << np.arange(bits))
 
 
@@ -200,11 +211,11 @@ def with_cell(index: DataFrame, vector: str = "embedding", bits: int = 6, seed:
     A crowded cell is scanned by many tasks, as cells are never grouped into one.
     """
 
-    @F.pandas_udf("int")
-    def cell(batch: pd.Series) -> pd.Series:
-        return pd.Series(_cells(_matrix(batch), bits, seed).astype(np.int32))
+    @F.arrow_udf("int")
+    def cell(batch: pa.Array) -> pa.Array:
+        return pa.array(_cells(_list_matrix(batch), bits, seed).astype(np.int32))
 
-    return index.withColumn("cell", cell(col(vector)))
+    return index.where(col(vector).isNotNull()).withColumn("cell", cell(col(vector)))
 
 
 def _probes(cell: int, bits: int, radius: int) -> list[int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +48,18 @@ def scan_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], spl
 
 
 def land_raw(sources: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
-    """Copy tables as they are; every run replaces the copies."""
-    landed = {}
-    for name, df in sources.items():
+    """Copy tables as they are; every run replaces the copies.
+
+    The write jobs run side by side, as small tables do not fill a cluster.
+    """
+
+    def land(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, df = item
         df.write.mode("overwrite").parquet(f"{target}/{name}")
-        landed[name] = df.sparkSession.read.parquet(f"{target}/{name}")
-    return landed
+        return name, df.sparkSession.read.parquet(f"{target}/{name}")
+
+    with ThreadPoolExecutor(8) as pool:
+        return dict(pool.map(land, sources.items()))
 
 
 def read_movies(spark: SparkSession, path: str, pattern: str = "tt*.json", whole_files: bool = True) -> DataFrame:
