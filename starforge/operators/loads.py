@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starforge.operators.quality import Rule, gate
+from starforge.operators.quality import gate
 from starforge.operators.relational import anti, keys_of, semi
 from starforge.operators.windows import top_n_per
 

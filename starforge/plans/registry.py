@@ -88,7 +88,6 @@ def all_checks() -> dict[str, str]:
 
 def load_catalog() -> None:
     import importlib
-    import os
 
     for module in CATALOG:
         importlib.import_module(f"starforge.plans.{module}")

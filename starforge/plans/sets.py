@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from starforge.functions import columns as c
 from starforge.operators import relational as r
 from starforge.plans.registry import query
 

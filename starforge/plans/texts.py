@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from starforge.functions import prose
 from starforge.functions.markup import has_markup, strip_html
 from starforge.operators import text
-from starforge.operators import windows as w
 from starforge.plans.registry import query
 
 col = F.col

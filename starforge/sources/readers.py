@@ -18,7 +18,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS, mode="FAILFAST").csv(path)
 
 
-def land_csv(spark: SparkSession, path: str, columns: list[str], load_ts: Column, optional: tuple[str, ...] = ("response",)) -> DataFrame:
+def land_csv(
+    spark: SparkSession, path: str, columns: list[str], load_ts: Column, optional: tuple[str, ...] = ("response",)
+) -> DataFrame:
     """CSV as text, with the file it came from and the load time.
 
     Empty fields stay empty text, except in ``optional`` columns, where they become NULL.
@@ -28,7 +30,7 @@ def land_csv(spark: SparkSession, path: str, columns: list[str], load_ts: Column
     options = {**CSV_OPTIONS, "nullValue": "\u0000", "multiLine": True}
     raw = spark.read.schema(schema).options(**options).csv(path)
     return raw.select(
-        *[F.nullif(F.col(c), F.lit("")).alias(c) if c in optional else F.coalesce(c, F.lit("")).alias(c) for c in columns],
+        *[(F.nullif(c, F.lit("")) if c in optional else F.coalesce(c, F.lit(""))).alias(c) for c in columns],
         F.col("_metadata.file_name").alias("source"),
         load_ts.alias("ingested_at"),
     )
@@ -39,7 +41,9 @@ def scan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
-def scan_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], split_on: str, low: int, high: int, parts: int) -> DataFrame:
+def scan_jdbc(
+    spark: SparkSession, url: str, table: str, columns: list[str], split_on: str, low: int, high: int, parts: int
+) -> DataFrame:
     """A database table in ``parts`` ranges of an integer column, read in parallel."""
     reader = spark.read.format("jdbc").options(
         url=url, dbtable=table, partitionColumn=split_on, lowerBound=low, upperBound=high, numPartitions=parts

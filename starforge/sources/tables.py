@@ -127,7 +127,9 @@ class Table:
         self.overwrite(src)
 
 
-def upsert_partitions(spark: SparkSession, path: str, src: DataFrame, keys: list[str], order: list[str], part: str) -> None:
+def upsert_partitions(
+    spark: SparkSession, path: str, src: DataFrame, keys: list[str], order: list[str], part: str
+) -> None:
     """Upsert whole rows into a large parquet table partitioned by ``part``.
 
     Only partitions that hold an old or a new row of the batch are read in full and
@@ -170,9 +172,8 @@ class Staging:
         df.withColumn("staged_at", stamp).write.mode("overwrite").parquet(self._dir(batch_id))
 
     def read(self) -> DataFrame:
-        schema = T.StructType(
-            [*self.schema.fields, T.StructField("staged_at", T.TimestampNTZType()), T.StructField("batch_id", T.StringType())]
-        )
+        stamp, batch = T.StructField("staged_at", T.TimestampNTZType()), T.StructField("batch_id", T.StringType())
+        schema = T.StructType([*self.schema.fields, stamp, batch])
         if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path)
