@@ -155,23 +155,32 @@ def region(state: Column, mapping: dict[str, list[str]], country: Column | None
 
 
 def dim_driver(stg: DataFrame, as_of: Column, n_rows: int | None = None) -> DataFrame:
-    return dense_key(stg, ["driver_id"], "driver_key", n_rows=n_rows).withColumn(
-        "tenure_bucket", c.tenure_bucket(col("joined_at"), as_of)
-    )
+    return dense_key(driver_attributes(stg, as_of), ["driver_id"], "driver_key", n_rows=n_rows)
 
 
 def dim_passenger(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
-    return dense_key(stg, ["passenger_id"], "passenger_key", n_rows=n_rows).withColumn(
-        "cohort_month", F.date_format("created_at", "yyyy-MM")
-    )
+    return dense_key(passenger_attributes(stg), ["passenger_id"], "passenger_key", n_rows=n_rows)
 
 
 def dim_location(stg: DataFrame, mapping: str = "all_states", n_rows: int | None = None) -> DataFrame:
+    return dense_key(location_attributes(stg, mapping), ["location_id"], "location_key", n_rows=n_rows)
+
+
+def driver_attributes(stg: DataFrame, as_of: Column) -> DataFrame:
+    return stg.withColumn("tenure_bucket", c.tenure_bucket(col("joined_at"), as_of))
+
+
+def passenger_attributes(stg: DataFrame) -> DataFrame:
+    return stg.withColumn("cohort_month", F.date_format("created_at", "yyyy-MM"))
+
+
+def location_attributes(stg: DataFrame, mapping: str = "all_states") -> DataFrame:
+    """``mapping`` is ``all_states``, which looks at the country first, or ``listed``."""
     if mapping == "all_states":
         name = region(col("state_province"), US_REGIONS, col("country"))
     else:
         name = region(col("state_province"), LISTED_REGIONS)
-    return dense_key(stg, ["location_id"], "location_key", n_rows=n_rows).withColumn("region", name)
+    return stg.withColumn("region", name)
 
 
 def _with_sentinel(stg: DataFrame, label: str, text: str) -> DataFrame:

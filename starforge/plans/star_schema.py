@@ -1,6 +1,7 @@
 """Dimensions, normalisation and the trip fact."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from starforge.operators import star
 from starforge.operators import windows as w
 from starforge.plans.joins import clean_name_sql
 from starforge.plans.registry import query
+from starforge.session import scratch_path
+from starforge.warehouse import Warehouse
 
 col = F.col
 AS_OF = dt.datetime(2000, 8, 31)
@@ -267,6 +270,30 @@ def fct_2_skipped(t):
     return skipped
 
 
+_VALID = "surge_multiplier IS NOT NULL AND (status <> 'completed' OR completed_at IS NOT NULL)"
+
+
+@query(
+    "warehouse_runs",
+    f"""{RESOLVED_SQL}
+    SELECT trip_id AS source_trip_id, driver_key, passenger_key, promo_code_key, round_even(CAST(
+             (base_fare * surge_multiplier + tip_amount - discount_amount) * 100 AS DOUBLE), 0) / 100 AS fare_amount
+    FROM resolved WHERE skip_reason IS NULL AND {_VALID}""",
+    doubles="promo_code_key",
+)
+def warehouse_runs(t):
+    """A full load of the earlier trips, then an incremental run over all of them."""
+    trips = t.trips.where(_VALID)
+    early = trips.where(col("requested_at") < c.now(dt.datetime(1999, 1, 1)))
+    tables = {n: getattr(t, n) for n in "drivers passengers locations payment_methods promo_codes trip_cancellations".split()}
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), covered(t))
+    warehouse.run(SimpleNamespace(**tables, trips=early), AS_OF, "first", full_reload=True)
+    warehouse.run(SimpleNamespace(**tables, trips=trips), AS_OF, "second")
+    return warehouse.fact.read().select(
+        "source_trip_id", "driver_key", "passenger_key", "promo_code_key", "fare_amount"
+    )
+
+
 FACT_MARTS_SQL = f"""
     SELECT row_number() OVER (ORDER BY t.trip_id) AS trip_key, t.trip_id AS source_trip_id,
            CAST(strftime(requested_at, '%Y%m%d') AS BIGINT) AS date_key, driver_key, passenger_key,

@@ -78,6 +78,9 @@ class Table:
         numbers = sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
         return [n for n in numbers if exists(self.spark, f"{self.path}/v{n}/_SUCCESS")]
 
+    def exists(self) -> bool:
+        return bool(self._versions())
+
     def read(self) -> DataFrame:
         versions = self._versions()
         if not versions:
