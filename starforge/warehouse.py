@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from starforge.functions.columns import now
 from starforge.operators import loads, quality, star
 from starforge.operators.relational import broadcast_up_to, count_all
+from starforge.operators.windows import dense_key
 from starforge.session import cut_lineage
 from starforge.sources.tables import Staging, Table, clean_up
 from starforge.streaming.incremental import high_water, newer_than
@@ -36,15 +38,18 @@ def sync_dimension(table: Table, rows: DataFrame, natural: str, key: str, update
 
     With ``update`` their attributes follow the source, else they stay as first loaded.
     """
-    empty = rows.limit(0).withColumn(key, F.lit(None).cast("bigint"))
-    existing = table.read() if table.exists() else empty
+    if not table.exists():
+        table.overwrite(dense_key(rows, [natural], key))
+        return
+    existing = table.read()
     if update:
         merged = loads.upsert(existing, rows, [natural], [c for c in rows.columns if c != natural], [natural])
     else:
         merged = loads.insert_new(existing, rows, [natural], [natural])
     merged = cut_lineage(merged)
-    fresh = merged.where(col(key).isNull()).drop(key)
-    table.overwrite(star.assign_keys(merged.where(col(key).isNotNull()), fresh, [natural], key))
+    n_new, highest = merged.agg(F.count_if(col(key).isNull()), F.max(key)).first()
+    fresh = dense_key(merged.where(col(key).isNull()).drop(key), [natural], key, n_rows=n_new, start=highest or 0)
+    table.overwrite(merged.where(col(key).isNotNull()).unionByName(fresh))
 
 
 class Warehouse:
@@ -66,8 +71,13 @@ class Warehouse:
             "payment_method": star.stg_payment_methods(raw.payment_methods),
             "promo_code": star.stg_promo_codes(raw.promo_codes),
         }
-        for name, df in rows.items():
-            sync_dimension(self.dimension(name), df, f"{name}_id", f"{name}_key", update)
+
+        def sync(name: str) -> None:
+            sync_dimension(self.dimension(name), rows[name], f"{name}_id", f"{name}_key", update)
+
+        # the dimensions do not depend on each other, and small ones do not fill a cluster
+        with ThreadPoolExecutor(len(rows)) as pool:
+            list(pool.map(sync, rows))
 
     def lookups(self) -> star.Lookups:
         keys = [self.dimension(n).read().select(f"{n}_id", f"{n}_key") for n in star.DIMENSIONS]
