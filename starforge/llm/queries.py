@@ -32,3 +32,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starforge.llm import simhash
 
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, most_bits=3)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import bpe
+
+    path = tokenizer_path()
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.decoded(ids.select("doc_id", "ids"), path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.ids_text(col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
