@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge.session import scratch_path, ship_package
@@ -184,3 +184,35 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+# --------------------------------------------------------------------------- native helpers
+
+
+def let(value, body):
+    """``body(value)`` with ``value`` computed once per row, also where lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words_of(text):
+    """Words between ASCII white space; none for a null or blank text."""
+    bare = F.trim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(F.length(bare) > 0, F.split(bare, "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>"))
+
+
+def numbered(df: DataFrame, order: list, name: str = "_nr") -> DataFrame:
+    """0, 1, 2 .. over the whole table in the given order.
+
+    Rows are range partitioned and stored with their place in the task; a task's first number is
+    the count of the rows in the tasks before it, a table with one row per task.
+    """
+    order = [*order, F.monotonically_increasing_id()]  # spreads ties over tasks
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order[:-1])
+    placed = stored(placed.withColumn("_pos", F.monotonically_increasing_id()), "numbered")
+    task = F.shiftright("_pos", 33)
+    rows = placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("_task", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_task", task).join(F.broadcast(rows), "_task")
+    return joined.withColumn(name, col("_pos") - col("_first") + col("_before")).drop("_task", "_pos", "_first", "_before")

@@ -52,3 +52,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.ids_text(col("ids")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import fingerprints as fp
+
+    rows = fp.compared_with_edits(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fp.as_text(col("sketch")).alias("fingerprint"),
+        fp.as_text(col("edited_sketch")).alias("edited_fingerprint"),
+        fp.resemblance(col("sketch"), col("edited_sketch")).alias("near_edited"),
+        fp.resemblance(col("sketch"), col("next_sketch")).alias("near_next"),
+        fp.containment(col("sketch"), col("edited_sketch")).alias("contained_in_edited"),
+    )
+
+
+@query("op9_embeddings")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import embeddings
+
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
