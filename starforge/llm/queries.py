@@ -76,3 +76,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starforge.llm import embeddings
 
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+# A document is of good quality from this score on.
+GOOD = 0.7
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    machine = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text", "n_chars"), machine).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (col("score") >= GOOD).cast("int").alias("predicted")
+    )
