@@ -91,3 +91,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs.select("doc_id", "text", "n_chars"), machine).select(
         "doc_id", quality.held_out().alias("held_out"), "score", (col("score") >= GOOD).cast("int").alias("predicted")
     )
+
+
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import secrets
+
+    found = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.as_text(col("base")), 256).alias("base_sha256"),
+        secrets.as_text(col("spans")).alias("spans"),
+    )
