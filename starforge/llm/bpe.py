@@ -34,7 +34,7 @@ MASK = (1 << BITS) - 1
 # Symbols up to which a word counts as short.
 SHORT = 32
 # Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 # What str.split() cuts at although the vocabulary's \s does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -59,7 +59,6 @@ class WordBpe:
         if model["type"] != "BPE" or len(vocab) > MASK:
             raise ValueError("not a BPE vocabulary that fits")
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.pairs: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.pairs[vocab[a] << BITS | vocab[b]] = rank << BITS | vocab[a + b]
@@ -207,13 +206,20 @@ class WordBpe:
         ids = self.known.__getitem__
         return [b"".join(map(ids, w)) for w in words]
 
-    def decode(self, ids: list[int]) -> str:
-        """Tokens joined by a space, as the file names no decoder; unknown ids are left out."""
-        tokens = self.tokens
-        try:
-            return " ".join([tokens[i] for i in ids])
-        except KeyError:
-            return " ".join([tokens[i] for i in ids if i in tokens])
+
+def token_names(definition: str) -> dict[int, str]:
+    """Tokens by id, which is all that decoding needs."""
+    parsed = json.loads(definition)
+    names = {i: t for t, i in parsed["model"]["vocab"].items()}
+    return names | {t["id"]: t["content"] for t in parsed["added_tokens"]}
+
+
+def decode(ids: list[int], names: dict[int, str]) -> str:
+    """Tokens joined by a space, as the file names no decoder; unknown ids are left out."""
+    try:
+        return " ".join([names[i] for i in ids])
+    except KeyError:
+        return " ".join([names[i] for i in ids if i in names])
 
 
 def definition(path: str) -> str:
@@ -245,13 +251,13 @@ def decoder(spark: SparkSession, path: str):
     shared = spark.sparkContext.broadcast(definition(path))
 
     @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = WordBpe(shared.value)
+    def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = token_names(shared.value)
         for lists in batches:
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            yield pa.array([bpe.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+            yield pa.array([decode(flat[a:b].tolist(), names) for a, b in zip(ends, ends[1:])], pa.string())
 
-    return decode
+    return text_of
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
