@@ -104,3 +104,45 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.as_text(col("base")), 256).alias("base_sha256"),
         secrets.as_text(col("spans")).alias("spans"),
     )
+
+
+# Host, path and verdict of the rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+URLS_SQL = """
+    WITH cut AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ), parts AS (
+        SELECT page_id,
+               translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+        FROM cut
+    ), found AS (
+        SELECT page_id, host, path,
+               CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+                    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+                    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+                    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+        FROM parts
+    )
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+    FROM found"""
+
+
+@query("op4_urls", URLS_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import urls
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules)[
+        ["page_id", "host", "path", "rule", "verdict"]
+    ]
