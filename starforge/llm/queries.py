@@ -146,3 +146,34 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules)[
         ["page_id", "host", "path", "rule", "verdict"]
     ]
+
+
+def domain_of(source):
+    """The tables have no domain, so sources are dealt to three."""
+    return F.concat(F.lit("d"), (F.crc32(F.coalesce(source, F.lit("")).cast("binary")) % 3).cast("string"))
+
+
+def production_mix():
+    from starforge.llm.mixing import Mix
+
+    weights = [{"d0": 0.4, "d1": 0.35, "d2": 0.25}, {"en": 0.55, "de": 0.18, "fr": 0.17, "es": 0.1}, {}]
+    return Mix(["domain", "lang", "source"], weights, share=0.6, epochs=4)
+
+
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import mixing
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = docs.withColumn("domain", domain_of(col("source")))
+    return mixing.mixed(docs, production_mix(), keep=["doc_id", "domain", "lang", "source"])
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from starforge.llm import tokencounts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return tokencounts.with_counts(docs, path).select("doc_id", "n_pretokens", "n_tokens")
