@@ -177,3 +177,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("piece_bpe_32k.model")
     return tokencounts.with_counts(docs, path).select("doc_id", "n_pretokens", "n_tokens")
+
+
+@query("op1_substrings")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import substrings
+
+    kept = substrings.without_repeats(table(spark, sf_dir, "documents"), window=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
