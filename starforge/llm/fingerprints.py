@@ -29,7 +29,7 @@ def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column
 
     Fewer words than a shingle has are one shingle; no words have no hash.
     """
-    limit = _LOWEST + (1 << 64) // one_in
+    limit = _LOWEST + (1 << 64) // one_in - 1
 
     def hashes(words: Column) -> Column:
         last = F.greatest(F.size(words) - shingle, F.lit(0))
@@ -42,14 +42,14 @@ def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column
 
 def retained(hashes: Column, limit: int) -> Column:
     """What a fingerprint keeps of ``hashes``."""
-    below = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < limit)))
+    below = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= limit)))
     smallest = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(hashes)
     return let(below, lambda b: F.when(F.size(b) > 0, b).otherwise(smallest))
 
 
 def merged(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
     """The fingerprint of two documents' shingles together, from their fingerprints."""
-    limit = _LOWEST + (1 << 64) // one_in
+    limit = _LOWEST + (1 << 64) // one_in - 1
     return let(F.array_union(a, b), lambda h: retained(h, limit))
 
 
@@ -68,8 +68,8 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), ",")
 
 
-def with_next(docs: DataFrame, id_: str, text: str, payload: list[Column]) -> DataFrame:
-    """(id, text, payload, next_text, next payload) of each document and the next by descending id.
+def with_next(docs: DataFrame, id_: str, text: str) -> DataFrame:
+    """(_id, _text, _next) of each document: its text and that of the next by descending id.
 
     After the last comes the first.  Documents without an id come last, several texts of one id
     in the order of their hashes; of repeated rows each is followed by the next copy.  Ids are
@@ -86,8 +86,6 @@ def with_next(docs: DataFrame, id_: str, text: str, payload: list[Column]) -> Da
     ids = numbered(ids, [col("_id").desc_nulls_last(), col("_hash").desc()]).drop("_id")
     total = ids.count()
     texts = own.dropDuplicates(["_key", "_hash"]).join(ids, ["_key", "_hash"])
-    names = [f"_p{n}" for n in range(len(payload))]
-    texts = texts.select("_id", "_text", "_nr", "_copies", *[p.alias(n) for n, p in zip(names, payload)])
     again = F.when(col("_nr") == 0, F.lit(total)).when(col("_nr") % BLOCK == 0, col("_nr"))
     places = F.array_compact(
         F.array(
@@ -98,16 +96,14 @@ def with_next(docs: DataFrame, id_: str, text: str, payload: list[Column]) -> Da
             ),
         )
     )
-    placed = texts.withColumn("_at", F.explode(places)).withColumn("_block", col("_at.block"))
-    in_block = Window.partitionBy("_block").orderBy("_at.nr")
-    follower = F.lead(F.struct("_text", *names)).over(in_block)
-    paired = placed.withColumn("_next", follower).where("_at.own")
-    own_struct = F.struct("_text", *names)
+    placed = texts.select("_id", "_text", "_copies", F.explode(places).alias("_at"))
+    placed = placed.select("_id", "_text", "_copies", "_at.*")
+    # plain columns, as a struct would be built before the shuffle and move the text twice
+    follower = F.lead("_text").over(Window.partitionBy("block").orderBy("nr"))
+    paired = placed.withColumn("_next", F.coalesce(follower, col("_text"))).where("own")
     # a copy is followed by the next copy, the last one by the next document
-    followers = F.concat(
-        F.array_repeat(own_struct, (col("_copies") - 1).cast("int")), F.array(F.coalesce("_next", own_struct))
-    )
-    return paired.select("_id", "_text", *names, F.explode(followers).alias("_next"))
+    followers = F.concat(F.array_repeat("_text", (col("_copies") - 1).cast("int")), F.array("_next"))
+    return paired.select("_id", "_text", F.explode(followers).alias("_next"))
 
 
 def compared_with_edits(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,15 +115,16 @@ def compared_with_edits(docs: DataFrame, id_: str = "doc_id", text: str = "text"
     an empty table gives an empty result.
     """
     plain = docs.select(col(id_), F.coalesce(text, F.lit("")).alias(text))
-    paired = with_next(plain, id_, text, [sketch(col("_text"))])
     n = F.char_length("_text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.left(col("_text"), n - half), F.left(col("_next._text"), half))
-    rows = paired.select(
+    edited = F.concat(F.left(col("_text"), n - half), F.left(col("_next"), half))
+    rows = with_next(plain, id_, text).withColumn("edited", edited)
+    # sketched here rather than before the shuffles: they would add a quarter to what is moved
+    return rows.select(
         col("_id").alias(id_),
         n.cast("long").alias("n_chars"),
-        edited.alias("edited"),
-        col("_p0").alias("sketch"),
-        col("_next._p0").alias("next_sketch"),
+        "edited",
+        sketch(col("_text")).alias("sketch"),
+        sketch(col("edited")).alias("edited_sketch"),
+        sketch(col("_next")).alias("next_sketch"),
     )
-    return rows.withColumn("edited_sketch", sketch(col("edited")))
