@@ -60,6 +60,8 @@ def divided(budget: float, children: list[tuple[float, float]]) -> list[float]:
 
 def budgets(tokens: dict[tuple, int], mix: Mix) -> dict[tuple, int]:
     """Tokens to take of each leaf (a tuple of level values), given the tokens it has."""
+    if not tokens:
+        return {}
     root = _Node()
     for leaf, n in tokens.items():
         node = root
@@ -108,18 +110,21 @@ def mixed(
 ) -> DataFrame:
     """The columns ``keep`` (all) with ``n_tokens``, ``epochs`` (whole ones) and ``tokens_taken`` in all.
 
+    Columns of these three names are replaced.
+
     Every row is returned; one that is not taken has zero.  A null level value is a leaf value of
     its own.  Rows that are the same in id, text and levels share one place in the order and take
-    equal parts, rounded down, if the prefix ends among them.  Null and empty texts have no tokens and nothing is
-    taken of them.  An empty table gives an empty result.
+    equal parts, rounded down, if the prefix ends among them.  Null and empty texts have no
+    tokens and nothing is taken of them.  An empty table gives an empty result.
 
     The order is a hash, so the end of a prefix is found by counting tokens per leaf and leading
     bits of the hash, twice, before the few rows that are left are summed one by one.
     """
-    kept = docs.columns if keep is None else keep
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "epochs", "tokens_taken")]
     levels = [f"_l{n}" for n in range(len(mix.levels))]
-    named = dict(zip(levels, [F.coalesce(col(c).cast("string"), F.lit("\x00")) for c in mix.levels]))
-    rows = docs.withColumns(named | {"_n": tokens_of(col(text)), "_row": F.xxhash64(id_, text, *mix.levels)})
+    named = [F.coalesce(col(c).cast("string"), F.lit("\x00")).alias(n) for n, c in zip(levels, mix.levels)]
+    row = F.xxhash64(id_, text, *mix.levels)
+    rows = docs.select(F.struct(*kept).alias("kept"), *named, tokens_of(col(text)).alias("_n"), row.alias("_row"))
     own = stored(rows.groupBy(*levels, "_row", "_n").agg(F.count(F.lit(1)).alias("_c")), "token-counts")
     totals = own.groupBy(*levels).agg(F.sum(col("_n") * col("_c")).alias("n")).limit(MOST_LEAVES + 1).collect()
     if len(totals) > MOST_LEAVES:
@@ -147,7 +152,7 @@ def mixed(
     last = rest.withColumn("_left", F.greatest(F.lit(0), F.least(col("_n") * col("_c"), col("_rest") - before)))
     last = stored(last.select(*levels, "_row", F.floor(col("_left") / col("_c")).alias("_part")), "last-rows")
 
-    out = rows.select(*kept, *levels, "_n", "_row").join(bounds, levels).withColumn("_place", _place(mix.seed))
+    out = rows.join(bounds, levels).withColumn("_place", _place(mix.seed))
     out = out.join(last, [*levels, "_row"], "left")
     first, second = _bin(0), _bin(1)
     of_last = (
@@ -158,4 +163,4 @@ def mixed(
         .otherwise(F.coalesce("_part", F.lit(0)))
     )
     taken = (col("_epochs") * col("_n") + of_last).cast("bigint")
-    return out.select(*kept, col("_n").alias("n_tokens"), col("_epochs").alias("epochs"), taken.alias("tokens_taken"))
+    return out.select("kept.*", col("_n").alias("n_tokens"), col("_epochs").alias("epochs"), taken.alias("tokens_taken"))

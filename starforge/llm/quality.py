@@ -175,7 +175,8 @@ def train(
             columns = [pa.array(y, pa.float64()), pa.array([f[0] for f in found], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([f[1] for f in found], pa.list_(pa.float32()))], schema=schema)
 
-    rows = docs.join(F.broadcast(sample), id_).select("_y", text, col(n_chars).cast("double").alias("_n"))
+    rows = docs.select(id_, text, n_chars).join(F.broadcast(sample), id_)
+    rows = rows.select("_y", text, col(n_chars).cast("double").alias("_n"))
     rows = rows.limit(settings.most_rows).mapInArrow(extract, "y double, numbers array<int>, x array<float>").toArrow()
     lists = [rows.column(c).combine_chunks() for c in ("numbers", "x")]
     ends = lists[0].offsets.to_numpy()

@@ -214,15 +214,18 @@ def scan(
 ) -> DataFrame:
     """The columns ``keep`` (all but the text) with ``base`` and ``spans`` (start, kind, stop) per row.
 
+    Columns of these two names are replaced.
+
     Spans count in code points, stops are exclusive, kinds are numbers in :data:`KINDS`.  Null and
     empty texts have no spans; repeated rows get equal ones; an empty table gives an empty result.
     The text is read once: spans and scored candidates are stored, then the bound is taken from
     the counts of all candidates, at most a few thousand.
     """
     kept = [c for c in docs.columns if c != text] if keep is None else keep
-    plain = docs.select(*kept, F.coalesce(text, F.lit("")).alias("_text"))
-    found = plain.withColumn("base", base_spans(col("_text")))
-    found = found.select(*kept, "base", candidates(col("_text"), col("base")).alias("cands"))
+    kept = [c for c in kept if c not in ("base", "spans")]
+    plain = docs.select(F.struct(*kept).alias("kept"), F.coalesce(text, F.lit("")).alias("text"))
+    found = plain.withColumn("base", base_spans(col("text")))
+    found = found.select("kept", "base", candidates(col("text"), col("base")).alias("cands"))
     found = stored(found, "candidates")
     # one row per length class, of which there are about thirty
     bounds = {r["long"]: r["score"] for r in thresholds(found, false_share).collect()}
@@ -232,7 +235,7 @@ def scan(
         least = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
         accepted = F.filter("cands", lambda c: F.coalesce(c["score"] >= least[c["long"]], F.lit(False)))
         random = _spans(accepted, KINDS.index("random")).cast(f"array<{_SPAN}>")
-    return found.select(*kept, "base", F.array_sort(F.concat("base", random)).alias("spans"))
+    return found.select("kept.*", "base", F.array_sort(F.concat("base", random)).alias("spans"))
 
 
 def as_text(spans: Column) -> Column:

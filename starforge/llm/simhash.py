@@ -154,5 +154,6 @@ def one_of_each(
     best = F.min(F.struct(col("_id").isNull(), "_id", "_r1", "_r2")).alias("best")
     kept = found.groupBy("root").agg(best).select(col("best._r1").alias("_r1"), col("best._r2").alias("_r2"))
     # repeated rows collapse before the shuffle, which the join then shares
-    single = docs.withColumns({"_r1": row[0], "_r2": row[1]}).dropDuplicates(["_r1", "_r2"])
-    return single.join(kept, ["_r1", "_r2"], "left_semi").select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), row[0].alias("_r1"), row[1].alias("_r2"))
+    single = whole.dropDuplicates(["_r1", "_r2"])
+    return single.join(kept, ["_r1", "_r2"], "left_semi").select("whole.*")

@@ -129,5 +129,6 @@ def with_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     Null and empty texts have none of either; rows are kept with their other columns, repeated
     ones too; columns of these two names are replaced; an empty table stays empty.
     """
-    found = docs.drop("n_pretokens", "n_tokens").withColumn("_counts", counter(docs.sparkSession, path)(col(text)))
-    return found.select("*", "_counts.n_pretokens", "_counts.n_tokens").drop("_counts")
+    kept = F.struct(*[c for c in docs.columns if c not in ("n_pretokens", "n_tokens")])
+    found = docs.select(kept.alias("kept"), counter(docs.sparkSession, path)(col(text)).alias("counts"))
+    return found.select("kept.*", "counts.*")

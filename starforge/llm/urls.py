@@ -105,8 +105,8 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise: str
     own = own.groupBy("prefix", "host", "path").agg(F.max("verdict").alias("verdict"))  # block is the larger word
     labels = F.when(col("host") == "", 0).otherwise(F.size(F.split("host", "\\.")))
     deepest, longest = own.agg(F.max(labels), F.max(F.char_length("path"))).first()
-    rows = pages.drop("host", "path", "rule", "verdict")
-    rows = rows.withColumns({"host": host_of(col(url)), "path": path_of(col(url))})
+    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(F.struct(*kept).alias("page"), host_of(col(url)).alias("host"), path_of(col(url)).alias("path"))
     rows = rows.withColumn("_start", F.left(col("path"), F.lit(longest or 0)))
     # the last labels are all that rules can ask for
     tail = F.array_join(F.slice(F.reverse(F.split("host", "\\.")), 1, max(1, deepest or 0)), ".")
@@ -122,5 +122,5 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise: str
     )
     best = keyed.join(found, "key").groupBy("_tail", "_start").agg(F.max(F.struct("size", "depth", "host", "path", "verdict")).alias("b"))
     best = best.select("_tail", "_start", F.concat("b.host", "b.path").alias("rule"), col("b.verdict").alias("verdict"))
-    out = rows.join(best, ["_tail", "_start"], "left").drop("_tail", "_start")
-    return out.withColumn("verdict", F.coalesce("verdict", F.lit(otherwise)))
+    out = rows.join(best, ["_tail", "_start"], "left")
+    return out.select("page.*", "host", "path", "rule", F.coalesce("verdict", F.lit(otherwise)).alias("verdict"))
