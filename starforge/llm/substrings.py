@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import prepare, stored
+from starforge.llm.common import forget, prepare, stored
 from starforge.llm.fmindex import FmIndex
 
 col = F.col
@@ -41,10 +41,23 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of each ``width`` neighbours, from minima over doubling spans."""
+    span = 1
+    while span * 2 <= width:
+        values = np.minimum(values[: len(values) - span], values[span:])
+        span *= 2
+    rest = width - span
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
+
+
 def minimizers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """First window of each fragment of a document, and its minimizer."""
-    n = len(words) - window + 1
-    if n < 1:
+    """First window of each fragment of a document, and its minimizer.
+
+    A fragment is a run of windows with equal minimizers; of a text that repeats itself it may
+    be long.
+    """
+    if len(words) < window:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     group = min(GROUP, window)
     single = np.fromiter(map(crc32, words), dtype=np.uint64, count=len(words))
@@ -52,13 +65,9 @@ def minimizers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]
     for k in range(group):
         joint = (joint ^ single[k : k + len(joint)]) * _MIX
         joint ^= joint >> np.uint64(29)
-    among = np.lib.stride_tricks.sliding_window_view(joint, window - group + 1)
-    where = np.empty(n, dtype=np.int64)
-    for s in range(0, n, 1 << 16):
-        where[s : s + (1 << 16)] = among[s : s + (1 << 16)].argmin(axis=1)
-    where += np.arange(n)
-    first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-    return first, joint[where[first]].view(np.int64)
+    least = _sliding_min(joint, window - group + 1)
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    return first, least[first].view(np.int64)
 
 
 def _marks(window: int):
@@ -79,19 +88,27 @@ def _fragments(window: int):
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            pieces: list[bytes] = []
+            columns: tuple[list, ...] = ([], [], [], [])
             for id_, packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 data = unpack(packed.as_py())
-                words, row = data.split(), xxhash.xxh3_64_intdigest(data) - (1 << 63)
+                words = data.split()
                 first, m = minimizers(words, window)
-                after = np.append(first[1:], len(words) - window + 1)
-                for k in np.flatnonzero(np.isin(m, wanted.values.to_numpy())).tolist():
-                    a = int(first[k])
-                    piece = b" ".join(words[a : int(after[k]) + window - 1])
-                    for column, value in zip(out, (m[k], piece, id_, row, a)):
-                        column.append(value)
-            types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["m", "words", "id", "row", "at"])
+                found = np.flatnonzero(np.isin(m, wanted.values.to_numpy()))
+                # fragments are slices of the words joined by single spaces
+                line, stops = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
+                last = np.append(first[1:], len(words) - window + 1)[found] + window - 2
+                begins = np.concatenate([[0], stops])[first[found]]
+                pieces += [line[x:y] for x, y in zip(begins.tolist(), (stops[last] - 1).tolist())]
+                n, row = len(found), xxhash.xxh3_64_intdigest(data) - (1 << 63)
+                for column, values in zip(columns, (m[found], np.full(n, id_), np.full(n, row), first[found])):
+                    column.append(values)
+            if pieces:
+                m, ids, rows, at = (np.concatenate(c).astype(np.int64) for c in columns)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(m), pa.array(pieces, pa.binary()), pa.array(ids), pa.array(rows), pa.array(at.astype(np.int32))],
+                    ["m", "words", "id", "row", "at"],
+                )
 
     return fragments
 
@@ -133,22 +150,25 @@ def _search(window: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         routes: list[int] = []
         keys: list[int] = []
+        alone: list[bool] = []
         pieces: list[bytes] = []
         firsts: list[int] = []
         held = 0
 
         def done() -> pa.RecordBatch:
             least = shard_firsts(pieces, np.array(firsts, dtype=np.int64), window)
-            columns = [pa.array(routes, pa.int64()), pa.array(keys, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(columns, ["route", "key", "least"])
+            columns = [pa.array(routes, pa.int64()), pa.array(keys, pa.int64()), pa.array(alone, pa.bool_())]
+            columns.append(pa.array(least, pa.list_(pa.int64())))
+            return pa.RecordBatch.from_arrays(columns, ["route", "key", "alone", "least"])
 
         for batch in batches:
-            for route, key, words, first in zip(*(c.to_pylist() for c in batch.columns)):
+            for route, key, single, words, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if held >= SHARD_WORDS and route != routes[-1]:
                     yield done()
-                    routes, keys, pieces, firsts, held = [], [], [], [], 0
+                    routes, keys, alone, pieces, firsts, held = [], [], [], [], [], 0
                 routes.append(route)
                 keys.append(key)
+                alone.append(single)
                 pieces.append(words)
                 firsts.append(first)
                 held += words.count(b" ") + 1
@@ -179,29 +199,17 @@ def repeated_windows(docs: DataFrame, id_: str = "doc_id", text: str = "text", w
     prepare(docs.sparkSession)
     known = docs.where(col(id_).isNotNull() & col(text).isNotNull())
     marks = known.select(col(id_).cast("bigint").alias("id"), text).mapInArrow(_marks(window), "m long, id long")
+    marks = stored(marks, "minimizers")
     repeated = marks.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(col("n") > 1).select("m")
     wanted = marks.join(repeated, "m").groupBy("id").agg(F.collect_set("m").alias("wanted"))
     rows = _packed(known, id_, text).join(wanted, "id").select("id", "packed", "wanted")
     fragments = "m long, words binary, id long, row long, at int"
     fragments = stored(rows.mapInArrow(_fragments(window), fragments), "fragments")
-    # minimizers with very many different fragments are dealt window by window
-    crowded = fragments.select("m", "words").distinct().groupBy("m").count().where(col("count") > CROWD)
-    known_crowd = fragments.join(crowded.select("m", F.lit(True).alias("crowd")), "m", "left")
-    alone = F.when(col("crowd"), _single_windows(window)(col("words"))).otherwise(F.array("words"))
-    places = known_crowd.select("m", "crowd", "id", "row", "at", F.posexplode(alone).alias("i", "words"))
-    places = places.select(
-        F.when(col("crowd"), F.xxhash64("m", "words")).otherwise(col("m")).alias("route"),
-        F.xxhash64("words").alias("key"),
-        "words",
-        "id",
-        "row",
-        (col("at") + col("i")).alias("at"),
-    )
-    places = stored(places, "places")
-    single = places.groupBy("route", "key", "words").agg(F.min("id").alias("first"))
-    shards = single.repartition("route").sortWithinPartitions("route").select("route", "key", "words", "first")
-    found = shards.mapInArrow(_search(window), "route long, key long, least array<long>")
-    hits = places.drop("words").join(found, ["route", "key"])
+    forget(marks)
+    distinct = fragments.groupBy("m", "words").agg(F.min("id").alias("first"))
+    distinct = stored(distinct.withColumn("key", F.xxhash64("words")), "distinct-fragments")
+    found = least_ids(distinct, window)
+    hits = fragments.select("m", F.xxhash64("words").alias("key"), "id", "row", "at").join(found, ["m", "key"])
     starts = F.filter(
         F.transform("least", lambda f, i: F.when(f < col("id"), col("at") + i)), lambda s: s.isNotNull()
     )
@@ -209,6 +217,34 @@ def repeated_windows(docs: DataFrame, id_: str = "doc_id", text: str = "text", w
     return hits.groupBy("id", "row").agg(F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts"))
 
 
+def least_ids(distinct: DataFrame, window: int) -> DataFrame:
+    """(m, key, least): for each window of the distinct fragments, the smallest id it starts in.
+
+    The fragments of a minimizer go to one shard.  Where they are very many, as at the edge of a
+    passage that very many documents share, each window is dealt by itself, and the fragments'
+    results are put together again.
+    """
+    crowded = distinct.groupBy("m").count().where(col("count") > CROWD).select("m")
+    calm = distinct.join(crowded, "m", "left_anti")
+    single = distinct.join(crowded, "m", "left_semi").select(
+        "m", "key", "first", F.posexplode(_single_windows(window)(col("words"))).alias("i", "words")
+    )
+    single = stored(single.withColumn("route", F.xxhash64("m", "words")), "single-windows")
+    alone = single.groupBy("route", "words").agg(F.min("first").alias("first"))
+    shards = calm.select(col("m").alias("route"), "key", F.lit(False).alias("alone"), "words", "first").unionByName(
+        alone.select("route", F.xxhash64("words").alias("key"), F.lit(True).alias("alone"), "words", "first")
+    )
+    shards = shards.repartition("route").sortWithinPartitions("route", "alone")
+    found = shards.mapInArrow(_search(window), "route long, key long, alone boolean, least array<long>")
+    found = stored(found, "least-ids")
+    whole = found.where(~col("alone")).select(col("route").alias("m"), "key", "least")
+    parts = single.select("m", "key", "i", "route", F.xxhash64("words").alias("k")).join(
+        found.where("alone").select("route", col("key").alias("k"), "least"), ["route", "k"]
+    )
+    parts = parts.groupBy("m", "key").agg(F.array_sort(F.collect_list(F.struct("i", col("least")[0].alias("f")))).alias("w"))
+    return whole.unionByName(parts.select("m", "key", F.transform("w", lambda x: x["f"]).alias("least")))
+
+
 def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
     edges = np.bincount(starts, minlength=n + 1) - np.bincount(starts + window, minlength=n + 1)[: n + 1]
     return np.cumsum(edges)[:n] > 0
