@@ -64,14 +64,16 @@ def strip_spaces(c: Column) -> Column:
 def title_words(c: Column) -> Column:
     """Upper-case the first letter of each run of letters and digits, lower-case the rest.
 
-    ``initcap`` knows only the space as a separator, so a marked space is put before each
-    word that follows another separator, and taken out again.  It also writes some capitals
-    with two letters; such a first letter is shielded by a mark and stays as it is.
+    A first letter whose capital takes more than one letter stays as it is.
     """
-    mark, shield = "\u0001 ", "\u0002"
-    marked = F.regexp_replace(c, r"([^\p{L}\p{N} ])(?=[\p{L}\p{N}])", f"$1{mark}")
-    marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{N}}])(?=[{_LONG_CAPITALS}])", shield)
-    return F.translate(F.replace(F.initcap(marked), F.lit(mark), F.lit("")), shield, "")
+    runs = F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+
+    def written(run: Column) -> Column:
+        first = F.left(run, F.lit(1))
+        kept = F.when(first.rlike(f"[{_LONG_CAPITALS}]"), first).otherwise(F.upper(first))
+        return F.concat(kept, F.lower(F.substring(run, F.lit(2), F.char_length(run))))
+
+    return F.array_join(F.transform(runs, written), "")
 
 
 def clean_name(c: Column) -> Column:
@@ -201,22 +203,32 @@ def known(c: Column) -> Column:
     return F.nullif(c, F.lit("N/A"))
 
 
-def digits_only(c: Column, type_: str = "bigint") -> Column:
-    """``148 min``, ``2,345,678``, ``$28,341,469`` and ``87%`` as numbers."""
-    return F.regexp_replace(known(c), r"[^0-9.\-]", "").try_cast(type_)
+def shaped_number(c: Column, shape: str, type_: str) -> Column:
+    """The number that group 1 of ``shape`` finds, commas left out; NULL for text of another shape."""
+    found = F.regexp_extract(known(c), f"^{shape}$", 1)
+    return F.replace(found, F.lit(","), F.lit("")).try_cast(type_)
+
+
+def plain_number(c: Column, type_: str = "bigint") -> Column:
+    """``74`` or ``8.8``."""
+    return shaped_number(c, r"(-?[0-9]+(?:\.[0-9]+)?)", type_)
 
 
 def minutes_text(c: Column) -> Column:
-    return digits_only(c, "int")
+    """``148 min``."""
+    return shaped_number(c, "([0-9]+) min", "int")
 
 
 def comma_number(c: Column) -> Column:
-    return digits_only(c, "bigint")
+    """``2,345,678``."""
+    return shaped_number(c, "(-?(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+))", "bigint")
 
 
 def dollars(c: Column) -> Column:
-    return digits_only(c, "decimal(15,2)")
+    """``$28,341,469``."""
+    return shaped_number(c, r"\$?((?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)(?:\.[0-9]+)?)", "decimal(15,2)")
 
 
 def percent_text(c: Column) -> Column:
-    return digits_only(c, "int")
+    """``87%``."""
+    return shaped_number(c, "([0-9]+)%", "int")

@@ -5,6 +5,7 @@ Nothing is written here; :mod:`starforge.sources.tables` stores the result.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -104,9 +105,19 @@ def add_column(df: DataFrame, name: str, type_: str | T.DataType) -> DataFrame:
 def load_atomic(*batches: tuple) -> list[dict]:
     """Append several batches, each (table, rows, rules), or none of them.
 
-    All rules of all batches are checked before the first row is written.
+    Every batch is staged first, and the rules are checked on what was staged.  All staged rows
+    count at the moment a common marker is written; if anything fails before, none ever does.
     """
-    summaries = [gate(rows, rules) for _, rows, rules in batches]
-    for table, rows, _ in batches:
-        table.append(rows)
+    first = batches[0][0]
+    marker = f"{first.path}/commits/{uuid.uuid4().hex}"
+    staged, summaries = [], []
+    try:
+        for table, rows, rules in batches:
+            staged.append((table, table.stage(rows, marker)))
+            summaries.append(gate(table.staged(staged[-1][1], rows.schema), rules))
+        first.publish(marker)
+    except BaseException:
+        for table, folder in staged:
+            table.discard(folder)
+        raise
     return summaries

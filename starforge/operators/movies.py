@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions import columns as c
-from starforge.operators.relational import count_all, mean
-from starforge.operators.star import calendar, dim_release_date
+from starforge.operators.relational import mean
+from starforge.operators.star import assign_keys, calendar, dim_release_date
 from starforge.operators.windows import dense_key, top_n_per
+from starforge.session import cut_lineage, side_by_side
 
 col = F.col
 
+# The text fields of a movie record.
+MOVIE_FIELDS = [
+    "imdbID", "Title", "Year", "Rated", "Released", "Runtime", "Genre", "Director", "Actors", "Country", "Language", "Plot",
+    "Poster", "imdbRating", "imdbVotes", "Metascore", "BoxOffice",
+]
+
 MOVIE_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "imdbID Title Year Rated Released Runtime Genre Director Actors Country Language Plot Poster imdbRating "
-            "imdbVotes Metascore BoxOffice"
-        ).split()
-    ]
+    [T.StructField(name, T.StringType()) for name in MOVIE_FIELDS]
     + [
         T.StructField(
             "Ratings",
@@ -52,16 +53,21 @@ def one_per_movie(raw: DataFrame) -> DataFrame:
     return raw.groupBy("imdbID").agg(F.min(F.struct(*rest)).alias("_m")).select("imdbID", "_m.*")
 
 
-def dim_movie(raw: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """One descriptive row per movie id."""
-    rows = one_per_movie(raw).select(
+def keyed(rows: DataFrame, natural: str, key: str, known: DataFrame | None) -> DataFrame:
+    """``rows`` with surrogate keys; what a stored dimension ``known`` has keeps its key."""
+    return dense_key(rows, [natural], key) if known is None else assign_keys(known, rows, [natural], key)
+
+
+def dim_movie(records: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One descriptive row per movie id; ``records`` has one record per movie."""
+    rows = records.select(
         col("imdbID").alias("imdb_id"),
         c.known(col("Title")).alias("title"),
         c.known(col("Rated")).alias("rated"),
         c.known(col("Plot")).alias("plot"),
         c.known(col("Poster")).alias("poster_url"),
     )
-    return dense_key(rows, ["imdb_id"], "movie_key", n_rows=n_rows)
+    return keyed(rows, "imdb_id", "movie_key", known)
 
 
 def first_names(raw: DataFrame, field: str, name: str) -> DataFrame:
@@ -70,8 +76,8 @@ def first_names(raw: DataFrame, field: str, name: str) -> DataFrame:
     return raw.select(first.alias(name)).where(col(name).isNotNull()).distinct()
 
 
-def dim_named(raw: DataFrame, field: str, key: str, name: str, n_rows: int | None = None) -> DataFrame:
-    return dense_key(first_names(raw, field, name), [name], key, n_rows=n_rows)
+def dim_named(records: DataFrame, field: str, key: str, name: str, known: DataFrame | None = None) -> DataFrame:
+    return keyed(first_names(records, field, name), name, key, known)
 
 
 def genres_of(raw: DataFrame) -> DataFrame:
@@ -80,8 +86,8 @@ def genres_of(raw: DataFrame) -> DataFrame:
     return raw.select(col("imdbID").alias("imdb_id"), F.explode(listed).alias("genre_name")).distinct()
 
 
-def dim_genre(raw: DataFrame, n_rows: int | None = None) -> DataFrame:
-    return dense_key(genres_of(raw).select("genre_name").distinct(), ["genre_name"], "genre_key", n_rows=n_rows)
+def dim_genre(records: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    return keyed(genres_of(records).select("genre_name").distinct(), "genre_name", "genre_key", known)
 
 
 def bridge_movie_genre(raw: DataFrame, movie: DataFrame, genre: DataFrame) -> DataFrame:
@@ -93,16 +99,16 @@ def bridge_movie_genre(raw: DataFrame, movie: DataFrame, genre: DataFrame) -> Da
     )
 
 
-def fact_movie(raw: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], movie: DataFrame) -> DataFrame:
+def fact_movie(records: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], movie: DataFrame) -> DataFrame:
     """One row per movie: keys of all dimensions and the parsed measures."""
     rotten = c.pick(col("Ratings"), "Source", "Rotten Tomatoes")["Value"]
-    df = one_per_movie(raw).select(
+    df = records.select(
         "imdbID",
         *dims,
         c.minutes_text(col("Runtime")).alias("runtime_minutes"),
-        c.digits_only(col("imdbRating"), "decimal(3,1)").alias("imdb_rating"),
+        c.plain_number(col("imdbRating"), "decimal(3,1)").alias("imdb_rating"),
         c.comma_number(col("imdbVotes")).alias("imdb_votes"),
-        c.digits_only(col("Metascore"), "int").alias("metascore"),
+        c.plain_number(col("Metascore"), "int").alias("metascore"),
         c.percent_text(rotten).alias("rotten_tomatoes_pct"),
         c.dollars(col("BoxOffice")).alias("box_office_usd"),
         c.date_key(F.to_date(c.known(col("Released")), "dd MMM yyyy")).alias("release_date_key"),
@@ -126,21 +132,30 @@ NAMED = [
 ]
 
 
-def build(raw: DataFrame, calendar_end: dt.date | None = None) -> MovieStar:
-    """All tables of the star; the release calendar runs from 1900 to ``calendar_end`` or today."""
-    names = [first_names(raw, field, name) for field, _, name in NAMED]
-    n_movies, n_genres, *sizes = count_all([raw, genres_of(raw).select("genre_name").distinct(), *names])
-    movie, genre = dim_movie(raw, n_movies), dim_genre(raw, n_genres)
-    named = {
-        field: (dim_named(raw, field, key, name, size), key, name) for (field, key, name), size in zip(NAMED, sizes)
-    }
+def build(raw: DataFrame, calendar_end: dt.date | None = None, known: MovieStar | None = None) -> MovieStar:
+    """All tables of the star; the release calendar runs from 1900 to ``calendar_end`` or today.
+
+    Repeated movies are reduced before anything else, so all tables agree on the record.  With
+    the stored star ``known``, movies and names it has keep their keys and new ones follow.
+    """
+    records = cut_lineage(one_per_movie(raw))
+    stored = {} if known is None else {
+        "Director": known.dim_director, "Country": known.dim_country, "Language": known.dim_language, "Rated": known.dim_certificate,
+    }
+    jobs = [
+        lambda: dim_movie(records, known and known.dim_movie),
+        lambda: dim_genre(records, known and known.dim_genre),
+        *[lambda f=f, k=k, n=n: dim_named(records, f, k, n, stored.get(f)) for f, k, n in NAMED],
+    ]
+    movie, genre, *dims = side_by_side(lambda job: job(), jobs)
+    named = {field: (dim, key, name) for (field, key, name), dim in zip(NAMED, dims)}
     return MovieStar(
         movie,
-        *[dim for dim, _, _ in named.values()],
+        *dims,
         genre,
         dim_release_date(calendar(raw.sparkSession, dt.date(1900, 1, 1), calendar_end)),
-        bridge_movie_genre(raw, movie, genre),
-        fact_movie(raw, named, movie),
+        bridge_movie_genre(records, movie, genre),
+        fact_movie(records, named, movie),
     )
 
 

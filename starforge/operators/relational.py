@@ -142,9 +142,13 @@ def count_per(df: DataFrame, unit: str, ts: str) -> DataFrame:
 # --------------------------------------------------------------------------- joins
 
 
-def trip_log(trips: DataFrame, drivers: DataFrame, passengers: DataFrame, locations: DataFrame) -> DataFrame:
+def trip_log(
+    trips: DataFrame, drivers: DataFrame, passengers: DataFrame, locations: DataFrame, how: str = "inner"
+) -> DataFrame:
     """Trips with the names behind their ids; locations are joined once per role.
 
+    With ``how="left"`` trips stay whose ids are missing or unknown, with NULL names.
+
     No join hints: Spark broadcasts a side whose measured size allows it and otherwise
     shuffles, splitting heavy keys at run time.
     """
@@ -153,10 +157,10 @@ def trip_log(trips: DataFrame, drivers: DataFrame, passengers: DataFrame, locati
         F.col("location_id").alias("dropoff_location_id"), F.col("city_name").alias("dropoff_city")
     )
     return (
-        trips.join(drivers.select("driver_id", F.col("name").alias("driver_name")), "driver_id")
-        .join(passengers.select("passenger_id", F.col("name").alias("passenger_name")), "passenger_id")
-        .join(pickup, "pickup_location_id")
-        .join(dropoff, "dropoff_location_id")
+        trips.join(drivers.select("driver_id", F.col("name").alias("driver_name")), "driver_id", how)
+        .join(passengers.select("passenger_id", F.col("name").alias("passenger_name")), "passenger_id", how)
+        .join(pickup, "pickup_location_id", how)
+        .join(dropoff, "dropoff_location_id", how)
     )
 
 
@@ -233,20 +237,6 @@ def count_all(tables: list[DataFrame]) -> list[int]:
     return [n for _, n in sorted((r["i"], r["n"]) for r in union_all(counts).collect())]
 
 
-# Rows of a narrow lookup table (an id and a key) that every executor may hold.
-BROADCAST_ROWS = 4_000_000
-
-
-def broadcast_up_to(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast of a narrow table whose ``n_rows`` have been counted.
-
-    Spark's own threshold is a few megabytes; a lookup table of some millions of rows is
-    still far cheaper to broadcast than the fact is to shuffle.  Beyond the limit there is
-    no hint, and Spark joins by shuffling and splits heavy keys.
-    """
-    return F.broadcast(df) if n_rows <= limit else df
-
-
 def look_up(df: DataFrame, dim: DataFrame, on: dict[str, str], out: dict[str, str]) -> DataFrame:
     """Fetch ``out`` columns of ``dim`` by id; rows without a match get NULL."""
     right = dim.select(

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
-from starforge.operators.relational import broadcast_up_to, count_all, cross_series, join_null_safe, keys_of, look_up
+from starforge.operators.relational import cross_series, join_null_safe, keys_of, look_up
 from starforge.operators.windows import dense_key
-from starforge.session import cut_lineage
+from starforge.session import cut_lineage, side_by_side
 
 col = F.col
 
@@ -154,16 +154,16 @@ def region(state: Column, mapping: dict[str, list[str]], country: Column | None
     return c.bucket(rules, "International")
 
 
-def dim_driver(stg: DataFrame, as_of: Column, n_rows: int | None = None) -> DataFrame:
-    return dense_key(driver_attributes(stg, as_of), ["driver_id"], "driver_key", n_rows=n_rows)
+def dim_driver(stg: DataFrame, as_of: Column) -> DataFrame:
+    return dense_key(driver_attributes(stg, as_of), ["driver_id"], "driver_key")
 
 
-def dim_passenger(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
-    return dense_key(passenger_attributes(stg), ["passenger_id"], "passenger_key", n_rows=n_rows)
+def dim_passenger(stg: DataFrame) -> DataFrame:
+    return dense_key(passenger_attributes(stg), ["passenger_id"], "passenger_key")
 
 
-def dim_location(stg: DataFrame, mapping: str = "all_states", n_rows: int | None = None) -> DataFrame:
-    return dense_key(location_attributes(stg, mapping), ["location_id"], "location_key", n_rows=n_rows)
+def dim_location(stg: DataFrame, mapping: str = "all_states") -> DataFrame:
+    return dense_key(location_attributes(stg, mapping), ["location_id"], "location_key")
 
 
 def driver_attributes(stg: DataFrame, as_of: Column) -> DataFrame:
@@ -191,24 +191,20 @@ def _with_sentinel(stg: DataFrame, label: str, text: str) -> DataFrame:
     return stg.unionByName(sentinel)
 
 
-def dim_payment_method(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """``n_rows`` includes the sentinel row."""
-    return dense_key(
-        _with_sentinel(stg, "name", "Unknown"), ["payment_method_id"], "payment_method_key", n_rows=n_rows
-    )
+def dim_payment_method(stg: DataFrame) -> DataFrame:
+    return dense_key(_with_sentinel(stg, "name", "Unknown"), ["payment_method_id"], "payment_method_key")
 
 
-def dim_promo_code(stg: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """``n_rows`` includes the sentinel row."""
-    return dense_key(_with_sentinel(stg, "code", "No Promo"), ["promo_code_id"], "promo_code_key", n_rows=n_rows)
+def dim_promo_code(stg: DataFrame) -> DataFrame:
+    return dense_key(_with_sentinel(stg, "code", "No Promo"), ["promo_code_id"], "promo_code_key")
 
 
-def assign_keys(existing: DataFrame, new: DataFrame, natural: list[str], name: str, limit: int | None = None) -> DataFrame:
+def assign_keys(existing: DataFrame, new: DataFrame, natural: list[str], name: str) -> DataFrame:
     """Old rows keep their key; natural keys not seen before continue after the highest."""
     # of several rows with one natural key any may stay: they should agree on the rest
     unseen = new.join(keys_of(existing, *natural), natural, "left_anti").dropDuplicates(natural)
     start = existing.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
-    keyed = dense_key(unseen, natural, name, limit, start=start)
+    keyed = dense_key(unseen, natural, name, start=start)
     return existing.unionByName(keyed, allowMissingColumns=True)
 
 
@@ -224,8 +220,7 @@ class Entities:
 
 
 def _entity(names: DataFrame, key: str, label: str) -> DataFrame:
-    # the table is stored before it is numbered, as it is read once for its size and then for its rows
-    return dense_key(cut_lineage(names.distinct()), [label], key).select(key, label)
+    return dense_key(names.distinct(), [label], key).select(key, label)
 
 
 def cleaned_names(rides: DataFrame, source: str) -> DataFrame:
@@ -299,12 +294,10 @@ class Lookups:
 def etl_lookups(raw, days: DataFrame) -> Lookups:
     """Dimensions over the raw tables, reduced to id and key."""
 
-    ids = [getattr(raw, f"{n}s").select(f"{n}_id") for n in DIMENSIONS]
-    keyed = [
-        broadcast_up_to(dense_key(df, [f"{n}_id"], f"{n}_key", n_rows=size), size)
-        for n, df, size in zip(DIMENSIONS, ids, count_all(ids))
-    ]
-    return Lookups(dim_date(days).select("date_key"), *keyed)
+    def keyed(name: str) -> DataFrame:
+        return dense_key(getattr(raw, f"{name}s").select(f"{name}_id"), [f"{name}_id"], f"{name}_key")
+
+    return Lookups(dim_date(days).select("date_key"), *side_by_side(keyed, DIMENSIONS))
 
 
 def marts(raw, as_of: Column, days: DataFrame) -> dict[str, DataFrame]:
@@ -317,18 +310,16 @@ def marts(raw, as_of: Column, days: DataFrame) -> dict[str, DataFrame]:
         "stg_promo_codes": stg_promo_codes(raw.promo_codes),
         "stg_trips": stg_trips(raw.trips),
     }
-    n = dict(zip(stg, count_all(list(stg.values()))))
-    dims = {
-        "dim_driver": dim_driver(stg["stg_drivers"], as_of, n["stg_drivers"]),
-        "dim_passenger": dim_passenger(stg["stg_passengers"], n["stg_passengers"]),
-        "dim_location": dim_location(stg["stg_locations"], "listed", n["stg_locations"]),
-        "dim_payment_method": dim_payment_method(stg["stg_payment_methods"], n["stg_payment_methods"] + 1),
-        "dim_promo_code": dim_promo_code(stg["stg_promo_codes"], n["stg_promo_codes"] + 1),
+    builders = {
+        "dim_driver": lambda: dim_driver(stg["stg_drivers"], as_of),
+        "dim_passenger": lambda: dim_passenger(stg["stg_passengers"]),
+        "dim_location": lambda: dim_location(stg["stg_locations"], "listed"),
+        "dim_payment_method": lambda: dim_payment_method(stg["stg_payment_methods"]),
+        "dim_promo_code": lambda: dim_promo_code(stg["stg_promo_codes"]),
     }
-    keys = [
-        broadcast_up_to(dims[f"dim_{d}"].select(f"{d}_id", f"{d}_key"), n[f"stg_{d}s"] + 1) for d in DIMENSIONS
-    ]
-    fact = fact_trips_marts(stg["stg_trips"], Lookups(days, *keys), n["stg_trips"])
+    dims = dict(zip(builders, side_by_side(lambda build: build(), builders.values())))
+    keys = [dims[f"dim_{d}"].select(f"{d}_id", f"{d}_key") for d in DIMENSIONS]
+    fact = fact_trips_marts(stg["stg_trips"], Lookups(days, *keys))
     return {**stg, **dims, "fact_trips": fact}
 
 
@@ -383,7 +374,7 @@ def fact_trips_etl(trips: DataFrame, dims: Lookups) -> tuple[DataFrame, DataFram
     return good, skipped
 
 
-def fact_trips_marts(stg: DataFrame, dims: Lookups, n_rows: int | None = None) -> DataFrame:
+def fact_trips_marts(stg: DataFrame, dims: Lookups) -> DataFrame:
     """Fact for the marts layer: unknown mandatory ids drop the trip, missing optional ids
     map to the sentinel row, unknown optional ids give a NULL key.  Nothing is rounded."""
     df = stg.join(dims.driver, "driver_id").join(dims.passenger, "passenger_id")
@@ -405,8 +396,7 @@ def fact_trips_marts(stg: DataFrame, dims: Lookups, n_rows: int | None = None) -
         .alias("duration_minutes"),
         F.lit(1).alias("trip_count"), "driver_rating", "passenger_rating", "surge_multiplier", "requested_at",
     )
-    # the joins are on unique ids and only drop trips, so the number of trips is a bound
-    return dense_key(fact, ["source_trip_id"], "trip_key", n_rows=stg.count() if n_rows is None else n_rows)
+    return dense_key(fact, ["source_trip_id"], "trip_key")
 
 
 def v_trips(trips: DataFrame, cancellations: DataFrame) -> DataFrame:

@@ -1,10 +1,9 @@
 """Ordered and grouped row functions that hold up when one group has most of the rows.
 
-A plain window puts a whole group into one task.  The functions below measure the largest
-group first.  If it is small they use the plain window.  Otherwise the rows are range
-partitioned by (group, order), so that a large group spreads over many tasks; each task
-works on its own rows, and what earlier tasks of the same group hold is added from a table
-with at most one row per task.
+A plain window puts a whole group into one task.  Here rows are range partitioned by (group,
+order), so that a large group spreads over many tasks; each task works on its own rows, and what
+earlier tasks of the same group hold is added from a table with at most a few rows per task.
+There is one form for tables and groups of every size.
 """
 
 from __future__ import annotations
@@ -15,35 +14,16 @@ from pyspark.sql import functions as F
 from starforge.operators.relational import join_null_safe, order_by
 from starforge.session import cut_lineage
 
-# Rows of one group that a single task may sort.
-GROUP_LIMIT = 2_000_000
-
 _TASK, _POS = "_task", "_pos"
 
 
-def _limit(limit: int | None) -> int:
-    return GROUP_LIMIT if limit is None else limit
-
-
-def measure(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the table and of its most frequent key, counted per input task before the shuffle."""
-    if not keys:
-        n = df.count()
-        return n, n
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
-    return total, largest
-
-
-def spread(df: DataFrame, group: list[str], order: list[str], n_rows: int) -> DataFrame:
+def spread(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Rows sorted by (group, order) over all tasks, with ``_task`` and ``_pos`` columns.
 
-    There are enough tasks for ``n_rows`` rows.  The result is stored, because task numbers
-    may differ if a range partitioning is repeated.
+    The result is stored, because task numbers may differ if a range partitioning is repeated.
     """
     keys = [*order_by(*group), *order_by(*order)]
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(configured, -(-n_rows // GROUP_LIMIT), 2)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(tasks, *keys)
         .sortWithinPartitions(*keys)
@@ -72,15 +52,11 @@ def _add_carry(placed: DataFrame, carry: DataFrame, group: list[str]) -> DataFra
     return join_null_safe(placed, F.broadcast(carry), [_TASK, *group], "left")
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, limit: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """1, 2, 3 .. per group.  ``order`` must end in a unique column."""
-    n_rows, largest = measure(df, group)
-    if largest <= _limit(limit):
-        w = Window.partitionBy(*group).orderBy(*order_by(*order))
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    placed = spread(df, group, order, n_rows)
+    placed = spread(df, group, order)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS)
-    numbered = placed.withColumn("_local", F.row_number().over(local))
+    numbered = placed.withColumn("_local", F.row_number().over(local).cast("bigint"))
     carry = carried(placed, group, _before=F.count(F.lit(1)))
     return (
         _add_carry(numbered, carry, group)
@@ -89,23 +65,9 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, li
     )
 
 
-def dense_key(
-    df: DataFrame,
-    order: list[str],
-    name: str,
-    limit: int | None = None,
-    start: int = 0,
-    n_rows: int | None = None,
-) -> DataFrame:
-    """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique.
-
-    ``n_rows`` is the number of rows, or a bound on it, if the caller knows it.
-    """
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows <= _limit(limit):
-        w = Window.orderBy(*order_by(*order))
-        return df.withColumn(name, F.row_number().over(w).cast("bigint") + F.lit(start))
-    placed = spread(df, [], order, n_rows)
+def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
+    """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique."""
+    placed = spread(df, [], order)
     in_task = placed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
     # one row per task
     earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
@@ -117,7 +79,7 @@ def dense_key(
     )
 
 
-def ranked(df: DataFrame, order: str, rank: str = "rnk", dense: str = "dense_rnk", limit: int | None = None) -> DataFrame:
+def ranked(df: DataFrame, order: str, rank: str = "rnk", dense: str = "dense_rnk") -> DataFrame:
     """RANK and DENSE_RANK over the whole table by one column.
 
     Equal values are first reduced to one row with its count; ranks are computed on those
@@ -125,32 +87,29 @@ def ranked(df: DataFrame, order: str, rank: str = "rnk", dense: str = "dense_rnk
     """
     column = order.lstrip("-")
     values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = dense_key(values, [order], dense, limit)
-    ranks = running(numbered, [], [dense], {"_upto": F.sum("_n")}, limit)
-    ranks = ranks.select(column, dense, (F.col("_upto") - F.col("_n") + 1).alias(rank))
+    placed = spread(values, [], [order])
+    local = Window.partitionBy(_TASK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.select(column, _TASK, "_n", F.count(F.lit(1)).over(local).alias("_d"), F.sum("_n").over(local).alias("_r"))
+    carry = carried(placed, [], _before=F.count(F.lit(1)), _rows=F.sum("_n"))
+    before, rows_before = F.coalesce("_before", F.lit(0)), F.coalesce("_rows", F.lit(0))
+    ranks = _add_carry(upto, carry, []).select(
+        column,
+        (F.col("_d") + before).alias(dense),
+        (F.col("_r") - F.col("_n") + rows_before + 1).alias(rank),
+    )
     return join_null_safe(df, ranks, [column])
 
 
-def running(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    sums: dict[str, Column],
-    limit: int | None = None,
-) -> DataFrame:
-    """Running sums or counts per group; rows with equal order values share the total.
+def running(df: DataFrame, group: list[str], order: list[str], aggregates: dict[str, Column]) -> DataFrame:
+    """Running aggregates per group; rows with equal order values share the total.
 
-    ``sums`` maps names to ``F.sum`` or ``F.count`` columns.
+    ``aggregates`` maps names to ``F.sum`` or ``F.count`` columns.
     """
     columns = [o.lstrip("-") for o in order]
-    n_rows, largest = measure(df, group)
-    if largest <= _limit(limit):
-        w = Window.partitionBy(*group).orderBy(*order_by(*order))
-        return df.select(*df.columns, *[s.over(w).alias(n) for n, s in sums.items()])
-    parts = {f"_p{i}": s for i, s in enumerate(sums.values())}
+    parts = {f"_p{i}": s for i, s in enumerate(aggregates.values())}
     # one row per distinct order value
     steps = df.groupBy(*group, *columns).agg(*[s.alias(n) for n, s in parts.items()])
-    placed = spread(steps, group, order, n_rows)
+    placed = spread(steps, group, order)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     totals = placed.select(*placed.columns, *[F.sum(p).over(local).alias(f"{p}_l") for p in parts])
     # rows are counted first, as the sum of a task may be NULL
@@ -161,34 +120,48 @@ def running(
         .when(F.col(f"{p}_l").isNull(), F.col(f"{p}_c"))
         .otherwise(F.col(f"{p}_l") + F.col(f"{p}_c"))
         .alias(n)
-        for n, p in zip(sums, parts)
+        for n, p in zip(aggregates, parts)
     ]
     totals = totals.select(*group, *columns, *out)
     return join_null_safe(df, totals, [*group, *columns])
 
 
-def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str, limit: int | None = None):
-    return running(df, group, order, {name: F.sum(value)}, limit)
+def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    return running(df, group, order, {name: F.sum(value)})
 
 
-def with_neighbour(
-    df: DataFrame, group: list[str], order: list[str], value: str, name: str, step: int, limit: int | None = None
-) -> DataFrame:
-    """``value`` of the row ``step`` places earlier (or later, if negative) in the group."""
-    if measure(df, group)[1] <= _limit(limit):
-        w = Window.partitionBy(*group).orderBy(*order_by(*order))
-        return df.withColumn(name, (F.lag(value, step) if step > 0 else F.lead(value, -step)).over(w))
-    numbered = number_rows(df, group, order, "_nr", limit)
-    other = numbered.select(*group, (F.col("_nr") + step).alias("_nr"), F.col(value).alias(name))
-    return join_null_safe(numbered, other, [*group, "_nr"], "left").drop("_nr")
+def running_avg(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Average of the values so far; NULL until there is one."""
+    both = running(df, group, order, {"_sum": F.sum(value), "_values": F.count(value)})
+    average = F.try_divide(F.col("_sum"), F.col("_values"))
+    return both.withColumn(name, average.cast("double")).drop("_sum", "_values")
 
 
-def with_prev(df, group, order, value, name, n: int = 1, limit: int | None = None) -> DataFrame:
-    return with_neighbour(df, group, order, value, name, n, limit)
+def with_neighbour(df: DataFrame, group: list[str], order: list[str], value: str, name: str, step: int) -> DataFrame:
+    """``value`` of the row ``step`` places earlier (or later, if negative) in the group.
 
+    Only the first and last ``step`` rows of a task can be neighbours across tasks, so only
+    those leave it.
+    """
+    placed, far = spread(df, group, order), abs(step)
+    shifted = F.lag(value, step) if step > 0 else F.lead(value, far)
+    ends = placed.groupBy(_TASK).agg(F.min(_POS).alias("_lo"), F.max(_POS).alias("_hi"))
+    edge = placed.join(F.broadcast(ends), _TASK)
+    head, tail = F.col(_POS) - F.col("_lo") < far, F.col("_hi") - F.col(_POS) < far
+    across = Window.partitionBy(*group).orderBy(_POS)
+    # all rows between two neighbours in different tasks are among these
+    edge = edge.where(head | tail).withColumn("_across", shifted.over(across)).where(head if step > 0 else tail)
+    local = Window.partitionBy(_TASK, *group).orderBy(_POS)
+    out = placed.withColumn("_near", shifted.over(local)).join(F.broadcast(edge.select(_POS, "_across")), _POS, "left")
+    return out.withColumn(name, F.coalesce("_near", "_across")).select(*df.columns, name)
+
+
+def with_prev(df: DataFrame, group: list[str], order: list[str], value: str, name: str, n: int = 1) -> DataFrame:
+    return with_neighbour(df, group, order, value, name, n)
 
-def with_next(df, group, order, value, name, n: int = 1, limit: int | None = None) -> DataFrame:
-    return with_neighbour(df, group, order, value, name, -n, limit)
+
+def with_next(df: DataFrame, group: list[str], order: list[str], value: str, name: str, n: int = 1) -> DataFrame:
+    return with_neighbour(df, group, order, value, name, -n)
 
 
 def share_of_group(df: DataFrame, group: list[str], value: str, share: str = "share") -> DataFrame:
@@ -204,7 +177,11 @@ def share_of_group(df: DataFrame, group: list[str], value: str, share: str = "sh
 
 
 def top_n_per(df: DataFrame, group: list[str], order: list[str], n: int = 1, name: str = "_nr") -> DataFrame:
-    """First ``n`` rows per group.  Spark keeps only ``n`` rows of a group per task before the shuffle."""
+    """First ``n`` rows per group.
+
+    Spark keeps only ``n`` rows of a group per task before the shuffle, for ``n`` up to its
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 unless set).
+    """
     w = Window.partitionBy(*group).orderBy(*order_by(*order))
     out = df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= n)
     return out.drop(name) if name == "_nr" else out

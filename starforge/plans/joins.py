@@ -24,18 +24,26 @@ def joi_1(t):
 
 @query(
     "joi_2",
-    """SELECT d.name AS driver_name, p.name AS passenger_name, f.city_name AS pickup_city,
+    """SELECT 'inner' AS form, t.trip_id, d.name AS driver_name, p.name AS passenger_name, f.city_name AS pickup_city,
               g.city_name AS dropoff_city, t.base_fare, t.requested_at
        FROM trips t JOIN drivers d USING (driver_id) JOIN passengers p USING (passenger_id)
        JOIN locations f ON f.location_id = t.pickup_location_id
-       JOIN locations g ON g.location_id = t.dropoff_location_id WHERE t.status = 'completed'""",
+       JOIN locations g ON g.location_id = t.dropoff_location_id
+       UNION ALL
+       SELECT 'left', t.trip_id, d.name, p.name, f.city_name, g.city_name, t.base_fare, t.requested_at
+       FROM trips t LEFT JOIN drivers d USING (driver_id) LEFT JOIN passengers p USING (passenger_id)
+       LEFT JOIN locations f ON f.location_id = t.pickup_location_id
+       LEFT JOIN locations g ON g.location_id = t.dropoff_location_id""",
     doubles="base_fare",
 )
 def joi_2(t):
-    done = t.trips.where(col("status") == "completed")
-    return r.trip_log(done, t.drivers, t.passengers, t.locations).select(
-        "driver_name", "passenger_name", "pickup_city", "dropoff_city", "base_fare", "requested_at"
-    )
+    def log(how):
+        return r.trip_log(t.trips, t.drivers, t.passengers, t.locations, how).select(
+            F.lit(how).alias("form"), "trip_id", "driver_name", "passenger_name", "pickup_city", "dropoff_city",
+            "base_fare", "requested_at",
+        )
+
+    return log("inner").unionByName(log("left"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
@@ -159,25 +160,30 @@ def lod_10(t):
 
 @query(
     "lod_11",
-    """SELECT trip_id, base_fare FROM trips WHERE status = 'completed'
-       UNION ALL SELECT trip_id, base_fare FROM trips WHERE status = 'cancelled'""",
+    """SELECT 'fares' AS part, trip_id, base_fare FROM trips WHERE status IN ('completed', 'cancelled')
+       UNION ALL SELECT 'tips', trip_id, tip_amount FROM trips WHERE status = 'cancelled'""",
     doubles="base_fare",
 )
 def lod_11(t):
-    table = tables.Table(t.spark, scratch_path(t.spark, "atomic"))
-    trips = t.trips.select("trip_id", "base_fare", "status")
-    rules = [quality.min_rows(1), quality.no_rows("base_fare_positive", col("base_fare") <= 0)]
-    table.overwrite(trips.where(col("status") == "completed").drop("status"))
-    loads.load_atomic((table, trips.where(col("status") == "cancelled").drop("status"), rules))
-    # one bad row: nothing of this batch may appear
-    broken = trips.where(col("status") == "no_show").withColumn(
-        "base_fare", F.when(col("trip_id") > 100, col("base_fare")).otherwise(-col("base_fare"))
+    fares, tips = (tables.Table(t.spark, scratch_path(t.spark, n)) for n in ("atomic-fares", "atomic-tips"))
+    trips = t.trips.select("trip_id", "base_fare", "tip_amount", "status")
+    fare = lambda status: trips.where(col("status") == status).select("trip_id", "base_fare")
+    tip = lambda status: trips.where(col("status") == status).select("trip_id", col("tip_amount").alias("base_fare"))
+    rules = [quality.min_rows(1), quality.no_rows("not_negative", col("base_fare") < 0)]
+    fares.overwrite(fare("completed"))
+    loads.load_atomic((fares, fare("cancelled"), rules), (tips, tip("cancelled"), rules))
+    # the second batch has a bad row, then fails while it is written: of the first nothing may stay either
+    negative = F.when(col("trip_id") > 100, col("base_fare")).otherwise(-1 - col("base_fare"))
+    fails = F.when(col("trip_id") > 100, col("base_fare")).otherwise(F.raise_error(F.lit("no such fare")))
+    for broken in (negative, fails):
+        try:
+            bad = tip("no_show").withColumn("base_fare", broken.cast("decimal(8,2)"))
+            loads.load_atomic((fares, fare("no_show"), rules), (tips, bad, rules))
+        except (quality.DataQualityError, PySparkException):
+            pass
+    return fares.read().select(F.lit("fares").alias("part"), "*").unionByName(
+        tips.read().select(F.lit("tips").alias("part"), "*")
     )
-    try:
-        loads.load_atomic((table, broken.drop("status"), rules))
-    except quality.DataQualityError:
-        pass
-    return table.read()
 
 
 # --------------------------------------------------------------------------- incremental
@@ -214,40 +220,64 @@ def inc_3(t):
     return table.read()
 
 
-def _monthly_files(t):
-    """The rides as CSV files, one folder per month, named like the daily files."""
-    path = scratch_path(t.spark, "daily")
+def _daily_files(t):
+    """The rides as CSV files named like the daily ones: part k of a month is its day k."""
+    path, parts = scratch_path(t.spark, "daily"), scratch_path(t.spark, "daily-parts")
     rides = t.rides.select("ride_id", "driver_name", "fare_amount", "requested_at")
-    named = rides.withColumn("day", F.concat(F.lit("rides_"), F.date_format("requested_at", "yyyyMM"), F.lit("01")))
     # rebalancing splits a month that is too large for one file
-    named.hint("rebalance", "day").write.partitionBy("day").csv(
-        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
+    rides.withColumn("month", F.date_format("requested_at", "yyyyMM")).hint("rebalance", "month").write.partitionBy(
+        "month"
+    ).csv(parts, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    hadoop = t.spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(parts).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(path))
+    for folder in sorted(s.getPath().toString() for s in fs.listStatus(hadoop(parts)) if "month=" in s.getPath().getName()):
+        files = sorted(s.getPath().toString() for s in fs.listStatus(hadoop(folder)) if s.getPath().getName()[:5] == "part-")
+        for k, file in enumerate(files, 1):
+            fs.rename(hadoop(file), hadoop(f"{path}/rides_{folder[-6:]}{k:02d}.csv"))
+    header = "ride_id,driver_name,fare_amount,requested_at\n"
+    tables.write_text(t.spark, f"{path}/rides_19700101.csv", header)
+    tables.write_text(t.spark, f"{path}/rides_19700102.csv", header + "x,A,1.00,1970-01-02 00:00:00\n-5,B,much,1970-01-02 00:00:00\n")
+    tables.write_text(t.spark, f"{path}/rides_19700103.csv.bak", header + "-7,C,1.00,1970-01-03 00:00:00\n")
     return path, rides.schema
 
 
 @query(
     "src_7",
-    """SELECT DISTINCT strftime(requested_at, 'rides_%Y%m01') AS file, strftime(requested_at, '%Y-%m-01') AS day FROM rides""",
+    """SELECT DISTINCT strftime(requested_at, 'rides_%Y%m01.csv') AS file, strftime(requested_at, '%Y-%m-01') AS day FROM rides
+       UNION ALL SELECT 'rides_19700101.csv', '1970-01-01' UNION ALL SELECT 'rides_19700102.csv', '1970-01-02'""",
 )
 def src_7(t):
-    path, _ = _monthly_files(t)
+    path, _ = _daily_files(t)
     ledger = t.spark.createDataFrame([], "filename string")
     found = pending_files(t.spark, path, ledger)
-    return found.select(F.split_part("filename", F.lit("/"), F.lit(1)).alias("file"), col("day").cast("string")).distinct()
+    first = F.regexp_extract("filename", "_1970|01[.]csv$", 0) != ""  # a split month has more than one file
+    return found.where(first).select(col("filename").alias("file"), col("day").cast("string"))
 
 
 @query(
     "inc_4",
-    "SELECT ride_id, driver_name, fare_amount, requested_at FROM rides",
+    """SELECT 'row' AS kind, ride_id, driver_name, fare_amount, requested_at FROM rides
+       UNION ALL SELECT 'rejected', 2, 'rides_19700102.csv', NULL, NULL
+       UNION ALL SELECT 'ledger ' || CAST(strftime(requested_at, '%Y%m') AS VARCHAR), count(*), NULL, NULL, NULL FROM rides GROUP BY 1
+       UNION ALL SELECT 'ledger 197001', 0, NULL, NULL, NULL""",
     doubles="fare_amount",
 )
 def inc_4(t):
-    path, schema = _monthly_files(t)
+    path, schema = _daily_files(t)
     load = DailyLoad(t.spark, path, scratch_path(t.spark, "load"), schema, "ride_id")
     load.run()
     load.run()  # nothing is new
-    return load.rows().select("ride_id", "driver_name", "fare_amount", "requested_at")
+    names = ["kind", "ride_id", "driver_name", "fare_amount", "requested_at"]
+    parts = [load.rows().withColumn("kind", F.lit("row"))]
+    counted = F.count(F.lit(1)).alias("ride_id")
+    parts.append(load.rejected().groupBy(col("filename").alias("driver_name")).agg(counted).withColumn("kind", F.lit("rejected")))
+    month = F.concat(F.lit("ledger "), F.substring("filename", 7, 6)).alias("kind")
+    parts.append(load.ledger().groupBy(month).agg(F.sum("row_count").alias("ride_id")))
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part, allowMissingColumns=True)
+    return first.select(*names)
 
 
 @query("inc_5", "SELECT event_id, event_type FROM events")

@@ -1,5 +1,7 @@
 """Readers and sinks."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
@@ -27,14 +29,16 @@ def src_1(t):
 @query(
     "src_2",
     """SELECT trim(ticket_id) AS ticket_id, coalesce(subject, '') AS subject, coalesce(body, '') AS body,
-              nullif(response, '') AS response FROM tickets""",
+              nullif(response, '') AS response, true AS named_after_a_file,
+              TIMESTAMP '2026-01-02 03:04:05' AS ingested_at FROM tickets""",
 )
 def src_2(t):
     path = scratch_path(t.spark, "tickets-csv")
     fields = ["ticket_id", "subject", "body", "response"]
     rows = t.tickets.select(F.trim("ticket_id").alias("ticket_id"), *fields[1:])
     rows.write.options(header=True, escape='"', quoteAll=True, **_SPACES).csv(path)
-    return readers.land_csv(t.spark, path, fields, F.current_timestamp()).select(*fields)
+    landed = readers.land_csv(t.spark, path, fields, c.now(dt.datetime(2026, 1, 2, 3, 4, 5)))
+    return landed.select(*fields, F.col("source").rlike("^part-.*[.]csv$").alias("named_after_a_file"), "ingested_at")
 
 
 @query("src_3", "SELECT c_custkey, c_mktsegment FROM customer")

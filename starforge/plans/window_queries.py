@@ -33,12 +33,12 @@ def win_2(t):
     "win_3",
     """SELECT passenger_id, trip_id, requested_at,
               sum(base_fare) OVER (PARTITION BY passenger_id ORDER BY requested_at) AS running_total
-       FROM trips WHERE status = 'completed'""",
+       FROM trips""",
     doubles="running_total",
 )
 def win_3(t):
-    done = t.trips.where(col("status") == "completed").select("passenger_id", "trip_id", "requested_at", "base_fare")
-    out = w.running_sum(done, ["passenger_id"], ["requested_at"], "base_fare", "running_total")
+    trips = t.trips.select("passenger_id", "trip_id", "requested_at", "base_fare")
+    out = w.running_sum(trips, ["passenger_id"], ["requested_at"], "base_fare", "running_total")
     return out.drop("base_fare")
 
 
@@ -73,7 +73,10 @@ def win_5(t):
     """SELECT trip_id, status, sum(base_fare) OVER g AS group_total, count(*) OVER g AS group_rows,
               round(CAST(base_fare AS DOUBLE) * 100 / CAST(sum(base_fare) OVER g AS DOUBLE), 4) AS share,
               count(*) OVER (PARTITION BY status ORDER BY requested_at) AS seen,
-              sum(base_fare) OVER (PARTITION BY status ORDER BY requested_at) AS earned
+              sum(base_fare) OVER (PARTITION BY status ORDER BY requested_at) AS earned,
+              round(avg(base_fare::DOUBLE) OVER g, 4) AS group_avg,
+              round((sum(base_fare) OVER (PARTITION BY status ORDER BY requested_at))::DOUBLE
+                    / count(base_fare) OVER (PARTITION BY status ORDER BY requested_at), 4) AS running_avg
        FROM trips WINDOW g AS (PARTITION BY status)""",
     doubles="group_total earned",
 )
@@ -81,9 +84,11 @@ def win_6(t):
     trips = t.trips.select("trip_id", "status", "requested_at", "base_fare")
     shared = w.share_of_group(trips, ["status"], "base_fare")
     both = w.running(shared, ["status"], ["requested_at"], {"seen": F.count("trip_id"), "earned": F.sum("base_fare")})
+    both = w.running_avg(both, ["status"], ["requested_at"], "base_fare", "running_avg")
     return both.select(
         "trip_id", "status", "group_total", "group_rows", F.round(col("share").cast("double"), 4).alias("share"),
-        "seen", "earned",
+        "seen", "earned", F.round(col("group_avg").cast("double"), 4).alias("group_avg"),
+        F.round("running_avg", 4).alias("running_avg"),
     )
 
 

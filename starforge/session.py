@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,13 +64,11 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def widen(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table that arrives in fewer partitions than there are cores, such as one small file.
-
-    Larger tables already have a partition for every core and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def side_by_side(build: Callable, items: Iterable) -> list:
+    """``build`` of every item, in order, run at the same time: for jobs that do not fill a cluster."""
+    items = list(items)
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return list(pool.map(build, items))
 
 
 def shared_dir(spark: SparkSession) -> str:

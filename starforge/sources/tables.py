@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from starforge.functions.columns import now
 from starforge.operators import loads
-from starforge.operators.relational import keys_of
+from starforge.operators.relational import keys_of, union_all
 from starforge.session import cut_lineage
 
 
@@ -30,6 +31,22 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there as a whole or not at all as far as readers of its name can tell."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    stream.write(text.encode())
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text
+
+
 # --------------------------------------------------------------------------- plain sinks
 
 
@@ -59,10 +76,11 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 class Table:
     """A parquet table that is replaced as a whole by writing the next version beside it.
 
-    A version counts once its write job has committed, so readers see the old or the new
-    table and a failed write changes nothing.  With ``partition_by``, rows are balanced over
-    tasks before they are written, so that a large partition gets several files and a small
-    one does not get many.
+    A version is a folder ``v<n>``, an appended batch a folder ``v<n>.<id>`` next to it.  Either
+    counts once its write job has committed, or, if it was staged together with others, once
+    their common marker exists; so readers see a write as a whole or not at all.  With
+    ``partition_by``, rows are balanced over tasks before they are written, so that a large
+    partition gets several files and a small one does not get many.
     """
 
     spark: SparkSession
@@ -70,55 +88,90 @@ class Table:
     schema: T.StructType | None = None
     partition_by: tuple[str, ...] = ()
 
-    def _versions(self) -> list[int]:
+    def _counts(self, folder: str) -> bool:
+        if exists(self.spark, f"{folder}/_SUCCESS"):
+            return True
+        staged = f"{folder}/_commit"
+        return exists(self.spark, staged) and exists(self.spark, read_text(self.spark, staged))
+
+    def _folders(self) -> dict[int, list[str]]:
+        """Folders that count, by version, the version itself first."""
         fs, p = _fs(self.spark, self.path)
         if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        numbers = sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
-        return [n for n in numbers if exists(self.spark, f"{self.path}/v{n}/_SUCCESS")]
+            return {}
+        names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+        found: dict[int, list[str]] = {}
+        for name in names:
+            number = name[1:].split(".")[0]
+            if name.startswith("v") and number.isdigit() and self._counts(f"{self.path}/{name}"):
+                found.setdefault(int(number), []).append(name)
+        return {n: folders for n, folders in sorted(found.items()) if f"v{n}" in folders}
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return bool(self._folders())
 
     def read(self) -> DataFrame:
-        versions = self._versions()
+        versions = self._folders()
         if not versions:
             if self.schema is None:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.path}/v{versions[-1]}")
+        latest = versions[max(versions)]
+        return union_all([self.spark.read.parquet(f"{self.path}/{folder}") for folder in latest])
 
-    def _write(self, df: DataFrame, version: int, mode: str) -> None:
+    def _write(self, df: DataFrame, folder: str, committed: bool = True) -> None:
         if self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/v{version}")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*self.partition_by)
+        if not committed:
+            writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        writer.parquet(f"{self.path}/{folder}")
 
     def overwrite(self, df: DataFrame) -> None:
         """Write the next version; ``df`` may read the current one."""
         # a failed attempt at this number is replaced
-        self._write(df, max(self._versions(), default=0) + 1, "overwrite")
+        self._write(df, f"v{max(self._folders(), default=0) + 1}")
+
+    def _next_batch(self) -> str:
+        versions = self._folders()
+        return f"v{max(versions)}.{uuid.uuid4().hex[:12]}" if versions else "v1"
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the current version; they appear when the write job commits."""
-        versions = self._versions()
-        if versions:
-            self._write(df, versions[-1], "append")
-        else:
-            self.overwrite(df)
+        self._write(df, self._next_batch())
+
+    def stage(self, df: DataFrame, marker: str) -> str:
+        """Write rows that count once the file ``marker`` exists; returns their folder."""
+        folder = self._next_batch()
+        known = f"{self.path}/{folder}/_commit"
+        if exists(self.spark, known) and read_text(self.spark, known) == marker:
+            folder = f"{folder}.{uuid.uuid4().hex[:12]}"  # a second batch for a table that is not there yet
+        self._write(df, folder, committed=False)
+        write_text(self.spark, f"{self.path}/{folder}/_commit", marker)
+        return folder
+
+    def staged(self, folder: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+
+    def publish(self, marker: str) -> None:
+        """Let everything that was staged under ``marker`` count."""
+        write_text(self.spark, marker, "committed")
+
+    def discard(self, folder: str) -> None:
+        remove(self.spark, f"{self.path}/{folder}")
 
     def vacuum(self, keep: int = 2) -> None:
-        """Drop all but the newest versions."""
-        for n in self._versions()[:-keep]:
-            remove(self.spark, f"{self.path}/v{n}")
+        """Drop all but the newest versions, with what was appended to the others."""
+        for folders in list(self._folders().values())[:-keep]:
+            for folder in folders:
+                remove(self.spark, f"{self.path}/{folder}")
 
     def insert_new(self, src: DataFrame, keys: list[str], order: list[str]) -> None:
         """Append the rows with new keys to the current version; nothing is rewritten.
 
         A repeat after a crash adds only what is still missing.
         """
-        target = self.read() if self._versions() else src.limit(0)
+        target = self.read() if self.exists() else src.limit(0)
         fresh = loads.new_rows(target, src, keys, order)
         known = [c for c in src.columns if c in target.columns]
         self.append(target.limit(0).unionByName(fresh.select(*known), allowMissingColumns=True))

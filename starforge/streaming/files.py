@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.operators import loads
+from starforge.session import cut_lineage
 from starforge.sources.readers import CSV_OPTIONS
 from starforge.sources.tables import exists
 
 # Fixed value: daily files are named rides_YYYYMMDD.csv.
-DAILY_FILE = r"rides_(\d{8})"
+DAILY_FILE = r"rides_(\d{8})\.csv"
+
+_BAD = "_bad_record"
+
+
+def _file_name(path: str, pattern: str):
+    """The last part of a path, if all of it has the shape of a daily file's name."""
+    return F.regexp_extract(path, rf"(?:^|/)({pattern})$", 1)
 
 
 def pending_files(spark: SparkSession, path: str, ledger: DataFrame, pattern: str = DAILY_FILE) -> DataFrame:
@@ -23,7 +31,7 @@ def pending_files(spark: SparkSession, path: str, ledger: DataFrame, pattern: st
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.regexp_extract("path", rf"({pattern}[^?#]*)$", 1).alias("filename"))
+        .select(_file_name("path", pattern).alias("filename"))
         .where(F.col("filename") != "")
         .withColumn("day", F.to_date(F.regexp_extract("filename", pattern, 1), "yyyyMMdd"))
     )
@@ -31,15 +39,19 @@ def pending_files(spark: SparkSession, path: str, ledger: DataFrame, pattern: st
 
 
 class DailyLoad:
-    """Streams the files of a folder into ``target``; a file is loaded once, an id stays single.
+    """Streams the files of a folder into ``rows``; a file is loaded once, an id stays single.
 
-    Rows and ledger entries of a micro-batch go into directories named after its number.  If a
-    run dies, the next one repeats that micro-batch and replaces both directories.
+    Rows, rejected lines and ledger entries of a micro-batch go into directories named after its
+    number.  If a run dies, the next one repeats that micro-batch and replaces them.  A line with
+    a field that does not fit its type is rejected as a whole and counted in the ledger; a file
+    without lines gets an entry too.  Of several rows with an id the first by file name counts,
+    within a file the smallest, so that a repeat decides alike.
     """
 
     def __init__(self, spark: SparkSession, source: str, root: str, schema: T.StructType, key: str, pattern: str = DAILY_FILE):
         self.spark, self.source, self.schema, self.key, self.pattern = spark, source, schema, key, pattern
         self.rows_dir, self.ledger_dir, self.checkpoint = f"{root}/rows", f"{root}/ledger", f"{root}/checkpoint"
+        self.rejected_dir = f"{root}/rejected"
 
     def _before(self, path: str, epoch: int) -> DataFrame | None:
         """What earlier micro-batches stored."""
@@ -53,21 +65,29 @@ class DailyLoad:
         keep = [f.name for f in self.schema.fields]
         before = self._before(self.rows_dir, epoch)
         target = batch.select(*keep).limit(0) if before is None else before.select(*keep)
-        fresh = loads.new_rows(target, batch, [self.key], ["filename"])
+        good = batch.where(F.col(_BAD).isNull()).drop(_BAD)
+        fresh = loads.new_rows(target, good, [self.key], ["filename", *keep])
         fresh.select(*keep).write.mode("overwrite").parquet(f"{self.rows_dir}/epoch={epoch}")
+        bad = batch.where(F.col(_BAD).isNotNull()).select("filename", F.col(_BAD).alias("record"))
+        bad.write.mode("overwrite").parquet(f"{self.rejected_dir}/epoch={epoch}")
         entries = batch.groupBy("filename").agg(
-            F.localtimestamp().alias("processed_at"), F.count(F.lit(1)).alias("row_count")
+            F.localtimestamp().alias("processed_at"),
+            F.count_if(F.col(_BAD).isNull()).alias("row_count"),
+            F.count(_BAD).alias("rejected_count"),
         )
         entries.write.mode("overwrite").parquet(f"{self.ledger_dir}/epoch={epoch}")
         batch.unpersist()
 
     def run(self) -> None:
         """Load every file that is new since the last run, then stop."""
+        # files that are here now are part of this run, whether they have lines or not
+        listed = cut_lineage(pending_files(self.spark, self.source, self.ledger(), self.pattern).select("filename"))
+        schema = T.StructType([*self.schema.fields, T.StructField(_BAD, T.StringType())])
         stream = (
-            self.spark.readStream.schema(self.schema)
-            .options(**CSV_OPTIONS, recursiveFileLookup="true")
+            self.spark.readStream.schema(schema)
+            .options(**CSV_OPTIONS, recursiveFileLookup="true", mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
             .csv(self.source)
-            .withColumn("filename", F.regexp_extract("_metadata.file_path", rf"({self.pattern}[^?#]*)$", 1))
+            .withColumn("filename", _file_name("_metadata.file_path", self.pattern))
             .where(F.col("filename") != "")
         )
         run = (
@@ -77,9 +97,25 @@ class DailyLoad:
             .start()
         )
         run.awaitTermination()
+        empty = listed.join(self.ledger().select("filename"), "filename", "left_anti").select(
+            "filename",
+            F.localtimestamp().alias("processed_at"),
+            F.lit(0).cast("bigint").alias("row_count"),
+            F.lit(0).cast("bigint").alias("rejected_count"),
+        )
+        empty.write.mode("append").parquet(f"{self.ledger_dir}/epoch=-1")
+
+    def _stored(self, path: str, schema: str | T.StructType) -> DataFrame:
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).drop("epoch")
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.rows_dir).drop("epoch")
+        return self._stored(self.rows_dir, self.schema)
+
+    def rejected(self) -> DataFrame:
+        return self._stored(self.rejected_dir, "filename string, record string")
 
     def ledger(self) -> DataFrame:
-        return self.spark.read.parquet(self.ledger_dir).drop("epoch")
+        schema = "filename string, processed_at timestamp_ntz, row_count bigint, rejected_count bigint"
+        return self._stored(self.ledger_dir, schema)

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions.columns import now
 from starforge.operators import loads, quality, star
-from starforge.operators.relational import broadcast_up_to, count_all
 from starforge.operators.windows import dense_key
-from starforge.session import cut_lineage
+from starforge.session import cut_lineage, side_by_side
 from starforge.sources.tables import Staging, Table, clean_up
 from starforge.streaming.incremental import high_water, newer_than
 
@@ -47,8 +45,8 @@ def sync_dimension(table: Table, rows: DataFrame, natural: str, key: str, update
     else:
         merged = loads.insert_new(existing, rows, [natural], [natural])
     merged = cut_lineage(merged)
-    n_new, highest = merged.agg(F.count_if(col(key).isNull()), F.max(key)).first()
-    fresh = dense_key(merged.where(col(key).isNull()).drop(key), [natural], key, n_rows=n_new, start=highest or 0)
+    highest = merged.agg(F.max(key)).first()[0]
+    fresh = dense_key(merged.where(col(key).isNull()).drop(key), [natural], key, start=highest or 0)
     table.overwrite(merged.where(col(key).isNotNull()).unionByName(fresh))
 
 
@@ -76,13 +74,11 @@ class Warehouse:
             sync_dimension(self.dimension(name), rows[name], f"{name}_id", f"{name}_key", update)
 
         # the dimensions do not depend on each other, and small ones do not fill a cluster
-        with ThreadPoolExecutor(len(rows)) as pool:
-            list(pool.map(sync, rows))
+        side_by_side(sync, rows)
 
     def lookups(self) -> star.Lookups:
         keys = [self.dimension(n).read().select(f"{n}_id", f"{n}_key") for n in star.DIMENSIONS]
-        known = [broadcast_up_to(df, size) for df, size in zip(keys, count_all(keys))]
-        return star.Lookups(star.dim_date(self.days).select("date_key"), *known)
+        return star.Lookups(star.dim_date(self.days).select("date_key"), *keys)
 
     def load_facts(
         self, raw, batch_id: str, full_reload: bool = False, truncate: bool = False, min_rows: int = 1

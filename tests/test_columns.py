@@ -68,7 +68,12 @@ def test_parsing_of_numbers_in_text(spark):
     assert text(spark, "2,345,678", c.comma_number) == 2345678
     assert int(text(spark, "$28,341,469", c.dollars)) == 28341469
     assert text(spark, "87%", c.percent_text) == 87
-    assert text(spark, "N/A", c.minutes_text) is None
+    assert text(spark, "8.8", lambda x: c.plain_number(x, "double")) == 8.8
+    for value in ("N/A", "2 h 28 min", "148 min.", "min", "", "-5 min"):
+        assert text(spark, value, c.minutes_text) is None
+    assert text(spark, "2,34,5678", c.comma_number) is None and text(spark, "12 votes", c.comma_number) is None
+    assert text(spark, "$1.2M", c.dollars) is None and text(spark, "8/10", c.percent_text) is None
+    assert text(spark, "a\u0002b c\u0001 d", c.title_words) == "A\u0002B C\u0001 D"
     assert text(spark, "USA, UK", c.first_listed) == "USA"
 
 

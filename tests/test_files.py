@@ -1,6 +1,7 @@
 import json
 
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.operators import movies
@@ -38,13 +39,32 @@ def test_daily_files_are_loaded_once(spark, tmp_path):
     assert pending_files(spark, str(data), load().ledger()).count() == 0
 
 
+def test_bad_lines_empty_files_and_other_names(spark, tmp_path):
+    data = tmp_path / "data"
+    data.mkdir()
+    day(data, "rides_20260812.csv", "xx,3", "2,b", "2,a", "3,c,4")
+    day(data, "rides_20260813.csv")
+    day(data, "rides_20260814.csv.bak", "9,Z")
+    day(data, "old_rides_20260814.csv", "8,Y")
+    for _ in range(2):
+        load = DailyLoad(spark, str(data), str(tmp_path / "out"), RIDES, "ride_id")
+        load.run()
+        assert rows(load.rows()) == [(2, "a")]
+        assert rows(load.rejected()) == [("rides_20260812.csv", "3,c,4"), ("rides_20260812.csv", "xx,3")]
+        assert rows(load.ledger(), "filename", "row_count", "rejected_count") == [
+            ("rides_20260812.csv", 2, 2), ("rides_20260813.csv", 0, 0),
+        ]
+        assert pending_files(spark, str(data), load.ledger()).count() == 0
+
+
 def test_a_repeated_micro_batch_replaces_itself(spark, tmp_path):
     data = tmp_path / "data"
     data.mkdir()
     day(data, "rides_20260812.csv", "1,A")
     load = DailyLoad(spark, str(data), str(tmp_path / "out"), RIDES, "ride_id")
     load.run()
-    batch = spark.createDataFrame([(1, "A", "rides_20260812.csv")], "ride_id int, driver string, filename string")
+    schema = "ride_id int, driver string, _bad_record string, filename string"
+    batch = spark.createDataFrame([(1, "A", None, "rides_20260812.csv")], schema)
     load._load(batch, 0)
     assert rows(load.rows()) == [(1, "A")] and load.ledger().count() == 1
 
@@ -106,4 +126,20 @@ def test_movies(spark, tmp_path):
     assert [(n, k, int(x)) for n, k, x in rows(movies.directors_by_box_office(m.fact_movie, m.dim_director))] == [
         ("A. One", 2, 14171234)
     ]
-    assert rows(movies.dim_movie(raw.union(raw)), "movie_key") == [(1,), (2,), (3,)]
+
+
+def test_repeated_movies_are_reduced_first_and_keys_stay(spark):
+    def records(*docs):
+        return spark.createDataFrame([json.dumps(d) for d in docs], "string").select(
+            F.from_json("value", movies.MOVIE_SCHEMA).alias("m")
+        ).select("m.*")
+
+    first = records(movie(1, Director="M"), movie(1, Director="Z", Genre="War", Title="Other"), movie(2, Director="N"))
+    m = movies.build(first)
+    assert rows(m.dim_movie, "movie_key", "title") == [(1, "M1"), (2, "M2")]
+    assert "War" not in {g for (g,) in rows(m.dim_genre, "genre_name")}
+    assert rows(m.dim_director, "name", "director_key") == [("M", 1), ("N", 2)]
+    later = movies.build(first.unionByName(records(movie(0, Director="A"))), known=m)
+    assert rows(later.dim_director, "name", "director_key") == [("A", 3), ("M", 1), ("N", 2)]
+    assert rows(later.dim_movie, "imdb_id", "movie_key") == [("tt0", 3), ("tt1", 1), ("tt2", 2)]
+    assert rows(later.fact_movie, "movie_key", "director_key") == [(1, 1), (2, 2), (3, 3)]

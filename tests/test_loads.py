@@ -76,7 +76,7 @@ def test_versioned_table(spark):
     table.insert_new(source(spark).withColumn("id", col("id") + 1), ["id"], ["seq"])
     assert table.read().count() == 4
     table.vacuum(keep=1)
-    assert len(table._versions()) == 1 and table.read().count() == 4
+    assert len(table._folders()) == 1 and table.read().count() == 4
 
 
 def test_a_failed_write_leaves_the_table(spark):
@@ -103,6 +103,27 @@ def test_atomic_load_of_two_tables(spark):
     assert drivers.read().count() == 2 and trips.read().count() == 2
     loads.load_atomic((drivers, new_driver, rules), (trips, new_driver, rules))
     assert drivers.read().count() == 3 and trips.read().count() == 3
+    # the second table fails while it is written
+    failing = new_driver.withColumn("v", F.raise_error(F.lit("disk full")).cast(new_driver.schema["v"].dataType))
+    with pytest.raises(Exception, match="disk full"):
+        loads.load_atomic((drivers, new_driver, rules), (trips, failing, rules))
+    assert drivers.read().count() == 3 and trips.read().count() == 3
+
+
+def test_staged_rows_count_with_their_marker(spark):
+    table = tables.Table(spark, scratch_path(spark, "staged"))
+    table.overwrite(spark.range(3))
+    marker = f"{table.path}/commits/x"
+    table.stage(spark.range(3, 5), marker)
+    assert table.read().count() == 3
+    table.publish(marker)
+    assert table.read().count() == 5
+    fresh = tables.Table(spark, scratch_path(spark, "fresh"))
+    for _ in range(2):
+        fresh.stage(spark.range(2), f"{fresh.path}/commits/y")
+    assert not fresh.exists()
+    fresh.publish(f"{fresh.path}/commits/y")
+    assert fresh.read().count() == 4
 
 
 def test_partitioned_table(spark):

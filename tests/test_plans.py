@@ -35,17 +35,6 @@ def test_scorecard_shuffles_partial_aggregates_only(tables):
     assert "partial_count" in text
 
 
-def test_a_counted_lookup_is_broadcast(spark, tables):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        days = star.calendar(spark, dt.date(1995, 1, 1), dt.date(2000, 12, 31))
-        text = plan(star.resolve_trips(tables.trips, star.etl_lookups(tables, days)))
-        # driver, passenger, two locations, payment method, promo code
-        assert text.count("BroadcastHashJoin") >= 6
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_contradictions_read_nothing(tables):
     text = tables.rides.where(c.equals_sql_null(col("rating")))._jdf.queryExecution().optimizedPlan().toString()
     assert text.startswith("LocalRelation <empty>")
@@ -64,14 +53,14 @@ def test_batches_prune_partitions(spark, tables):
     assert "PartitionFilters: [isnotnull(batch_id" in plan(staging.read_batch("a"))
 
 
-def test_no_forced_broadcasts_of_tables(spark, tables, monkeypatch):
-    """Beyond the limits, joins must fall back to shuffles."""
-    monkeypatch.setattr(r.broadcast_up_to, "__defaults__", (0,))
+def test_no_forced_broadcasts_of_tables(spark, tables):
+    """What is broadcast is Spark's choice by size; numbering broadcasts a row per task."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         days = star.calendar(spark, dt.date(1995, 1, 1), dt.date(2000, 12, 31))
         text = plan(star.resolve_trips(tables.trips, star.etl_lookups(tables, days)))
-        assert "BroadcastHashJoin" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+        hinted = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+        assert all("[_task#" in line for line in hinted) and "CartesianProduct" not in text and "NestedLoop" not in text
         target = tables.trips.select("trip_id", "base_fare")
         text = plan(loads.insert_new(target, target, ["trip_id"], ["base_fare"]))
         assert "Broadcast" not in text

@@ -1,6 +1,7 @@
 """The spread form of every window function must equal Spark's own window."""
 
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -30,32 +31,32 @@ def test_fixture_golden_rows(spark):
         [("Ramesh", 1, 450), ("Ramesh", 2, 320), ("Ramesh", 3, 320), ("Anita", 1, 500), ("Anita", 2, 275)],
         "driver string, day int, fare int",
     )
-    for limit in (None, 0):
-        df = w.number_rows(fares, ["driver"], ["day"], "nr", limit)
-        df = w.running_sum(df, ["driver"], ["day"], "fare", "total", limit)
-        df = w.with_prev(df, ["driver"], ["day"], "fare", "prev", limit=limit)
-        df = w.ranked(df, "-fare", limit=limit)
-        got = rows(df, "driver", "day", "fare", "nr", "rnk", "dense_rnk", "total", "prev")
-        assert got == [
-            ("Anita", 1, 500, 1, 1, 1, 500, None),
-            ("Anita", 2, 275, 2, 5, 4, 775, 500),
-            ("Ramesh", 1, 450, 1, 2, 2, 450, None),
-            ("Ramesh", 2, 320, 2, 3, 3, 770, 450),
-            ("Ramesh", 3, 320, 3, 3, 3, 1090, 320),
-        ]
+    df = w.number_rows(fares, ["driver"], ["day"], "nr")
+    df = w.running_sum(df, ["driver"], ["day"], "fare", "total")
+    df = w.running_avg(df, ["driver"], ["day"], "fare", "avg")
+    df = w.with_prev(df, ["driver"], ["day"], "fare", "prev")
+    df = w.ranked(df, "-fare")
+    got = rows(df, "driver", "day", "fare", "nr", "rnk", "dense_rnk", "total", "prev", "avg")
+    assert got == [
+        ("Anita", 1, 500, 1, 1, 1, 500, None, 500.0),
+        ("Anita", 2, 275, 2, 5, 4, 775, 500, 387.5),
+        ("Ramesh", 1, 450, 1, 2, 2, 450, None, 450.0),
+        ("Ramesh", 2, 320, 2, 3, 3, 770, 450, 385.0),
+        ("Ramesh", 3, 320, 3, 3, 3, 1090, 320, 1090 / 3),
+    ]
 
 
 @pytest.mark.parametrize("order", [["o", "id"], ["-o", "-id"]])
 def test_number_rows(skewed, order):
     plain = skewed.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order_by(*order))))
-    assert rows(w.number_rows(skewed, ["g"], order, "n", limit=0)) == rows(plain)
+    assert rows(w.number_rows(skewed, ["g"], order, "n")) == rows(plain)
 
 
 @pytest.mark.parametrize("order", [["o"], ["-o"]])
 def test_running_shares_ties(skewed, order):
     win = Window.partitionBy("g").orderBy(*order_by(*order))
     plain = skewed.select("id", F.sum("v").over(win).alias("s"), F.count("v").over(win).alias("c"))
-    spread = w.running(skewed, ["g"], order, {"s": F.sum("v"), "c": F.count("v")}, limit=0)
+    spread = w.running(skewed, ["g"], order, {"s": F.sum("v"), "c": F.count("v")})
     assert rows(spread, "id", "s", "c") == rows(plain)
 
 
@@ -64,7 +65,7 @@ def test_neighbours(skewed, step):
     win = Window.partitionBy("g").orderBy(*order_by("o", "id"))
     f = F.lag("v", step) if step > 0 else F.lead("v", -step)
     plain = skewed.select("id", f.over(win).alias("p"))
-    spread = w.with_neighbour(skewed, ["g"], ["o", "id"], "v", "p", step, limit=0)
+    spread = w.with_neighbour(skewed, ["g"], ["o", "id"], "v", "p", step)
     assert rows(spread, "id", "p") == rows(plain)
 
 
@@ -72,13 +73,38 @@ def test_neighbours(skewed, step):
 def test_ranks(skewed, order):
     win = Window.orderBy(*order_by(order))
     plain = skewed.select("id", F.rank().over(win).alias("r"), F.dense_rank().over(win).alias("d"))
-    assert rows(w.ranked(skewed, order, "r", "d", limit=0), "id", "r", "d") == rows(plain)
-
-
-def test_dense_key_is_gap_free_in_both_forms(skewed):
-    plain = rows(w.dense_key(skewed, ["-o", "id"], "k"), "id", "k")
-    assert plain == rows(w.dense_key(skewed, ["-o", "id"], "k", limit=0), "id", "k")
-    assert sorted(k for _, k in plain) == list(range(1, 3001))
+    assert rows(w.ranked(skewed, order, "r", "d"), "id", "r", "d") == rows(plain)
+
+
+def test_dense_key_is_gap_free(skewed):
+    win = Window.orderBy(*order_by("-o", "id"))
+    plain = skewed.select("id", F.row_number().over(win).alias("k"))
+    assert rows(w.dense_key(skewed, ["-o", "id"], "k"), "id", "k") == rows(plain)
+    assert {k - 7 for _, k in rows(w.dense_key(skewed, ["id"], "k", start=7), "id", "k")} == set(range(1, 3001))
+
+
+def test_a_third_of_the_rows_spreads_over_tasks(skewed):
+    placed = w.spread(skewed, ["g"], ["o", "id"])
+    per_task = {r["_task"]: r["count"] for r in placed.where("g = 0").groupBy("_task").count().collect()}
+    assert len(per_task) > 1 and sum(per_task.values()) >= 1000
+
+
+@pytest.mark.parametrize(
+    "call",
+    [
+        lambda df: w.number_rows(df, ["g"], ["o", "id"], "n"),
+        lambda df: w.dense_key(df, ["o", "id"], "n"),
+        lambda df: w.ranked(df, "v"),
+        lambda df: w.running_sum(df, ["g"], ["o"], "v", "n"),
+        lambda df: w.with_prev(df, ["g"], ["o", "id"], "v", "n"),
+    ],
+)
+def test_no_window_over_a_whole_group_of_rows(skewed, call):
+    """Windows that are not cut by task work on one row, or a few, per task."""
+    plan = call(skewed)._jdf.queryExecution().optimizedPlan().toString()
+    for line in re.findall(r"Window \[[^\n]*", plan):
+        if "_task" not in line.split("windowspecdefinition(", 1)[1].split("specifiedwindowframe")[0]:
+            assert "_before" in line or "_across" in line or "_n" in line, line
 
 
 def test_share_and_first_per(skewed):
