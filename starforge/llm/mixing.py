@@ -152,6 +152,8 @@ def mixed(
     last = rest.withColumn("_left", F.greatest(F.lit(0), F.least(col("_n") * col("_c"), col("_rest") - before)))
     last = stored(last.select(*levels, "_row", F.floor(col("_left") / col("_c")).alias("_part")), "last-rows")
 
+    # a row per leaf, stored so that Spark knows how small it is and moves no text to it
+    bounds = stored(bounds, "bounds")
     out = rows.join(bounds, levels).withColumn("_place", _place(mix.seed))
     out = out.join(last, [*levels, "_row"], "left")
     first, second = _bin(0), _bin(1)
