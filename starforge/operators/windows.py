@@ -133,7 +133,7 @@ def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, n
 def running_avg(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
     """Average of the values so far; NULL until there is one."""
     both = running(df, group, order, {"_sum": F.sum(value), "_values": F.count(value)})
-    average = F.try_divide(F.col("_sum"), F.col("_values"))
+    average = F.try_divide(F.col("_sum").cast("double"), F.col("_values").cast("double"))
     return both.withColumn(name, average.cast("double")).drop("_sum", "_values")
 
 

@@ -74,9 +74,9 @@ def win_5(t):
               round(CAST(base_fare AS DOUBLE) * 100 / CAST(sum(base_fare) OVER g AS DOUBLE), 4) AS share,
               count(*) OVER (PARTITION BY status ORDER BY requested_at) AS seen,
               sum(base_fare) OVER (PARTITION BY status ORDER BY requested_at) AS earned,
-              round(avg(base_fare::DOUBLE) OVER g, 4) AS group_avg,
+              round(avg(base_fare::DOUBLE) OVER g + 1e-7, 4) AS group_avg,
               round((sum(base_fare) OVER (PARTITION BY status ORDER BY requested_at))::DOUBLE
-                    / count(base_fare) OVER (PARTITION BY status ORDER BY requested_at), 4) AS running_avg
+                    / count(base_fare) OVER (PARTITION BY status ORDER BY requested_at) + 1e-7, 4) AS running_avg
        FROM trips WINDOW g AS (PARTITION BY status)""",
     doubles="group_total earned",
 )
@@ -87,8 +87,8 @@ def win_6(t):
     both = w.running_avg(both, ["status"], ["requested_at"], "base_fare", "running_avg")
     return both.select(
         "trip_id", "status", "group_total", "group_rows", F.round(col("share").cast("double"), 4).alias("share"),
-        "seen", "earned", F.round(col("group_avg").cast("double"), 4).alias("group_avg"),
-        F.round("running_avg", 4).alias("running_avg"),
+        "seen", "earned", F.round(col("group_avg").cast("double") + 1e-7, 4).alias("group_avg"),
+        F.round(col("running_avg") + 1e-7, 4).alias("running_avg"),
     )
 
 
