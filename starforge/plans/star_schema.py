@@ -270,28 +270,31 @@ def fct_2_skipped(t):
     return skipped
 
 
-_VALID = "surge_multiplier IS NOT NULL AND (status <> 'completed' OR completed_at IS NOT NULL)"
-
-
 @query(
     "warehouse_runs",
     f"""{RESOLVED_SQL}
-    SELECT trip_id AS source_trip_id, driver_key, passenger_key, promo_code_key, round_even(CAST(
-             (base_fare * surge_multiplier + tip_amount - discount_amount) * 100 AS DOUBLE), 0) / 100 AS fare_amount
-    FROM resolved WHERE skip_reason IS NULL AND {_VALID}""",
-    doubles="promo_code_key",
+    SELECT trip_id AS source_trip_id, CASE WHEN why IS NULL THEN driver_key END AS driver_key,
+           CASE WHEN why IS NULL THEN passenger_key END AS passenger_key,
+           CASE WHEN why IS NULL THEN promo_code_key END AS promo_code_key,
+           CASE WHEN why IS NULL THEN fare END AS fare_amount, why AS skip_reason
+    FROM (SELECT *, CASE WHEN skip_reason IS NOT NULL THEN skip_reason WHEN fare < 0 THEN 'negative fare'
+                         WHEN status = 'completed' AND completed_at IS NULL THEN 'completed without duration' END AS why
+          FROM (SELECT *, round_even(CAST((base_fare * coalesce(surge_multiplier, 0) + tip_amount - discount_amount)
+                                          * 100 AS DOUBLE), 0) / 100 AS fare FROM resolved))""",
+    doubles="driver_key passenger_key promo_code_key",
 )
 def warehouse_runs(t):
-    """A full load of the earlier trips, then an incremental run over all of them."""
-    trips = t.trips.where(_VALID)
-    early = trips.where(col("requested_at") < c.now(dt.datetime(1999, 1, 1)))
+    """A full load of the earlier trips, an incremental run over all of them, and one that looks back."""
+    early = t.trips.where(col("requested_at") < c.now(dt.datetime(1999, 1, 1)))
     tables = {n: getattr(t, n) for n in "drivers passengers locations payment_methods promo_codes trip_cancellations".split()}
     warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), covered(t))
-    warehouse.run(SimpleNamespace(**tables, trips=early), AS_OF, "first", full_reload=True)
-    warehouse.run(SimpleNamespace(**tables, trips=trips), AS_OF, "second")
-    return warehouse.fact.read().select(
-        "source_trip_id", "driver_key", "passenger_key", "promo_code_key", "fare_amount"
-    )
+    first, every = SimpleNamespace(**tables, trips=early), SimpleNamespace(**tables, trips=t.trips)
+    warehouse.run(first, AS_OF, "first", full_reload=True, set_aside=True)
+    warehouse.run(every, AS_OF, "second", set_aside=True)
+    warehouse.run(every, AS_OF, "third", min_rows=0, set_aside=True, lookback=dt.timedelta(days=40))
+    facts = warehouse.fact.read().select("source_trip_id", "driver_key", "passenger_key", "promo_code_key", "fare_amount")
+    skipped = warehouse.skipped.read().select(col("trip_id").alias("source_trip_id"), "skip_reason")
+    return facts.unionByName(skipped, allowMissingColumns=True)
 
 
 FACT_MARTS_SQL = f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -117,11 +118,20 @@ class Table:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], self.schema)
         latest = versions[max(versions)]
-        return union_all([self.spark.read.parquet(f"{self.path}/{folder}") for folder in latest])
+        return union_all([self._read_folder(folder) for folder in latest])
+
+    def _read_folder(self, folder: str, schema: T.StructType | None = None) -> DataFrame:
+        """A partitioned folder is read with the schema it was written with, as it may hold no file."""
+        known = f"{self.path}/_schema-{folder}"
+        if schema is None and exists(self.spark, known):
+            schema = T.StructType.fromJson(json.loads(read_text(self.spark, known)))
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.path}/{folder}")
 
     def _write(self, df: DataFrame, folder: str, committed: bool = True) -> None:
         if self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
+            write_text(self.spark, f"{self.path}/_schema-{folder}", df.schema.json())
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*self.partition_by)
         if not committed:
             writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
@@ -151,7 +161,7 @@ class Table:
         return folder
 
     def staged(self, folder: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+        return self._read_folder(folder, schema)
 
     def publish(self, marker: str) -> None:
         """Let everything that was staged under ``marker`` count."""

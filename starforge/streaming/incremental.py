@@ -29,20 +29,29 @@ def newer_than(src: DataFrame, ts: str, mark: dt.datetime, lookback: dt.timedelt
     return src.where(F.col(ts) > instant(mark - lookback))
 
 
-def run_load(table: Table, src: DataFrame, ts: str, keys: list[str], full_reload: bool = False, truncate: bool = False) -> None:
+def run_load(
+    table: Table,
+    src: DataFrame,
+    ts: str,
+    keys: list[str],
+    full_reload: bool = False,
+    truncate: bool = False,
+    lookback: dt.timedelta = dt.timedelta(0),
+) -> None:
     """One load run.
 
-    Incremental: only newer rows, existing ones untouched.  Full reload: all rows, either
+    Incremental: only rows newer than the mark less ``lookback``, existing ones untouched.  Full reload: all rows, either
     into an emptied table or over the existing rows.
     """
     target = table.read()
+    order = [ts, *[c for c in src.columns if c not in (ts, *keys)]]  # so that ties are decided alike
     if full_reload and truncate:
-        table.overwrite(loads.insert_new(target.limit(0), src, keys, [ts]))
+        table.overwrite(loads.insert_new(target.limit(0), src, keys, order))
     elif full_reload:
-        table.overwrite(loads.load_fact(target, src, keys, [ts], full_reload=True))
+        table.overwrite(loads.load_fact(target, src, keys, order, full_reload=True))
     else:
-        newer = newer_than(src, ts, high_water(target, ts))
-        table.insert_new(newer, keys, [ts])
+        newer = newer_than(src, ts, high_water(target, ts), lookback)
+        table.insert_new(newer, keys, order)
 
 
 def stage_stream(stream: DataFrame, staging: Staging, checkpoint: str):

@@ -86,3 +86,20 @@ def test_dimension_attributes_may_stay_as_first_loaded(spark, warehouse):
     warehouse.load_dimensions(source(spark, []), F.lit(AS_OF))
     warehouse.load_dimensions(source(spark, [], names=("Other", "Ben", "New")), F.lit(AS_OF), update=False)
     assert rows(warehouse.dimension("driver").read(), "driver_key", "name") == [(1, "Ann"), (2, "Ben"), (3, "New")]
+
+
+def test_repeated_ids_lookback_and_rows_set_aside(spark, warehouse):
+    first = source(spark, [trip(1, at=at(0)), trip(2, at=at(9), d=99)])
+    first.drivers = first.drivers.unionByName(first.drivers)
+    warehouse.run(first, AS_OF)
+    assert rows(warehouse.dimension("driver").read(), "driver_key", "name") == [(1, "Ann"), (2, "Ben")]
+    assert len(facts(warehouse)) == 1 and warehouse.dimension("time").read().count() == 96
+    # trip 3 came late, trip 4 breaks a rule, trip 1 is cancelled twice
+    second = source(spark, [trip(1, at=at(0)), trip(3, at=at(-5)), trip(4, "1.00", disc="5.00", at=at(6)), trip(5, at=at(7))])
+    second.trip_cancellations = spark.createDataFrame([(1, None, "x", "y")] * 2, second.trip_cancellations.schema)
+    warehouse.run(second, AS_OF, set_aside=True, lookback=dt.timedelta(hours=1))
+    got = rows(warehouse.fact.read(), "source_trip_id", "month")
+    assert got == [(1, "202403"), (3, "202403"), (5, "202403")]
+    keys = rows(warehouse.fact.read(), "source_trip_id", "trip_key")
+    assert keys[0] == (1, 1) and len({k for _, k in keys}) == 3
+    assert rows(warehouse.skipped.read()) == [(2, "unknown driver"), (4, "negative fare")]
