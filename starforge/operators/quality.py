@@ -103,9 +103,73 @@ def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: s
     return _counted(name or f"relationships_{column}", orphans(df, column, parent, parent_column), n)
 
 
+@dataclass(frozen=True)
+class KeyCheck:
+    """``value`` must not repeat, or, with a parent table and column, must be among its values.
+
+    A NULL value passes.
+    """
+
+    name: str
+    value: Column
+    parent: DataFrame | None = None
+    parent_column: str | None = None
+
+
+def unique_key(columns: Sequence[str], where: Column | None = None, name: str | None = None) -> KeyCheck:
+    known = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    for c in columns:
+        known = known & col(c).isNotNull()
+    value = col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns))
+    return KeyCheck(name or f"unique_{'_'.join(columns)}", F.when(known, value))
+
+
+def reference(column: str, parent: DataFrame, parent_column: str) -> KeyCheck:
+    return KeyCheck(f"relationships_{column}", col(column).cast("string"), parent, parent_column)
+
+
+def _unfolded(df: DataFrame, values: dict[int, Column]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), v.alias("value")) for i, v in values.items()])
+    return df.select(F.inline(pairs)).where(col("value").isNotNull())
+
+
+def run_keys(df: DataFrame, checks: Sequence[KeyCheck]) -> DataFrame:
+    """(check, passed, n_bad) of all key and reference checks of a table, from one pass over it.
+
+    Rows are unfolded to (check, value) and counted before the shuffle, so a value that fills
+    the table is one row; each parent is read once for all checks that refer to it.
+    """
+    used = _unfolded(df, {i: c.value for i, c in enumerate(checks)})
+    used = used.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    parents: dict[int, tuple[DataFrame, dict[int, Column]]] = {}
+    for i, c in enumerate(checks):
+        if c.parent is not None:
+            parents.setdefault(id(c.parent), (c.parent, {}))[1][i] = col(c.parent_column).cast("string")
+    if parents:
+        known = union_all([_unfolded(parent, values).distinct() for parent, values in parents.values()])
+        used = used.join(known.withColumn("known", F.lit(True)), ["i", "value"], "left")
+    counts = []
+    for i, c in enumerate(checks):
+        own = col("i") == i
+        if c.parent is None:
+            bad = F.count_if(own & (col("n") > 1))
+        else:
+            bad = F.coalesce(F.sum(F.when(own & col("known").isNull(), col("n"))), F.lit(0))
+        counts.append(bad.cast("bigint").alias(f"_{i}"))
+    results = F.array(
+        *[
+            F.struct(F.lit(c.name).alias("check"), (col(f"_{i}") == 0).alias("passed"), col(f"_{i}").alias("n_bad"))
+            for i, c in enumerate(checks)
+        ]
+    )
+    return used.agg(*counts).select(F.inline(results))
+
+
 def audit(df: DataFrame, rules: Sequence[Rule], keys: Sequence[tuple[str, Sequence[str], Column | None]] = ()) -> DataFrame:
-    """Row rules and (partial) unique rules of one table."""
-    parts = [run_rules(df, rules)] + [unique(df, columns, where, name) for name, columns, where in keys]
+    """Row rules and (partial) unique rules of one table, in one pass each."""
+    parts = [run_rules(df, rules)]
+    if keys:
+        parts.append(run_keys(df, [unique_key(columns, where, name) for name, columns, where in keys]))
     return union_all(parts)
 
 
@@ -138,11 +202,11 @@ class Suite:
 
 
 def run_suite(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
-    """(table_name, check, passed, n_bad): per table one pass for the row rules, and one
-    reduction for each key or reference check."""
+    """(table_name, check, passed, n_bad): per table one pass for the row rules and one for all
+    key and reference checks."""
     parts: list[DataFrame] = []
     for table, columns in suite.tests.items():
-        df, rules, results = tables[table], [], []
+        df, rules, keys = tables[table], [], []
         for column, tests in columns.items():
             for test in tests:
                 match test:
@@ -151,12 +215,11 @@ def run_suite(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
                     case ("accepted", values):
                         rules.append(accepted(column, values))
                     case "unique":
-                        results.append(unique(df, [column]))
+                        keys.append(unique_key([column]))
                     case ("refers", parent, parent_column):
-                        results.append(relationship(df, column, tables[parent], parent_column))
+                        keys.append(reference(column, tables[parent], parent_column))
         rules += [no_rows(name, bad) for name, bad in suite.conditions.get(table, {}).items()]
-        if rules:
-            results.append(run_rules(df, rules))
+        results = ([run_rules(df, rules)] if rules else []) + ([run_keys(df, keys)] if keys else [])
         parts += [r.select(F.lit(table).alias("table_name"), "check", "passed", "n_bad") for r in results]
     return union_all(parts)
 

@@ -6,7 +6,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, combinations
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,6 @@ from pyspark.sql.types import DataType
 from starforge.operators import loads
 from starforge.operators.relational import union_all
 from starforge.operators.windows import top_n_per
-from starforge.session import cut_lineage
 
 col = F.col
 
@@ -84,13 +83,21 @@ def update_index(index: DataFrame, fresh: DataFrame, key: str = "chunk_id") -> D
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    rows = [np.asarray(v, dtype=np.float64) for v in vectors]
+    if len({len(r) for r in rows}) > 1:
+        raise ValueError("query vectors differ in length")
+    return np.stack(rows)
 
 
-def _list_matrix(lists: pa.ListArray) -> np.ndarray:
-    """Rows of equally long lists, without a copy per row."""
-    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
+def _list_matrix(lists: pa.ListArray, dim: int | None = None) -> np.ndarray:
+    """Rows of equally long lists, without a copy per row; another length is an error."""
+    if not len(lists):
+        return np.zeros((0, dim or 0))
+    lengths = np.diff(lists.offsets.to_numpy())
+    dim = int(lengths[0]) if dim is None else dim
+    if (lengths != dim).any():
+        raise ValueError(f"a vector has {int(lengths[lengths != dim][0])} numbers, not {dim}")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), dim)
 
 
 def _query_blocks(queries: DataFrame, query_id: str, vector: str, size: int) -> Iterator[pd.DataFrame]:
@@ -118,39 +125,48 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _search_block(
     index: DataFrame, block: pd.DataFrame, id_: str, vector: str, k: int, cells: list | None, query_type: DataType
 ) -> DataFrame:
-    """Best ``k`` of one block of queries.
+    """Best ``k`` of one block of queries; ``cells`` has the cells that each query probes.
 
     A task multiplies its batches with the block and keeps the best ``k`` per query, so what
     is shuffled grows with the number of tasks, not with the index.
     """
     sc = index.sparkSession.sparkContext
-    shared = sc.broadcast((block["query_id"].tolist(), unit_rows(_matrix(block["vector"])), cells))
+    probing: dict[int, list[int]] = {}
+    for q, probed in enumerate(cells or []):
+        for c in probed:
+            probing.setdefault(c, []).append(q)
+    shared = sc.broadcast((block["query_id"].tolist(), unit_rows(_matrix(block["vector"])), probing))
+    celled = cells is not None
     id_type = index.schema[id_].dataType
     arrow_types = to_arrow_type(query_type), to_arrow_type(id_type)
     columns = [id_, vector] + (["cell"] if cells is not None else [])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries, probed = shared.value
+        names, queries, probing = shared.value
         best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = _list_matrix(batch.column(vector))
+            rows = _list_matrix(batch.column(vector), queries.shape[1])
             ids = batch.column(id_).to_numpy(zero_copy_only=False)
             lengths = np.linalg.norm(rows, axis=1)
             usable = lengths > 0  # a vector of zeros has no direction
             ids, rows = ids[usable], rows[usable] / lengths[usable, None]
-            cell = batch.column("cell").to_numpy(zero_copy_only=False)[usable] if probed is not None else None
-            for start in range(0, len(names), 256):
-                scores = queries[start : start + 256] @ rows.T
-                for q, s in enumerate(scores, start):
-                    at = slice(None) if probed is None else np.isin(cell, probed[q])
-                    found_s, found_i = s[at], ids[at]
-                    if best[q] is not None:
-                        found_s = np.concatenate([best[q][0], found_s])
-                        found_i = np.concatenate([best[q][1], found_i])
-                    top = _best(found_s, found_i, k)
-                    best[q] = (found_s[top], found_i[top])
+            if celled:  # the rows of a cell meet only the queries that probe it
+                cell = batch.column("cell").to_numpy(zero_copy_only=False)[usable]
+                parts = [(probing.get(int(c), []), np.flatnonzero(cell == c)) for c in np.unique(cell)]
+            else:
+                parts = [(range(len(names)), np.arange(len(ids)))]
+            for asked, at in parts:
+                for start in range(0, len(asked), 256):
+                    some = list(asked[start : start + 256])
+                    for q, found_s in zip(some, queries[some] @ rows[at].T):
+                        found_i = ids[at]
+                        if best[q] is not None:
+                            found_s = np.concatenate([best[q][0], found_s])
+                            found_i = np.concatenate([best[q][1], found_i])
+                        top = _best(found_s, found_i, k)
+                        best[q] = (found_s[top], found_i[top])
         for name, hit in zip(names, best):
             if hit is not None and len(hit[0]):
                 names_column = pa.array([name] * len(hit[0]), arrow_types[0])
@@ -207,8 +223,8 @@ def _cells(m: np.ndarray, bits: int, seed: int) -> np.ndarray:
 def with_cell(index: DataFrame, vector: str = "embedding", bits: int = 6, seed: int = 7) -> DataFrame:
     """Add the cell of a vector: on which side of ``bits`` random planes it lies.
 
-    Store the index partitioned by ``cell``; a search then reads the probed cells only.
-    A crowded cell is scanned by many tasks, as cells are never grouped into one.
+    An index that is stored partitioned by ``cell`` is read in the probed cells only.  A crowded
+    cell is scanned by many tasks, as cells are never grouped into one.
     """
 
     @F.arrow_udf("int")
@@ -218,10 +234,21 @@ def with_cell(index: DataFrame, vector: str = "embedding", bits: int = 6, seed:
     return index.where(col(vector).isNotNull()).withColumn("cell", cell(col(vector)))
 
 
-def _probes(cell: int, bits: int, radius: int) -> list[int]:
-    """All cells that differ from ``cell`` in at most ``radius`` planes."""
-    flips = (combo for r in range(radius + 1) for combo in combinations(range(bits), r))
-    return [cell ^ sum(1 << b for b in combo) for combo in flips]
+def _probes(query: np.ndarray, sizes: dict[int, int], wanted: int, bits: int, seed: int) -> list[int]:
+    """Cells nearest to a query, until they hold ``wanted`` vectors or all.
+
+    A cell is as far as the planes between it and the query, by their squared distances.
+    """
+    margins = query @ _planes(len(query), bits, seed)
+    cells = np.array(sorted(sizes))
+    differs = (cells[:, None] >> np.arange(bits)) & 1 != (margins > 0)
+    out, held = [], 0
+    for c in cells[np.argsort((differs * margins**2).sum(axis=1), kind="stable")].tolist():
+        if held >= wanted:
+            break
+        out.append(c)
+        held += sizes[c]
+    return out
 
 
 def approx_top_k(
@@ -232,29 +259,26 @@ def approx_top_k(
     query_id: str = "query_id",
     vector: str = "embedding",
     bits: int = 6,
-    radius: int = 2,
+    share: float = 0.85,
     seed: int = 7,
     block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """As :func:`top_k_cosine` over an index with cells, looking only into cells near the query.
+    """As :func:`top_k_cosine` over an index with cells, looking only into the cells near a query.
 
-    Scores are exact.  Queries whose cells hold fewer than ``k`` vectors are answered exactly.
+    Every query probes its nearest cells until they hold ``share`` of the index and ``k``
+    vectors.  Scores are exact.  ``share`` trades work for recall: vectors in clear groups need
+    little of the index, vectors without structure, as in the supplied tables, most of it.
     """
     query_type = queries.schema[query_id].dataType
+    # one row per cell, at most two to the power of ``bits``
+    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}
+    wanted = max(k, int(np.ceil(share * sum(sizes.values()))))
     parts = []
     for b in _query_blocks(queries, query_id, vector, block):
-        probed = [_probes(int(c), bits, radius) for c in _cells(_matrix(b["vector"]), bits, seed)]
-        wanted = sorted({c for p in probed for c in p})
-        near = index.where(col("cell").isin(wanted))
-        parts.append(_search_block(near, b, id_, vector, k, [np.array(p) for p in probed], query_type))
-    if not parts:
-        return top_k_cosine(index, queries, k, id_, query_id, vector)
-    # at most k rows per query; stored, as they are read twice
-    found = cut_lineage(union_all(parts))
-    full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(col("_n") >= k).select("query_id")
-    short = queries.join(full.withColumnRenamed("query_id", query_id), query_id, "left_anti")
-    exact = top_k_cosine(index, short, k, id_, query_id, vector)
-    return found.join(full, "query_id", "left_semi").unionByName(exact)
+        probed = [_probes(q, sizes, wanted, bits, seed) for q in unit_rows(_matrix(b["vector"]))]
+        near = index.where(col("cell").isin(sorted({c for p in probed for c in p})))
+        parts.append(_search_block(near, b, id_, vector, k, probed, query_type))
+    return union_all(parts) if parts else top_k_cosine(index, queries, k, id_, query_id, vector)
 
 
 def recall(found: DataFrame, truth: DataFrame, id_: str = "vec_id") -> DataFrame:

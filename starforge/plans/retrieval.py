@@ -56,6 +56,14 @@ def vec_4(t):
     return _shown(v.approx_top_k(v.with_cell(t.vectors), centroids(t.vectors), 5))
 
 
+@query("vec_4_recall", "SELECT TRUE AS enough")
+def vec_4_recall(t):
+    """The approximate search finds nine of ten of the true hits."""
+    exact = v.top_k_cosine(t.vectors, centroids(t.vectors), 5)
+    found = v.approx_top_k(v.with_cell(t.vectors), centroids(t.vectors), 5)
+    return v.recall(found, exact).select((col("recall") >= 0.9).alias("enough"))
+
+
 def _hits(t):
     """Hits with the text of the document of the same number."""
     found = v.top_k_cosine(t.vectors, centroids(t.vectors), 5)

@@ -69,3 +69,35 @@ def test_audit_of_bad_rows(spark):
     rules = [q.non_negative("fare"), q.not_null("driver"), q.accepted("payment", ["cash", "esewa"])]
     got = rows(q.audit(rides, rules, [("ride_id", ["ride_id"], None)]), "check", "n_bad")
     assert got == [("accepted_values_payment", 1), ("non_negative_fare", 1), ("not_null_driver", 1), ("ride_id", 1)]
+
+
+def test_keys_and_references_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 7), (1, "b", 8), (None, "a", 7), (None, None, 7), (3, None, None)], "id int, code string, ref int"
+    )
+    parent = spark.createDataFrame([(7,), (7,), (None,)], "id int")
+    checks = [
+        q.unique_key(["id"]),
+        q.unique_key(["id", "code"]),
+        q.unique_key(["id"], F.col("code") == "a", "one_a"),
+        q.reference("ref", parent, "id"),
+        q.reference("id", parent, "id"),
+    ]
+    got = rows(q.run_keys(df, checks), "check", "passed", "n_bad")
+    assert got == [
+        ("one_a", True, 0), ("relationships_id", False, 3), ("relationships_ref", False, 1),
+        ("unique_id", False, 1), ("unique_id_code", True, 0),
+    ]
+    assert all(passed for _, passed, _ in rows(q.run_keys(df.limit(0), checks), "check", "passed", "n_bad"))
+
+
+def test_a_suite_scans_a_table_twice(spark, tmp_path):
+    for name in ("child", "parent"):
+        spark.range(20).select("id", (F.col("id") % 5).alias("ref"), "id").toDF("id", "ref", "other").write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("child", "parent")}
+    refers = ("refers", "parent", "id")
+    suite = q.Suite({"child": {"id": ["unique", "not_null"], "ref": [refers, "not_null"], "other": ["unique", refers]}}, {})
+    found = q.run_suite(tables, suite)
+    assert all(passed for _, passed in rows(found, "check", "passed")) and found.count() == 6
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3  # the child for rows and for keys, the parent once

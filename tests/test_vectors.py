@@ -68,17 +68,26 @@ def test_ties_go_to_the_lower_id(spark, index):
 def test_approximate_search(index, queries):
     celled = v.with_cell(index, bits=4)
     exact = v.top_k_cosine(index, queries, 5)
-    full = v.approx_top_k(celled, queries, 5, bits=4, radius=4)
+    full = v.approx_top_k(celled, queries, 5, bits=4, share=1.0)
     assert rows(full, "query_id", "vec_id", "rank") == rows(exact, "query_id", "vec_id", "rank")
-    near = v.approx_top_k(celled, queries, 5, bits=4, radius=1)
-    assert near.count() == 45  # short answers are completed exactly
-    assert v.recall(near, exact).first()[0] >= 0.5
+    near = v.approx_top_k(celled, queries, 5, bits=4, share=0.6)
+    assert near.count() == 45
+    assert v.recall(near, exact).first()[0] >= 0.7
 
 
-def test_few_candidates_fall_back_to_exact(index, queries):
-    celled = v.with_cell(index, bits=8)
-    near = v.approx_top_k(celled, queries, 50, bits=8, radius=0)
-    assert rows(near, "query_id", "vec_id") == rows(v.top_k_cosine(index, queries, 50), "query_id", "vec_id")
+def test_a_query_reads_its_nearest_cells_until_they_hold_enough():
+    sizes = {c: 10 for c in range(16)}
+    query = np.random.default_rng(4).standard_normal(8)
+    own = int(v._cells(query[None], 4, 7)[0])
+    for wanted, cells in ((1, 1), (10, 1), (11, 2), (55, 6), (1000, 16)):
+        probes = v._probes(query, sizes, wanted, 4, 7)
+        assert len(probes) == cells and probes[0] == own
+
+
+def test_vectors_of_another_length_are_an_error(spark, queries):
+    odd = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="numbers, not"):
+        v.top_k_cosine(odd, queries, 2).collect()
 
 
 def test_embedding_and_index_update(spark):
