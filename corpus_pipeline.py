@@ -39,9 +39,10 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = secrets.scan(docs.select(*COLUMNS).withColumn("_text", col("text")), text="_text", keep=COLUMNS)
-    hidden = F.when(col("text").isNotNull(), secrets.redacted(col("text"), col("spans")))
-    sized = F.when(F.size("spans") > 0, F.char_length(hidden).cast("bigint")).otherwise(col("n_chars"))
-    return found.select("doc_id", hidden.alias("text"), "lang", "source", sized.alias("n_chars"))
+    # under a name of its own: Spark would take an alias "text" for the column within the lambdas
+    found = found.withColumn("_hidden", F.when(col("text").isNotNull(), secrets.redacted(col("text"), col("spans"))))
+    sized = F.when(F.size("spans") > 0, F.char_length("_hidden").cast("bigint")).otherwise(col("n_chars"))
+    return found.select("doc_id", col("_hidden").alias("text"), "lang", "source", sized.alias("n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
