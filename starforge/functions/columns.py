@@ -6,6 +6,7 @@ Every builder returns a built-in Spark expression, so it stays inside generated
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,28 +129,34 @@ def decade(year: Column) -> Column:
     return (F.floor(year / 10) * 10).cast("int")
 
 
+# The first months of each tenure, and the label of longer ones.
+TENURES = [(6, "0-6 months"), (12, "6-12 months"), (24, "1-2 years")]
+LONGEST_TENURE = "2+ years"
+
+# First and last hour of the parts of a day, the label of other hours, and the rush hours.
+DAY_PARTS = [(6, 11, "Morning"), (12, 16, "Afternoon"), (17, 20, "Evening")]
+OTHER_HOURS = "Night"
+RUSH_HOURS = [(7, 8), (17, 19)]
+
+
 def tenure_bucket(joined: Column, as_of: Column) -> Column:
     """How long ago ``joined`` lies before ``as_of``; a missing date counts as the longest tenure."""
 
-    def since(months: int) -> Column:
-        return joined >= as_of - F.make_ym_interval(F.lit(0), F.lit(months))
-
-    return (
-        F.when(since(6), "0-6 months").when(since(12), "6-12 months").when(since(24), "1-2 years").otherwise("2+ years")
-    )
+    label = F.lit(LONGEST_TENURE)
+    for months, name in reversed(TENURES):
+        label = F.when(joined >= as_of - F.make_ym_interval(F.lit(0), F.lit(months)), name).otherwise(label)
+    return label
 
 
 def time_of_day(hour: Column) -> Column:
-    return (
-        F.when(hour.between(6, 11), "Morning")
-        .when(hour.between(12, 16), "Afternoon")
-        .when(hour.between(17, 20), "Evening")
-        .otherwise("Night")
-    )
+    label = F.lit(OTHER_HOURS)
+    for first, last, name in DAY_PARTS:
+        label = F.when(hour.between(first, last), name).otherwise(label)
+    return label
 
 
 def is_rush_hour(hour: Column) -> Column:
-    return hour.between(7, 8) | hour.between(17, 19)
+    return reduce(lambda a, b: a | b, [hour.between(first, last) for first, last in RUSH_HOURS])
 
 
 def now(as_of: dt.datetime | None = None) -> Column:

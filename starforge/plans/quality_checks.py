@@ -166,6 +166,7 @@ MART_CONDITIONS = {
     "fare_amount_non_negative": "fare_amount < 0",
     "surge_multiplier_valid": "surge_multiplier < 1",
 }
+# The published tests of the tables, column by column.
 SUITE = q.Suite(
     tests={
         # raw tables
