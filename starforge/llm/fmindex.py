@@ -48,9 +48,19 @@ class WaveletMatrix:
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Positions of ``text`` by the suffix that starts there, by prefix doubling."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    step, n = 1, len(text)
+    """Positions of ``text`` by the suffix that starts there, by prefix doubling.
+
+    The first order is by as many symbols as fit into one number.
+    """
+    n = len(text)
+    bits = int(text.max()).bit_length() + 1
+    step = max(1, 62 // bits)
+    first = np.zeros(n, dtype=np.int64)
+    for k in range(step):
+        shifted = np.zeros(n, dtype=np.int64)
+        shifted[: max(0, n - k)] = text[k:] + 1
+        first = first << bits | shifted
+    rank = np.unique(first, return_inverse=True)[1].astype(np.int64)
     while True:
         after = np.zeros(n, dtype=np.int64)
         after[: max(0, n - step)] = rank[step:] + 1
@@ -64,21 +74,20 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
 
 
 class FmIndex:
-    """Index of several word sequences; symbols of words count from 1, 0 ends a sequence.
+    """Index of word sequences, laid end to end; symbols of words count from 1, 0 ends a sequence.
 
     ``search`` walks backward from the last word; an interval holds the rows of the sorted
     suffixes that begin with what was read.
     """
 
-    def __init__(self, sequences: list[np.ndarray], n_symbols: int):
-        count = len(sequences)
-        lengths = np.array([len(s) for s in sequences])
+    def __init__(self, words: np.ndarray, lengths: np.ndarray, n_symbols: int):
+        count = len(lengths)
         ends = np.cumsum(lengths + 1) - 1
         self.starts = ends - lengths
         self.text = np.zeros(int(ends[-1]) + 1, dtype=np.int64)
         word = np.ones(len(self.text), dtype=bool)
         word[ends] = False
-        self.text[word] = np.concatenate(sequences)
+        self.text[word] = words
         # every end is a symbol of its own, so no order depends on what follows it
         apart = self.text + count
         apart[ends] = np.arange(count)

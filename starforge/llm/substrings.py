@@ -28,10 +28,12 @@ col = F.col
 WINDOW = 13
 # Words whose joint hash is a candidate for a minimizer.
 GROUP = 4
-# Words that one index holds, but for the fragments of one minimizer.
-SHARD_WORDS = 200_000
-# Distinct fragments of one minimizer beyond which its windows are dealt one by one.
-CROWD = 512
+# Bytes of words that one index holds, but for the fragments of one minimizer.
+SHARD_BYTES = 2 << 20
+# Bytes of one minimizer's distinct fragments beyond which its windows are dealt one by one.
+CROWD_BYTES = 16 << 20
+# Rows of a result that leave the worker at a time.
+BATCH = 10_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,16 +127,20 @@ def _single_windows(window: int):
     return cut
 
 
-def shard_firsts(pieces: list[bytes], firsts: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each fragment, the smallest id that each of its windows starts in, within the shard."""
-    known: dict[bytes, int] = {}
-    sequences = [np.array([known.setdefault(w, len(known) + 1) for w in p.split()]) for p in pieces]
-    index = FmIndex(sequences, len(known) + 1)
-    counts = np.array([len(s) - window + 1 for s in sequences])
+def shard_firsts(pieces: list[bytes], firsts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each fragment, the smallest id it starts in within the shard, end to end.
+
+    Also the number of windows of each fragment.
+    """
+    words = b" ".join(pieces).split()
+    known = {w: n for n, w in enumerate(dict.fromkeys(words), 1)}
+    lengths = np.array([p.count(b" ") + 1 for p in pieces])
+    symbols = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+    index = FmIndex(symbols, lengths, len(known) + 1)
+    counts = lengths - window + 1
     owner = np.repeat(np.arange(len(pieces)), counts)
-    ends = np.cumsum(counts)
-    at = index.starts[owner] + np.arange(len(owner)) - np.repeat(ends - counts, counts)
-    least = firsts[owner].copy()
+    at = index.starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    least = firsts[owner]
     lane, low, high = index.matches(at, window)
     if len(lane):
         ids = np.append(firsts[index.owners()], np.iinfo(np.int64).max)
@@ -143,41 +149,47 @@ def shard_firsts(pieces: list[bytes], firsts: np.ndarray, window: int) -> list[n
         stop[back] = high
         # intervals of windows of one length are disjoint
         least[lane] = np.minimum.reduceat(ids, np.stack([start, stop], axis=1).ravel())[::2][back]
-    return np.split(least, ends[:-1])
+    return least, counts
 
 
 def _search(window: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        routes: list[int] = []
-        keys: list[int] = []
-        alone: list[bool] = []
-        pieces: list[bytes] = []
-        firsts: list[int] = []
-        held = 0
-
-        def done() -> pa.RecordBatch:
-            least = shard_firsts(pieces, np.array(firsts, dtype=np.int64), window)
-            columns = [pa.array(routes, pa.int64()), pa.array(keys, pa.int64()), pa.array(alone, pa.bool_())]
-            columns.append(pa.array(least, pa.list_(pa.int64())))
-            return pa.RecordBatch.from_arrays(columns, ["route", "key", "alone", "least"])
-
-        for batch in batches:
-            for route, key, single, words, first in zip(*(c.to_pylist() for c in batch.columns)):
-                if held >= SHARD_WORDS and route != routes[-1]:
-                    yield done()
-                    routes, keys, alone, pieces, firsts, held = [], [], [], [], [], 0
-                routes.append(route)
-                keys.append(key)
-                alone.append(single)
-                pieces.append(words)
-                firsts.append(first)
-                held += words.count(b" ") + 1
-        if pieces:
-            yield done()
+        for shard in _shards(batches):
+            pieces = shard.column("words").to_pylist()
+            least, counts = shard_firsts(pieces, shard.column("first").to_numpy(), window)
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            columns = [shard.column(c).combine_chunks() for c in ("route", "key", "alone")]
+            found = pa.ListArray.from_arrays(ends, pa.array(least))
+            yield from pa.table([*columns, found], names=["route", "key", "alone", "least"]).to_batches(max_chunksize=BATCH)
 
     return search
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole routes that hold about ``SHARD_BYTES`` of words."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        route = batch.column("route").to_numpy()
+        while size + batch.column("words").nbytes >= SHARD_BYTES and held and batch.num_rows:
+            # up to the end of the route that is open
+            same = route != held[-1].column("route")[-1].as_py()
+            cut = int(same.argmax()) if same.any() else len(route)
+            if cut:
+                held.append(batch.slice(0, cut))
+            if cut == len(route):
+                batch = batch.slice(cut)
+                break
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+            batch, route = batch.slice(cut), route[cut:]
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column("words").nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _packed(docs: DataFrame, id_: str, text: str) -> DataFrame:
     """Ids with compressed texts, for the two joins that move texts."""
 
@@ -224,7 +236,8 @@ def least_ids(distinct: DataFrame, window: int) -> DataFrame:
     passage that very many documents share, each window is dealt by itself, and the fragments'
     results are put together again.
     """
-    crowded = distinct.groupBy("m").count().where(col("count") > CROWD).select("m")
+    sizes = distinct.groupBy("m").agg(F.sum(F.octet_length("words")).alias("size"))
+    crowded = sizes.where(col("size") > CROWD_BYTES).select("m")
     calm = distinct.join(crowded, "m", "left_anti")
     single = distinct.join(crowded, "m", "left_semi").select(
         "m", "key", "first", F.posexplode(_single_windows(window)(col("words"))).alias("i", "words")

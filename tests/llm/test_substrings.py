@@ -43,7 +43,7 @@ def test_wavelet_rank_is_a_count():
 def test_index_finds_all_repeated_windows():
     rng = random.Random(4)
     sequences = [np.array([rng.randint(1, 3) for _ in range(rng.randint(4, 40))]) for _ in range(30)]
-    index = FmIndex(sequences, 4)
+    index = FmIndex(np.concatenate(sequences), np.array([len(s) for s in sequences]), 4)
     at = np.concatenate([index.starts[i] + np.arange(len(s) - 3) for i, s in enumerate(sequences)])
     counts = {}
     for p in at:
@@ -53,9 +53,10 @@ def test_index_finds_all_repeated_windows():
     assert got == {p: sorted(ps) for ps in counts.values() if len(ps) > 1 for p in ps}
 
 
-@pytest.mark.parametrize("crowd", [512, 1])
-def test_same_as_brute_force(docs_of, monkeypatch, crowd):
-    monkeypatch.setattr(substrings, "CROWD", crowd)
+@pytest.mark.parametrize("crowd, shard", [(1 << 24, 1 << 21), (100, 1), (1 << 24, 300)])
+def test_same_as_brute_force(docs_of, monkeypatch, crowd, shard):
+    monkeypatch.setattr(substrings, "CROWD_BYTES", crowd)
+    monkeypatch.setattr(substrings, "SHARD_BYTES", shard)
     shared = sentence(1, 30)
     pairs = [(i, f"{sentence(i + 10, 9)} {shared if i % 3 else shared[:60]} {sentence(i + 50, 7 + i)}") for i in range(12)]
     pairs += [(40, pairs[3][1]), (41, pairs[3][1] + " x"), (42, "a " * 40), (43, "b a a " + "a " * 30)]
@@ -68,3 +69,20 @@ def test_long_text_and_empty_table(docs_of):
     pairs = [(1, long), (2, long[5000:] + " end"), (3, "short")]
     assert result(docs_of(pairs), 13) == brute(pairs, 13)
     assert result(docs_of([]), 13) == []
+
+
+def test_shards_hold_whole_routes():
+    import pyarrow as pa
+
+    routes = [1, 1, 2, 3, 3, 3, 3, 4, 5, 5]
+    for step in (1, 3, 10):
+        parts = [routes[k : k + step] for k in range(0, 10, step)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(p), pa.array([b"x" * 9] * len(p))], ["route", "words"]) for p in parts]
+        for size in (1, 40, 1000):
+            substrings.SHARD_BYTES, before = size, substrings.SHARD_BYTES
+            try:
+                shards = [t.column("route").to_pylist() for t in substrings._shards(iter(batches))]
+            finally:
+                substrings.SHARD_BYTES = before
+            assert sum(shards, []) == routes
+            assert all(a[-1] != b[0] for a, b in zip(shards, shards[1:]))
