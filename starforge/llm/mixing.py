@@ -140,6 +140,8 @@ def mixed(
     for step in (0, 1):
         rest = rest.withColumn("_bin", _bin(step))
         sums = rest.groupBy(*levels, "_rest", "_bin").agg(F.sum(col("_n") * col("_c")).alias("_t"))
+        # stored, so that bins are summed over all tasks before those of a leaf meet in one
+        sums = stored(sums, "bins")
         upto = F.sum("_t").over(Window.partitionBy(*levels).orderBy("_bin"))
         ends = sums.withColumn("_upto", upto).where((col("_upto") > col("_rest")) & (col("_upto") - col("_t") <= col("_rest")))
         ends = ends.select(*levels, col("_bin").alias(f"_end{step}"), (col("_rest") - col("_upto") + col("_t")).alias("_left"))
