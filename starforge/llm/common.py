@@ -1,4 +1,4 @@
-"""Helpers of this subpackage: stored tables, bounded buckets, connected components."""
+"""Helpers of this subpackage: stored tables, bounded buckets, connected components, vectors."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge.session import scratch_path, ship_package
@@ -186,6 +186,40 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+# --------------------------------------------------------------------------- vectors
+
+
+LONG = np.iinfo(np.int64).max
+
+
+def complete(vector: Column) -> Column:
+    """Whether a vector has components, none null or non-finite."""
+    doubles = F.transform(vector, lambda x: x.cast("double"))
+    fine = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine & (F.size(vector) > 0), F.lit(False))
+
+
+def as_integers(vector: Column, scale: int) -> Column:
+    """``floor(scale * x)`` of each component; beyond the range of a long, the nearest long."""
+    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
+
+
+def matrix(lists: pa.ListArray, dim: int) -> np.ndarray:
+    """Lists of ``dim`` numbers as rows."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def largest(rows: np.ndarray) -> int:
+    """The largest absolute value, as an integer without bounds."""
+    return max(abs(int(rows.max())), abs(int(rows.min()))) if rows.size else 0
+
+
+def column_sums(rows: np.ndarray) -> np.ndarray:
+    """Exact sums of integer columns, as integers without bounds."""
+    kind = np.int64 if len(rows) * largest(rows) <= LONG else object
+    return rows.astype(kind).sum(axis=0).astype(object)
+
+
 # --------------------------------------------------------------------------- native helpers
 
 

@@ -185,3 +185,66 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = substrings.without_repeats(table(spark, sf_dir, "documents"), window=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import whitening
+
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), scale=256, most=4)[0]
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """The rounds one after the other; components and centroids have a row each."""
+
+    def assigned(c: str) -> str:
+        return f"""SELECT vec_id, arg_min(cluster, d * {k} + cluster) AS cluster, min(d) AS distance FROM (
+            SELECT v.vec_id, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS d
+            FROM parts v JOIN {c} c USING (i) GROUP BY v.vec_id, c.cluster) GROUP BY vec_id"""
+
+    steps = [
+        f"""good AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings WHERE len(embedding) = {dim}
+              AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0)""",
+        "parts AS MATERIALIZED (SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM good)",
+        f"""c0 AS MATERIALIZED (SELECT cluster, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM (
+            SELECT x, row_number() OVER (ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR))) - 1 AS cluster
+            FROM good QUALIFY cluster < {k}))""",
+    ]
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED ({assigned(f'c{r}')})")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+            SELECT o.cluster, o.i, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, o.x) AS x FROM c{r} o LEFT JOIN (
+                SELECT a.cluster, p.i, sum(p.x) AS s, count(*) AS n FROM a{r} a JOIN parts p USING (vec_id) GROUP BY a.cluster, p.i
+            ) m ON m.cluster = o.cluster AND m.i = o.i)""")
+    steps.append(f"last AS MATERIALIZED ({assigned(f'c{rounds}')})")
+    steps.append(f"""named AS (SELECT cluster, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+        FROM c{rounds} GROUP BY cluster)""")
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+           CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM last JOIN named USING (cluster)"""
+
+
+@query("op12_centroids", _clusters_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import centroids
+
+    assigned, found = centroids.clustered(table(spark, sf_dir, "embeddings"), dim=64)
+    return centroids.with_inertia(assigned, found)[
+        ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    ]
+
+
+EXACT_SQL = """
+    WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+    w AS (SELECT doc_id, x, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size FROM t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM w"""
+
+
+@query("op13_exact", EXACT_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm import exact
+
+    return exact.duplicates(table(spark, sf_dir, "documents"), keep="largest")
