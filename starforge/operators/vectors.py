@@ -1,4 +1,4 @@
-"""Embeddings and similarity search, exact and approximate."""
+"""Embeddings, the index of a text collection, and the context built from what a search finds."""
 
 from __future__ import annotations
 
@@ -9,22 +9,15 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
 
 from starforge.operators import loads
-from starforge.operators.relational import union_all
-from starforge.operators.windows import top_n_per
+from starforge.operators.search import unit_rows
 
 col = F.col
 
-# Query vectors held by the driver and by each task at a time.
-QUERY_BLOCK = 4096
-
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -47,12 +40,6 @@ def hashing_encoder(dim: int = 384) -> Encoder:
     return encode
 
 
-def unit_rows(m: np.ndarray) -> np.ndarray:
-    """Rows scaled to length 1; rows of zeros stay."""
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norms == 0, 1, norms)
-
-
 def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = hashing_encoder, out: str = "embedding") -> DataFrame:
     """Add unit vectors of ``text``; the encoder is built once per task."""
 
@@ -79,214 +66,6 @@ def update_index(index: DataFrame, fresh: DataFrame, key: str = "chunk_id") -> D
     return loads.upsert(index, fresh, [key], [c for c in fresh.columns if c != key], [key])
 
 
-# --------------------------------------------------------------------------- search
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    rows = [np.asarray(v, dtype=np.float64) for v in vectors]
-    if len({len(r) for r in rows}) > 1:
-        raise ValueError("query vectors differ in length")
-    return np.stack(rows)
-
-
-def _list_matrix(lists: pa.ListArray, dim: int | None = None) -> np.ndarray:
-    """Rows of equally long lists, without a copy per row; another length is an error."""
-    if not len(lists):
-        return np.zeros((0, dim or 0))
-    lengths = np.diff(lists.offsets.to_numpy())
-    dim = int(lengths[0]) if dim is None else dim
-    if (lengths != dim).any():
-        raise ValueError(f"a vector has {int(lengths[lengths != dim][0])} numbers, not {dim}")
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), dim)
-
-
-def _query_blocks(queries: DataFrame, query_id: str, vector: str, size: int) -> Iterator[pd.DataFrame]:
-    """Queries in blocks; the driver holds one block."""
-    block = []
-    for row in queries.select(query_id, vector).toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == size:
-            yield pd.DataFrame(block, columns=["query_id", "vector"])
-            block = []
-    if block:
-        yield pd.DataFrame(block, columns=["query_id", "vector"])
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best scores, ties by lower id."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= kth)
-    else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
-
-
-def _search_block(
-    index: DataFrame, block: pd.DataFrame, id_: str, vector: str, k: int, cells: list | None, query_type: DataType
-) -> DataFrame:
-    """Best ``k`` of one block of queries; ``cells`` has the cells that each query probes.
-
-    A task multiplies its batches with the block and keeps the best ``k`` per query, so what
-    is shuffled grows with the number of tasks, not with the index.
-    """
-    sc = index.sparkSession.sparkContext
-    probing: dict[int, list[int]] = {}
-    for q, probed in enumerate(cells or []):
-        for c in probed:
-            probing.setdefault(c, []).append(q)
-    shared = sc.broadcast((block["query_id"].tolist(), unit_rows(_matrix(block["vector"])), probing))
-    celled = cells is not None
-    id_type = index.schema[id_].dataType
-    arrow_types = to_arrow_type(query_type), to_arrow_type(id_type)
-    columns = [id_, vector] + (["cell"] if cells is not None else [])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries, probing = shared.value
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = _list_matrix(batch.column(vector), queries.shape[1])
-            ids = batch.column(id_).to_numpy(zero_copy_only=False)
-            lengths = np.linalg.norm(rows, axis=1)
-            usable = lengths > 0  # a vector of zeros has no direction
-            ids, rows = ids[usable], rows[usable] / lengths[usable, None]
-            if celled:  # the rows of a cell meet only the queries that probe it
-                cell = batch.column("cell").to_numpy(zero_copy_only=False)[usable]
-                parts = [(probing.get(int(c), []), np.flatnonzero(cell == c)) for c in np.unique(cell)]
-            else:
-                parts = [(range(len(names)), np.arange(len(ids)))]
-            for asked, at in parts:
-                for start in range(0, len(asked), 256):
-                    some = list(asked[start : start + 256])
-                    for q, found_s in zip(some, queries[some] @ rows[at].T):
-                        found_i = ids[at]
-                        if best[q] is not None:
-                            found_s = np.concatenate([best[q][0], found_s])
-                            found_i = np.concatenate([best[q][1], found_i])
-                        top = _best(found_s, found_i, k)
-                        best[q] = (found_s[top], found_i[top])
-        for name, hit in zip(names, best):
-            if hit is not None and len(hit[0]):
-                names_column = pa.array([name] * len(hit[0]), arrow_types[0])
-                yield pa.RecordBatch.from_arrays(
-                    [names_column, pa.array(hit[1], arrow_types[1]), pa.array(hit[0])], ["query_id", id_, "score"]
-                )
-
-    schema = f"query_id {query_type.simpleString()}, {id_} {id_type.simpleString()}, score double"
-    partial = index.where(col(vector).isNotNull()).select(*columns).mapInArrow(search, schema)
-    return top_n_per(partial, ["query_id"], ["-score", id_], k, "rank")
-
-
-def top_k_cosine(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = 5,
-    id_: str = "vec_id",
-    query_id: str = "query_id",
-    vector: str = "embedding",
-    where: Column | None = None,
-    block: int = QUERY_BLOCK,
-) -> DataFrame:
-    """(query_id, id, score, rank): the ``k`` vectors with the highest cosine per query.
-
-    ``where`` restricts the index before ranking.
-    """
-    candidates = index if where is None else index.where(where)
-    query_type = queries.schema[query_id].dataType
-    parts = [
-        _search_block(candidates, b, id_, vector, k, None, query_type)
-        for b in _query_blocks(queries, query_id, vector, block)
-    ]
-    if not parts:
-        id_type = index.schema[id_].dataType.simpleString()
-        return index.sparkSession.createDataFrame(
-            [], f"query_id {query_type.simpleString()}, {id_} {id_type}, score double, rank long"
-        )
-    return union_all(parts)
-
-
-# --------------------------------------------------------------------------- approximate search
-
-
-def _planes(dim: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((dim, bits))
-
-
-def _cells(m: np.ndarray, bits: int, seed: int) -> np.ndarray:
-    if not len(m):
-        return np.zeros(0, dtype=np.int64)
-    return ((m @ _planes(m.shape[1], bits, seed)) > 0) @ (1 << np.arange(bits))
-
-
-def with_cell(index: DataFrame, vector: str = "embedding", bits: int = 6, seed: int = 7) -> DataFrame:
-    """Add the cell of a vector: on which side of ``bits`` random planes it lies.
-
-    An index that is stored partitioned by ``cell`` is read in the probed cells only.  A crowded
-    cell is scanned by many tasks, as cells are never grouped into one.
-    """
-
-    @F.arrow_udf("int")
-    def cell(batch: pa.Array) -> pa.Array:
-        return pa.array(_cells(_list_matrix(batch), bits, seed).astype(np.int32))
-
-    return index.where(col(vector).isNotNull()).withColumn("cell", cell(col(vector)))
-
-
-def _probes(query: np.ndarray, sizes: dict[int, int], wanted: int, bits: int, seed: int) -> list[int]:
-    """Cells nearest to a query, until they hold ``wanted`` vectors or all.
-
-    A cell is as far as the planes between it and the query, by their squared distances.
-    """
-    margins = query @ _planes(len(query), bits, seed)
-    cells = np.array(sorted(sizes))
-    differs = (cells[:, None] >> np.arange(bits)) & 1 != (margins > 0)
-    out, held = [], 0
-    for c in cells[np.argsort((differs * margins**2).sum(axis=1), kind="stable")].tolist():
-        if held >= wanted:
-            break
-        out.append(c)
-        held += sizes[c]
-    return out
-
-
-def approx_top_k(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = 5,
-    id_: str = "vec_id",
-    query_id: str = "query_id",
-    vector: str = "embedding",
-    bits: int = 6,
-    share: float = 0.85,
-    seed: int = 7,
-    block: int = QUERY_BLOCK,
-) -> DataFrame:
-    """As :func:`top_k_cosine` over an index with cells, looking only into the cells near a query.
-
-    Every query probes its nearest cells until they hold ``share`` of the index and ``k``
-    vectors.  Scores are exact.  ``share`` trades work for recall: vectors in clear groups need
-    little of the index, vectors without structure, as in the supplied tables, most of it.
-    """
-    query_type = queries.schema[query_id].dataType
-    # one row per cell, at most two to the power of ``bits``
-    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}
-    wanted = max(k, int(np.ceil(share * sum(sizes.values()))))
-    parts = []
-    for b in _query_blocks(queries, query_id, vector, block):
-        probed = [_probes(q, sizes, wanted, bits, seed) for q in unit_rows(_matrix(b["vector"]))]
-        near = index.where(col("cell").isin(sorted({c for p in probed for c in p})))
-        parts.append(_search_block(near, b, id_, vector, k, probed, query_type))
-    return union_all(parts) if parts else top_k_cosine(index, queries, k, id_, query_id, vector)
-
-
-def recall(found: DataFrame, truth: DataFrame, id_: str = "vec_id") -> DataFrame:
-    """Share of the true hits that were found."""
-    hits = truth.join(found.select("query_id", id_, F.lit(1).alias("_hit")), ["query_id", id_], "left")
-    return hits.agg((F.count("_hit") / F.count(F.lit(1))).alias("recall"))
-
-
 # --------------------------------------------------------------------------- context for an answer
 
 

@@ -1,8 +1,11 @@
+import re
+
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from starforge.operators import search
 from starforge.operators import vectors as v
 
 col = F.col
@@ -43,51 +46,108 @@ def test_golden_rows(spark):
         [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.6, 0.8]), (4, [0.0, 0.0])], "vec_id long, embedding array<float>"
     )
     queries = spark.createDataFrame([(1, [2.0, 0.0])], "query_id int, embedding array<float>")
-    hits = v.top_k_cosine(index, queries, 2).withColumn("score", F.round("score", 6))
+    hits = search.top_k_cosine(index, queries, 2).withColumn("score", F.round("score", 6))
     assert rows(hits, "query_id", "vec_id", "score", "rank") == [(1, 1, 1.0, 1), (1, 3, 0.6, 2)]
-    assert v.top_k_cosine(index, queries, 9).count() == 3  # zeros have no direction
-    assert v.top_k_cosine(index, queries.limit(0), 2).count() == 0
-
-
-def test_exact_search_in_small_query_blocks(index, queries):
-    found = v.top_k_cosine(index, queries, 5, block=4)
+    assert search.top_k_cosine(index, queries, 9).count() == 3  # zeros have no direction
+    assert search.top_k_cosine(index, queries.limit(0), 2).count() == 0
+
+
+@pytest.mark.parametrize("broadcast, block, piece", [(1 << 20, 1 << 20, 1 << 20), (0, 1000, 3000), (1 << 20, 300, 1), (0, 1, 1 << 20)])
+def test_exact_search_in_blocks(index, queries, monkeypatch, broadcast, block, piece):
+    """Queries that are broadcast, and queries dealt to slices of the index; blocks down to one vector."""
+    monkeypatch.setattr(search, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(search, "BLOCK_BYTES", block)
+    monkeypatch.setattr(search, "SLICE_BYTES", piece)
+    monkeypatch.setattr(search, "HELD", 20 if block == 300 else 1 << 21)
+    found = search.top_k_cosine(index, queries.repartition(3), 5)
     assert sorted(map(tuple, found.select("query_id", "vec_id", "rank").collect()), key=str) == brute_force(index, queries, 5)
 
 
 def test_filter_comes_before_ranking(index, queries):
-    found = v.top_k_cosine(index, queries, 5, where=col("label") == 2)
+    found = search.top_k_cosine(index, queries, 5, where=col("label") == 2)
     want = brute_force(index, queries, 5, lambda r: r["label"] == 2)
     assert sorted(map(tuple, found.select("query_id", "vec_id", "rank").collect()), key=str) == want
 
 
 def test_ties_go_to_the_lower_id(spark, index):
     same = index.where("vec_id = 3").select(F.lit(1).alias("query_id"), "embedding")
-    assert [r["vec_id"] for r in v.top_k_cosine(index, same, 2).orderBy("rank").collect()] == [3, 7]
-
-
-def test_approximate_search(index, queries):
-    celled = v.with_cell(index, bits=4)
-    exact = v.top_k_cosine(index, queries, 5)
-    full = v.approx_top_k(celled, queries, 5, bits=4, share=1.0)
-    assert rows(full, "query_id", "vec_id", "rank") == rows(exact, "query_id", "vec_id", "rank")
-    near = v.approx_top_k(celled, queries, 5, bits=4, share=0.6)
-    assert near.count() == 45
-    assert v.recall(near, exact).first()[0] >= 0.7
-
-
-def test_a_query_reads_its_nearest_cells_until_they_hold_enough():
-    sizes = {c: 10 for c in range(16)}
-    query = np.random.default_rng(4).standard_normal(8)
-    own = int(v._cells(query[None], 4, 7)[0])
-    for wanted, cells in ((1, 1), (10, 1), (11, 2), (55, 6), (1000, 16)):
-        probes = v._probes(query, sizes, wanted, 4, 7)
-        assert len(probes) == cells and probes[0] == own
+    assert [r["vec_id"] for r in search.top_k_cosine(index, same, 2).orderBy("rank").collect()] == [3, 7]
+
+
+def test_queries_never_visit_the_driver(index, queries, monkeypatch):
+    """Beyond the broadcast, the plan is a join of blocks by cell and slice, and no path collects vectors."""
+    monkeypatch.setattr(search, "BROADCAST_BYTES", 0)
+    plan = search.top_k_cosine(index, queries, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "slice" in plan and "broadcast" not in plan.lower()
+
+
+def grouped(n, dim, groups, seed):
+    """Vectors in groups, the shape of embeddings of real text."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((groups, dim))
+    return (centres[rng.integers(0, groups, n)] + 0.6 * rng.standard_normal((n, dim))).astype(np.float32)
+
+
+@pytest.mark.parametrize("shape", ["groups", "noise"])
+def test_trained_cells(spark, tmp_path, shape):
+    """Nine of ten true hits while every query meets less than 30 % of the vectors; in clear groups, 5 %."""
+    data = grouped(2000, 32, 40, 5) if shape == "groups" else np.random.default_rng(6).standard_normal((2000, 32)).astype(np.float32)
+    index = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, embedding array<float>").repartition(5)
+    queries = index.where("vec_id % 40 = 0").select((col("vec_id") + 0.5).alias("query_id"), "embedding")
+    cells = search.CellIndex.build(index, str(tmp_path / "cells"))
+    share = 0.05 if shape == "groups" else 0.28
+    probes = cells.probes(queries, 5, share)
+    found, exact = cells.search(probes, 5), search.top_k_cosine(index, queries, 5)
+    assert search.recall(found, exact).first()[0] >= 0.9
+    read = [r["share"] for r in cells.compared(probes).collect()]
+    assert len(read) == 50 and max(read) < 0.3 and max(read) <= share
+    both = found.join(exact, ["query_id", "vec_id"]).select((found["score"] - exact["score"]).alias("d"))
+    assert all(abs(r["d"]) < 1e-12 for r in both.collect())
+
+
+def test_a_search_opens_the_probed_cells_only(spark, tmp_path):
+    data = grouped(600, 16, 12, 7)
+    index = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, embedding array<float>")
+    cells = search.CellIndex.build(index, str(tmp_path / "cells"), cells=30)
+    one = index.where("vec_id = 0").select(F.lit(1).alias("query_id"), "embedding")
+    probes = cells.probes(one, 5, 0.1)
+    probed = probes.first()["cells"]
+    read = cells.vectors().where(col("cell").isin(probed))
+    scan = cells.search(probes, 5)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell", scan)
+    assert cells.compared(probes).first()["compared"] == read.count() <= 60
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 20])
+def test_all_cells_give_the_exact_hits(spark, index, queries, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(search, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(search, "SLICE_BYTES", 2000)
+    cells = search.CellIndex.build(index, str(tmp_path / "cells"), cells=9)
+    full = cells.top_k(queries, 5, share=1.0)
+    assert rows(full, "query_id", "vec_id", "rank") == rows(search.top_k_cosine(index, queries, 5), "query_id", "vec_id", "rank")
+
+
+def test_cells_of_equal_zero_and_null_vectors(spark, tmp_path):
+    """A third of the rows share a vector; zeros and nulls are no hits; a query gets k vectors at least."""
+    same = [(i, [1.0, 0.0]) for i in range(40)] + [(100 + i, [float(i), 1.0]) for i in range(60)] + [(300, [0.0, 0.0]), (301, None)]
+    index = spark.createDataFrame(same, "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id int, embedding array<float>")
+    cells = search.CellIndex.build(index, str(tmp_path / "cells"))
+    hits = cells.top_k(queries, 45, share=0.01).orderBy("rank").collect()
+    assert [r["vec_id"] for r in hits[:40]] == list(range(40)) and len(hits) == 45 and {r["query_id"] for r in hits} == {1}
+
+
+def test_cells_of_an_empty_index(spark, tmp_path):
+    index = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<float>")
+    assert search.CellIndex.build(index, str(tmp_path / "cells")).top_k(queries, 3).collect() == []
+    assert search.top_k_cosine(index, queries, 3).collect() == []
 
 
 def test_vectors_of_another_length_are_an_error(spark, queries):
     odd = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "vec_id long, embedding array<float>")
     with pytest.raises(Exception, match="numbers, not"):
-        v.top_k_cosine(odd, queries, 2).collect()
+        search.top_k_cosine(odd, queries, 2).collect()
 
 
 def test_embedding_and_index_update(spark):
@@ -130,8 +190,8 @@ def test_questions_find_their_ticket(spark):
     index = v.build_index(chunks)
     asked = spark.createDataFrame([(1, "wrong invoice amount"), (2, "password for log in")], "query_id int, text string")
     queries = v.embed(asked, "text")
-    hits = v.with_text(v.top_k_cosine(index, queries, 1, id_="chunk_id"), chunks)
+    hits = v.with_text(search.top_k_cosine(index, queries, 1, id_="chunk_id"), chunks)
     assert rows(hits, "query_id", "ticket_id") == [(1, "2"), (2, "1")]
     assert "Resolution: Reset the password." in dict(v.build_context(queries, hits).collect())[2]
-    billing = v.top_k_cosine(index, queries, 3, id_="chunk_id", where=col("category") == "billing")
+    billing = search.top_k_cosine(index, queries, 3, id_="chunk_id", where=col("category") == "billing")
     assert rows(billing, "query_id", "chunk_id") == [(1, "2-0"), (2, "2-0")]
