@@ -6,21 +6,20 @@ Nothing is written here; :mod:`starforge.sources.tables` stores the result.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.operators.quality import gate
-from starforge.operators.relational import anti, keys_of, semi
+from starforge.operators.relational import all_known, anti, keys_of, semi
 from starforge.operators.windows import top_n_per
 
 col = F.col
 
 
 def _any_null(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    return ~all_known(keys)
 
 
 def _one_per_key(src: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +58,8 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update: list[str]
     last, keyless = _one_per_key(src, keys, _reversed(order))
     names = [c for c in src.columns if c in target.columns and c not in keys]
     side = last.select(*keys, *[col(c).alias(f"_s_{c}") for c in names], F.lit(True).alias("_s"))
-    joined = target.withColumn("_t", F.lit(True)).join(side, keys, "full")
+    # rows of the target without a full key match nothing, and would all meet in one task of the join
+    joined = target.where(~_any_null(keys)).withColumn("_t", F.lit(True)).join(side, keys, "full")
 
     def merged(name: str) -> Column:
         if name in keys or name not in names:
@@ -67,7 +67,7 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update: list[str]
         from_source = col("_s") if name in update else col("_t").isNull()
         return F.when(from_source, col(f"_s_{name}")).otherwise(col(name)).alias(name)
 
-    result = joined.select(*[merged(c) for c in target.columns])
+    result = joined.select(*[merged(c) for c in target.columns]).unionByName(target.where(_any_null(keys)))
     return result.unionByName(keyless.select(*[c for c in src.columns if c in target.columns]), allowMissingColumns=True)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -164,6 +165,11 @@ def trip_log(
     )
 
 
+def all_known(columns: list[str] | tuple[str, ...]) -> Column:
+    """Whether none of the columns is NULL."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def keys_of(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Distinct keys for a semi or anti join.
 

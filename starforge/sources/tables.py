@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from starforge.functions.columns import now
 from starforge.operators import loads
-from starforge.operators.relational import keys_of, union_all
+from starforge.operators.relational import all_known, keys_of, union_all
 from starforge.session import cut_lineage
+from starforge.sources import keyfiles
 
 
 def _fs(spark: SparkSession, path: str):
@@ -27,6 +28,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, in order; nothing if it is not there."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -73,21 +80,34 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 # --------------------------------------------------------------------------- versioned tables
 
 
+# Changes that lie beside a version before it is compacted.
+MOST_CHANGES = 16
+
+
 @dataclass
 class Table:
-    """A parquet table that is replaced as a whole by writing the next version beside it.
+    """A parquet table in versions, with batches and changes beside the current one.
 
     A version is a folder ``v<n>``, an appended batch a folder ``v<n>.<id>`` next to it.  Either
     counts once its write job has committed, or, if it was staged together with others, once
     their common marker exists; so readers see a write as a whole or not at all.  With
     ``partition_by``, rows are balanced over tasks before they are written, so that a large
     partition gets several files and a small one does not get many.
+
+    A change is a batch that stands in place of the rows with its keys in the folders that were
+    there when it was made; ``changes/<folder>`` has these keys.  Changes are folded in when the
+    table is read, and :meth:`compact` writes the next version without them.  With ``keys``, the
+    key ranges and Bloom filters of a folder's files are stored in ``keys/<folder>``, and look-ups
+    by these keys open only files that may hold one.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType | None = None
     partition_by: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()
+    # an upsert of more than this share of the table writes the next version
+    rewrite_share: float = 0.25
 
     def _counts(self, folder: str) -> bool:
         if exists(self.spark, f"{folder}/_SUCCESS"):
@@ -97,12 +117,8 @@ class Table:
 
     def _folders(self) -> dict[int, list[str]]:
         """Folders that count, by version, the version itself first."""
-        fs, p = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return {}
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p))
         found: dict[int, list[str]] = {}
-        for name in names:
+        for name in names(self.spark, self.path):
             number = name[1:].split(".")[0]
             if name.startswith("v") and number.isdigit() and self._counts(f"{self.path}/{name}"):
                 found.setdefault(int(number), []).append(name)
@@ -118,15 +134,57 @@ class Table:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], self.schema)
         latest = versions[max(versions)]
-        return union_all([self._read_folder(folder) for folder in latest])
+        return self._folded({folder: self._read_folder(folder) for folder in latest})
+
+    def _changes(self, folders: list[str]) -> list[tuple[str, dict]]:
+        """(folder, what it stands in place of) of the changes among ``folders``, the earliest first."""
+        known = ((f, f"{self.path}/changes/{f}.json") for f in folders)
+        found = [(f, json.loads(read_text(self.spark, about))) for f, about in known if exists(self.spark, about)]
+        return sorted(found, key=lambda change: len(change[1]["over"]))
+
+    def _folded(self, parts: dict[str, DataFrame]) -> DataFrame:
+        """The rows of all folders but those that a later change stands in place of."""
+        changes = self._changes(list(parts))
+        if not changes:
+            return union_all(list(parts.values()))
+        # the number of the last change that a folder is not below; only later ones concern it
+        above = {f: max([n for n, (_, c) in enumerate(changes, 1) if f not in c["over"]], default=0) for f in parts}
+        rows = union_all([part.withColumn("_after", F.lit(above[f])) for f, part in parts.items()])
+        for keys in sorted({tuple(c["keys"]) for _, c in changes}):
+            numbered = [(n, f) for n, (f, c) in enumerate(changes, 1) if tuple(c["keys"]) == keys]
+            replaced = [self.spark.read.parquet(f"{self.path}/changes/{f}").withColumn("_change", F.lit(n)) for n, f in numbered]
+            last = union_all(replaced).groupBy(*keys).agg(F.max("_change").alias("_change"))
+            complete = all_known(keys)
+            kept = rows.where(complete).join(last, list(keys), "left").where(F.col("_change").isNull() | (F.col("_change") <= F.col("_after")))
+            rows = kept.select(*rows.columns).unionByName(rows.where(~complete))
+        return rows.drop("_after")
+
+    def _holding(self, wanted: DataFrame, keys: list[str]) -> DataFrame:
+        """The table's rows that may have a key of ``wanted``; files that cannot are not opened."""
+        versions = self._folders()
+        latest = versions[max(versions)]
+        if tuple(keys) != tuple(self.keys):
+            return self.read()
+        wanted = cut_lineage(wanted.where(all_known(keys)).distinct())
+        described = {f: f"{self.path}/keys/{f}" for f in latest if exists(self.spark, f"{self.path}/keys/{f}/bits/_SUCCESS")}
+        files = keyfiles.candidates(self.spark, list(described.values()), wanted, keys)
+        return self._folded({f: self._read_folder(f, only=keyfiles.below(files, f) if f in described else None) for f in latest})
+
+    def _read_folder(self, folder: str, schema: T.StructType | None = None, only: list[str] | None = None) -> DataFrame:
+        """A partitioned folder is read with the schema it was written with, as it may hold no file.
 
-    def _read_folder(self, folder: str, schema: T.StructType | None = None) -> DataFrame:
-        """A partitioned folder is read with the schema it was written with, as it may hold no file."""
+        ``only`` names the files to read; by default all.
+        """
         known = f"{self.path}/_schema-{folder}"
         if schema is None and exists(self.spark, known):
             schema = T.StructType.fromJson(json.loads(read_text(self.spark, known)))
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self.path}/{folder}")
+        place = f"{self.path}/{folder}"
+        whole = (self.spark.read if schema is None else self.spark.read.schema(schema)).parquet(place)
+        if only is None:
+            return whole
+        if not only:
+            return self.spark.createDataFrame([], whole.schema)
+        return self.spark.read.schema(whole.schema).option("basePath", place).parquet(*[f"{place}/{file}" for file in only])
 
     def _write(self, df: DataFrame, folder: str, committed: bool = True) -> None:
         if self.partition_by:
@@ -136,6 +194,9 @@ class Table:
         if not committed:
             writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         writer.parquet(f"{self.path}/{folder}")
+        if self.keys and committed:
+            stored = self._read_folder(folder, df.schema)
+            keyfiles.write(stored, list(self.keys), f"{self.path}/{folder}", f"{self.path}/keys/{folder}")
 
     def overwrite(self, df: DataFrame) -> None:
         """Write the next version; ``df`` may read the current one."""
@@ -174,20 +235,43 @@ class Table:
         """Drop all but the newest versions, with what was appended to the others."""
         for folders in list(self._folders().values())[:-keep]:
             for folder in folders:
-                remove(self.spark, f"{self.path}/{folder}")
+                for place in (folder, f"keys/{folder}", f"changes/{folder}", f"changes/{folder}.json"):
+                    remove(self.spark, f"{self.path}/{place}")
 
     def insert_new(self, src: DataFrame, keys: list[str], order: list[str]) -> None:
         """Append the rows with new keys to the current version; nothing is rewritten.
 
         A repeat after a crash adds only what is still missing.
         """
-        target = self.read() if self.exists() else src.limit(0)
+        target = self._holding(src.select(*keys), keys) if self.exists() else src.limit(0)
         fresh = loads.new_rows(target, src, keys, order)
         known = [c for c in src.columns if c in target.columns]
         self.append(target.limit(0).unionByName(fresh.select(*known), allowMissingColumns=True))
 
     def upsert(self, src: DataFrame, keys: list[str], update: list[str], order: list[str]) -> None:
-        self.overwrite(loads.upsert(self.read(), src, keys, update, order))
+        """Insert or update as :func:`starforge.operators.loads.upsert`, by one writer at a time.
+
+        What is written is a change: the rows with the keys of ``src`` as they are now.  A change
+        that is large beside the table, or one too many, makes the next version instead.
+        """
+        if not self.exists():
+            return self.overwrite(loads.upsert(self.read(), src, keys, update, order))
+        folders = self._folders()
+        over = folders[max(folders)]
+        wanted = cut_lineage(src.select(*keys).where(all_known(keys)).distinct())
+        stored = union_all([self._read_folder(f).select(*keys) for f in over]).count()
+        if wanted.count() > self.rewrite_share * stored or len(self._changes(over)) >= MOST_CHANGES:
+            return self.overwrite(loads.upsert(self.read(), src, keys, update, order))
+        touched = self._holding(wanted, keys).join(wanted, keys, "left_semi")
+        folder = self._next_batch()
+        # nothing of this counts until the rows have been written
+        wanted.write.parquet(f"{self.path}/changes/{folder}")
+        write_text(self.spark, f"{self.path}/changes/{folder}.json", json.dumps({"over": over, "keys": keys}))
+        self._write(loads.upsert(touched, src, keys, update, order), folder)
+
+    def compact(self) -> None:
+        """Write the next version with all batches and changes folded in."""
+        self.overwrite(self.read())
 
     def full_refresh(self, src: DataFrame) -> None:
         self.overwrite(src)

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from starforge.operators import loads
 from starforge.session import cut_lineage
+from starforge.sources import keyfiles
 from starforge.sources.readers import CSV_OPTIONS
-from starforge.sources.tables import exists
+from starforge.sources.tables import exists, names
 
 # Fixed value: daily files are named rides_YYYYMMDD.csv.
 DAILY_FILE = r"rides_(\d{8})\.csv"
@@ -51,23 +52,26 @@ class DailyLoad:
     def __init__(self, spark: SparkSession, source: str, root: str, schema: T.StructType, key: str, pattern: str = DAILY_FILE):
         self.spark, self.source, self.schema, self.key, self.pattern = spark, source, schema, key, pattern
         self.rows_dir, self.ledger_dir, self.checkpoint = f"{root}/rows", f"{root}/ledger", f"{root}/checkpoint"
-        self.rejected_dir = f"{root}/rejected"
+        self.rejected_dir, self.keys_dir = f"{root}/rejected", f"{root}/keys"
 
-    def _before(self, path: str, epoch: int) -> DataFrame | None:
-        """What earlier micro-batches stored."""
-        if not exists(self.spark, path):
-            return None
-        stored = self.spark.read.option("basePath", path).parquet(path)
-        return stored.where(F.col("epoch") < epoch)
+    def _before(self, wanted: DataFrame, epoch: int) -> DataFrame:
+        """What earlier micro-batches stored in files that may hold a key of ``wanted``."""
+        known = [f for f in names(self.spark, self.rows_dir) if f.startswith("epoch=") and int(f[6:]) < epoch]
+        described = [f for f in known if exists(self.spark, f"{self.keys_dir}/{f}/bits/_SUCCESS")]
+        files = keyfiles.candidates(self.spark, [f"{self.keys_dir}/{f}" for f in described], wanted, [self.key])
+        paths = [f"{self.rows_dir}/{f}" for f in [*files, *(f for f in known if f not in described)]]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def _load(self, batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         keep = [f.name for f in self.schema.fields]
-        before = self._before(self.rows_dir, epoch)
-        target = batch.select(*keep).limit(0) if before is None else before.select(*keep)
         good = batch.where(F.col(_BAD).isNull()).drop(_BAD)
-        fresh = loads.new_rows(target, good, [self.key], ["filename", *keep])
-        fresh.select(*keep).write.mode("overwrite").parquet(f"{self.rows_dir}/epoch={epoch}")
+        wanted = cut_lineage(good.select(self.key).where(F.col(self.key).isNotNull()).distinct())
+        fresh = loads.new_rows(self._before(wanted, epoch), good, [self.key], ["filename", *keep])
+        folder = f"{self.rows_dir}/epoch={epoch}"
+        fresh.select(*keep).write.mode("overwrite").parquet(folder)
+        stored = self.spark.read.schema(self.schema).parquet(folder)
+        keyfiles.write(stored, [self.key], folder, f"{self.keys_dir}/epoch={epoch}")
         bad = batch.where(F.col(_BAD).isNotNull()).select("filename", F.col(_BAD).alias("record"))
         bad.write.mode("overwrite").parquet(f"{self.rejected_dir}/epoch={epoch}")
         entries = batch.groupBy("filename").agg(

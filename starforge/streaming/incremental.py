@@ -48,7 +48,7 @@ def run_load(
     if full_reload and truncate:
         table.overwrite(loads.insert_new(target.limit(0), src, keys, order))
     elif full_reload:
-        table.overwrite(loads.load_fact(target, src, keys, order, full_reload=True))
+        table.upsert(src, keys, [c for c in src.columns if c not in keys], order)
     else:
         newer = newer_than(src, ts, high_water(target, ts), lookback)
         table.insert_new(newer, keys, order)
