@@ -8,7 +8,7 @@ and of the last one the prefix that fills its budget.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +17,6 @@ from starforge.llm.common import stored
 
 col = F.col
 
-# A leaf is a row of the plan, which passes the driver.
-MOST_LEAVES = 1_000_000
 # Bits of the order that one counting step resolves.
 BITS = 12
 
@@ -34,61 +32,51 @@ class Mix:
     seed: int = 17
 
 
-@dataclass
-class _Node:
-    weight: float = 1.0
-    tokens: int = 0
-    capacity: float = 0.0
-    children: dict = field(default_factory=dict)
-
-
-def divided(budget: float, children: list[tuple[float, float]]) -> list[float]:
-    """``budget`` among (weight, capacity) children: by weight, what one cannot take by the others' weights."""
-    out = [0.0] * len(children)
-    open_ = [i for i, (w, c) in enumerate(children) if w > 0 and c > 0]
-    while open_ and budget > 0:
-        unit = budget / sum(children[i][0] for i in open_)
-        full = [i for i in open_ if children[i][1] <= children[i][0] * unit]
-        for i in full or open_:
-            out[i] = children[i][1] if full else children[i][0] * unit
-        if not full:
-            break
-        budget -= sum(children[i][1] for i in full)
-        open_ = [i for i in open_ if i not in set(full)]
-    return out
-
-
-def budgets(tokens: dict[tuple, int], mix: Mix) -> dict[tuple, int]:
-    """Tokens to take of each leaf (a tuple of level values), given the tokens it has."""
-    if not tokens:
-        return {}
-    root = _Node()
-    for leaf, n in tokens.items():
-        node = root
-        for level, value in enumerate(leaf):
-            node = node.children.setdefault(value, _Node(mix.weights[level].get(value, 1.0)))
-        node.tokens = n
-
-    def measure(node: _Node) -> float:
-        if node.children:
-            node.capacity = sum(measure(c) for c in node.children.values() if c.weight > 0)
-        else:
-            node.capacity = node.tokens * mix.epochs
-        return node.capacity
-
-    out: dict[tuple, int] = {}
-
-    def hand_down(node: _Node, path: tuple, budget: float) -> None:
-        if not node.children:
-            out[path] = int(budget + 1e-6)
-            return
-        children = node.children.items()
-        for (value, child), part in zip(children, divided(budget, [(c.weight, c.capacity) for _, c in children])):
-            hand_down(child, (*path, value), part)
-
-    measure(root)
-    hand_down(root, (), min(mix.share * sum(tokens.values()), root.capacity))
-    return out
+def divided(children: DataFrame, parent: list[str]) -> DataFrame:
+    """``budget`` of each ``parent`` among its children (weight, capacity), added as ``part``.
+
+    A part goes by weight; what a child cannot take goes to the others by theirs.  In order of
+    capacity per weight a child is full if it cannot take its part of what those before it leave;
+    the first that is not full tells what a unit of weight gets.
+    """
+    takes = (col("weight") > 0) & (col("capacity") > 0)
+    weight, capacity = F.when(takes, col("weight")).otherwise(0.0), F.when(takes, col("capacity")).otherwise(0.0)
+    fill = F.when(takes, col("capacity") / col("weight"))
+    order = Window.partitionBy(*parent).orderBy(F.asc_nulls_first("_fill"), *[c for c in children.columns if c.startswith("_l")])
+    left = col("budget") - F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rows = children.withColumns({"_w": weight, "_c": capacity, "_fill": fill})
+    unit = F.try_divide(left, F.sum("_w").over(order.rowsBetween(0, Window.unboundedFollowing)))
+    rows = rows.withColumn("_unit", unit)
+    full = ~takes | (col("_fill") <= col("_unit"))
+    # further ones seem to get less, as the capacity of those before them counts as taken
+    rows = rows.withColumn("_unit", F.max(F.when(~full, col("_unit"))).over(Window.partitionBy(*parent)))
+    part = F.least(col("_c"), col("_w") * F.when(col("_unit") <= 0, 0.0).otherwise(col("_unit")))  # no unit: all are full
+    return rows.withColumn("part", part).drop("_w", "_c", "_fill", "_unit")
+
+
+def budgets(leaves: DataFrame, levels: list[str], mix: Mix) -> DataFrame:
+    """(levels, n, budget): whole tokens to take of each leaf, given the tokens ``n`` it has.
+
+    Leaves and the nodes above them are tables, so a tree may have any number of them; the rows
+    that meet in one task are the children of one node.
+    """
+    # a root above the first level
+    depth = len(levels)
+    nodes = [None] * depth + [leaves.select("*", (col("n") * float(mix.epochs)).alias("capacity"))]
+    for at in range(depth - 1, -1, -1):
+        weights = [x for pair in mix.weights[at].items() for x in (F.lit(pair[0]), F.lit(float(pair[1])))]
+        weight = F.coalesce(F.create_map(*weights)[col(levels[at])], F.lit(1.0)) if weights else F.lit(1.0)
+        nodes[at + 1] = nodes[at + 1].withColumn("weight", weight)
+        usable = F.sum(F.when(col("weight") > 0, col("capacity")).otherwise(0.0))
+        nodes[at] = nodes[at + 1].groupBy(F.lit(0).alias("_root"), *levels[:at]).agg(usable.alias("capacity"), F.sum("n").alias("n"))
+    budget = F.least(F.lit(mix.share) * col("n"), col("capacity"))
+    above = nodes[0].select("_root", budget.alias("budget"))
+    for at in range(1, depth + 1):
+        parent = ["_root", *levels[: at - 1]]
+        children = nodes[at].withColumn("_root", F.lit(0)).join(above, parent)
+        above = divided(children, parent).select("_root", *levels[:at], "n", col("part").alias("budget"))
+        above = above if at == depth else above.drop("n")
+    return above.select(*levels, "n", F.floor(col("budget") + 1e-6).alias("budget"))
 
 
 def _place(seed: int) -> Column:
@@ -115,7 +103,8 @@ def mixed(
     Every row is returned; one that is not taken has zero.  A null level value is a leaf value of
     its own.  Rows that are the same in id, text and levels share one place in the order and take
     equal parts, rounded down, if the prefix ends among them.  Null and empty texts have no
-    tokens and nothing is taken of them.  An empty table gives an empty result.
+    tokens and nothing is taken of them.  A text of any length is read once, where it lies.  An
+    empty table gives an empty result.
 
     The order is a hash, so the end of a prefix is found by counting tokens per leaf and leading
     bits of the hash, twice, before the few rows that are left are summed one by one.
@@ -126,14 +115,12 @@ def mixed(
     row = F.xxhash64(id_, text, *mix.levels)
     rows = docs.select(F.struct(*kept).alias("kept"), *named, tokens_of(col(text)).alias("_n"), row.alias("_row"))
     own = stored(rows.groupBy(*levels, "_row", "_n").agg(F.count(F.lit(1)).alias("_c")), "token-counts")
-    totals = own.groupBy(*levels).agg(F.sum(col("_n") * col("_c")).alias("n")).limit(MOST_LEAVES + 1).collect()
-    if len(totals) > MOST_LEAVES:
-        raise ValueError(f"more than {MOST_LEAVES} leaves")
-    tokens = {tuple(r[:-1]): r["n"] for r in totals}
-    plan = budgets(tokens, mix)
-    fields = [(*leaf, *divmod(n, max(1, tokens[leaf]))) for leaf, n in plan.items()]
-    schema = ", ".join([f"{c} string" for c in levels] + ["_epochs bigint", "_rest bigint"])
-    bounds = docs.sparkSession.createDataFrame(fields, schema)
+    leaves = stored(own.groupBy(*levels).agg(F.sum(col("_n") * col("_c")).alias("n")), "leaves")
+    plan = budgets(leaves, levels, mix)
+    some = F.greatest(col("n"), F.lit(1))
+    # a row per leaf, stored so that Spark knows how small it is, and moves no rows to it
+    bounds = plan.select(*levels, F.floor(col("budget") / some).alias("_epochs"), (col("budget") % some).alias("_rest"))
+    bounds = stored(bounds, "bounds")
 
     # where the prefix of each leaf ends: bin, bin within it, and what lies before
     rest = own.where(col("_n") > 0).join(bounds, levels).withColumn("_place", _place(mix.seed))
@@ -154,7 +141,6 @@ def mixed(
     last = rest.withColumn("_left", F.greatest(F.lit(0), F.least(col("_n") * col("_c"), col("_rest") - before)))
     last = stored(last.select(*levels, "_row", F.floor(col("_left") / col("_c")).alias("_part")), "last-rows")
 
-    # a row per leaf, stored so that Spark knows how small it is and moves no text to it
     bounds = stored(bounds, "bounds")
     out = rows.join(bounds, levels).withColumn("_place", _place(mix.seed))
     out = out.join(last, [*levels, "_row"], "left")
