@@ -9,29 +9,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.operators.movies import MOVIE_SCHEMA
+from starforge.sources.records import csv_records
+
+col = F.col
 
 CSV_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header; an empty field is NULL; a field that does not fit its type is an error."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """CSV with a header; an empty field is NULL; a field that does not fit its type is an error.
+
+    With ``line_breaks``, quoted fields may span lines; a large file is read by many tasks all the same.
+    """
+    if line_breaks:
+        return _parsed(csv_records(spark, path), schema, {**CSV_OPTIONS, "mode": "FAILFAST"}).select("row.*")
     return spark.read.schema(schema).options(**CSV_OPTIONS, mode="FAILFAST").csv(path)
 
 
+def _parsed(records: DataFrame, schema: T.StructType, options: dict) -> DataFrame:
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}
+    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    return records.select("file", F.from_csv("record", ", ".join(names), {**options, "multiLine": "true", "header": "false"}).alias("row"))
+
+
 def land_csv(
     spark: SparkSession, path: str, columns: list[str], load_ts: Column, optional: tuple[str, ...] = ("response",)
 ) -> DataFrame:
     """CSV as text, with the file it came from and the load time.
 
     Empty fields stay empty text, except in ``optional`` columns, where they become NULL.
-    Fields may span lines, so a file is read as a whole by one task: land many files, not one.
+    Fields may span lines; a large file is read by many tasks all the same.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    options = {**CSV_OPTIONS, "nullValue": "\u0000", "multiLine": True}
-    raw = spark.read.schema(schema).options(**options).csv(path)
+    raw = _parsed(csv_records(spark, path), schema, {**CSV_OPTIONS, "nullValue": "\u0000"})
+    field = {c: col("row")[c] for c in columns}
     return raw.select(
-        *[(F.nullif(c, F.lit("")) if c in optional else F.coalesce(c, F.lit(""))).alias(c) for c in columns],
-        F.col("_metadata.file_name").alias("source"),
+        *[(F.nullif(f, F.lit("")) if c in optional else F.coalesce(f, F.lit(""))).alias(c) for c, f in field.items()],
+        F.substring_index(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), "/", -1).alias("source"),
         load_ts.alias("ingested_at"),
     )
 
