@@ -282,10 +282,6 @@ def top_k(df: DataFrame, order: list[str], k: int) -> DataFrame:
     return df.orderBy(*order_by(*order)).limit(k)
 
 
-def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
-    return df.orderBy(*order_by(*order)).offset(offset).limit(limit)
-
-
 # --------------------------------------------------------------------------- subqueries
 
 

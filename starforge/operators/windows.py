@@ -52,8 +52,21 @@ def _add_carry(placed: DataFrame, carry: DataFrame, group: list[str]) -> DataFra
     return join_null_safe(placed, F.broadcast(carry), [_TASK, *group], "left")
 
 
+def _names(order: list[str]) -> list[str]:
+    return [o.lstrip("-") for o in order]
+
+
+def _is_wide(df: DataFrame, keys: list[str]) -> bool:
+    """Rows that are little more than their keys are placed themselves; of others only the keys are."""
+    return len(df.columns) > len(keys) + 2
+
+
 def number_rows(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """1, 2, 3 .. per group.  ``order`` must end in a unique column."""
+    keys = [*group, *_names(order)]
+    if _is_wide(df, keys):
+        numbers = number_rows(df.select(*keys), group, order, name)
+        return join_null_safe(df, numbers.select(keys[-1], name), [keys[-1]])
     placed = spread(df, group, order)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS)
     numbered = placed.withColumn("_local", F.row_number().over(local).cast("bigint"))
@@ -67,6 +80,8 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str) ->
 
 def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """A gap-free key ``start + 1, start + 2, ..`` in the given order, which must be unique."""
+    if _is_wide(df, _names(order)):
+        return join_null_safe(df, dense_key(df.select(*_names(order)), order, name, start), _names(order))
     placed = spread(df, [], order)
     in_task = placed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
     # one row per task
@@ -100,15 +115,16 @@ def ranked(df: DataFrame, order: str, rank: str = "rnk", dense: str = "dense_rnk
     return join_null_safe(df, ranks, [column])
 
 
-def running(df: DataFrame, group: list[str], order: list[str], aggregates: dict[str, Column]) -> DataFrame:
+def running(df: DataFrame, group: list[str], order: list[str], aggregates: dict[str, Column], of: DataFrame | None = None) -> DataFrame:
     """Running aggregates per group; rows with equal order values share the total.
 
-    ``aggregates`` maps names to ``F.sum`` or ``F.count`` columns.
+    ``aggregates`` maps names to ``F.sum`` or ``F.count`` columns.  They are taken of the rows of
+    ``of`` if given: what ``df`` was made from, where that has fewer joins behind it.
     """
-    columns = [o.lstrip("-") for o in order]
+    columns = _names(order)
     parts = {f"_p{i}": s for i, s in enumerate(aggregates.values())}
     # one row per distinct order value
-    steps = df.groupBy(*group, *columns).agg(*[s.alias(n) for n, s in parts.items()])
+    steps = (df if of is None else of).groupBy(*group, *columns).agg(*[s.alias(n) for n, s in parts.items()])
     placed = spread(steps, group, order)
     local = Window.partitionBy(_TASK, *group).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     totals = placed.select(*placed.columns, *[F.sum(p).over(local).alias(f"{p}_l") for p in parts])
@@ -176,6 +192,44 @@ def share_of_group(df: DataFrame, group: list[str], value: str, share: str = "sh
     return joined.withColumn(share, F.try_divide(F.col(value) * 100, F.col("group_total")))
 
 
+# The end of a page up to which its rows are taken by one task.
+SHALLOW = 10_000
+
+
+def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset + 1`` to ``offset + limit`` in the given order.
+
+    A shallow page is the best ``offset + limit`` rows of every task, merged by one.  For a deep one
+    the order's values are counted and placed over all tasks; the counts of the tasks tell which of
+    them hold the page, and only rows with its values leave where they are.  Rows with equal order
+    values follow a hash of all their columns, so that pages neither overlap nor miss a row;
+    columns of maps cannot be hashed.
+    """
+    end = offset + limit
+    if end <= SHALLOW:
+        return df.orderBy(*order_by(*order)).offset(offset).limit(limit)
+    keyed = df.withColumn("_tie", F.xxhash64(*df.columns))
+    keys = [*_names(order), "_tie"]
+    placed = spread(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), [], [*order, "_tie"])
+    # one row per task
+    earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    tasks = placed.groupBy(_TASK).agg(F.sum("_n").alias("_rows"))
+    tasks = tasks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    tasks = tasks.where((F.col("_before") < end) & (F.col("_before") + F.col("_rows") > offset)).drop("_rows")
+    upto = Window.partitionBy(_TASK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    values = placed.join(F.broadcast(tasks), _TASK).withColumn("_first", F.col("_before") + F.sum("_n").over(upto) - F.col("_n"))
+    values = values.where((F.col("_first") < end) & (F.col("_first") + F.col("_n") > offset)).select(*keys, "_first")
+    # rows that are equal in every column are counted, not moved
+    rows = join_null_safe(keyed, values, keys).groupBy(*df.columns, "_tie", "_first").agg(F.count(F.lit(1)).alias("_n"))
+    # different rows with one hash, if there are any
+    same = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(1), *df.columns), *df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_first") + F.coalesce(F.sum("_n").over(same), F.lit(0))
+    copies = F.least(start + F.col("_n"), F.lit(end)) - F.greatest(start, F.lit(offset))
+    rows = rows.withColumn("_copies", copies).where(F.col("_copies") > 0)
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return rows.orderBy(*order_by(*order, "_tie")).select(*df.columns)
+
+
 def top_n_per(df: DataFrame, group: list[str], order: list[str], n: int = 1, name: str = "_nr") -> DataFrame:
     """First ``n`` rows per group.
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from starforge.operators import relational as r
+from starforge.operators import windows as w
 from starforge.plans.registry import query
 
 col = F.col
@@ -31,7 +32,18 @@ def srt_2(t):
 
 @query("srt_3", "SELECT driver_id, name FROM drivers ORDER BY driver_id LIMIT 4 OFFSET 2")
 def srt_3(t):
-    return r.page(t.drivers.select("driver_id", "name"), ["driver_id"], 2, 4)
+    return w.page(t.drivers.select("driver_id", "name"), ["driver_id"], 2, 4)
+
+
+@query(
+    "srt_3_deep",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+       ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 500 OFFSET 20000""",
+    bigints="l_linenumber",
+)
+def srt_3_deep(t):
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return w.page(lines, ["-l_quantity", "l_orderkey", "l_linenumber", "l_partkey"], 20_000, 500).drop("l_partkey")
 
 
 @query("set_1", "SELECT pickup_city AS city FROM rides UNION SELECT dropoff_city FROM rides")

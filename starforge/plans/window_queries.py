@@ -83,8 +83,9 @@ def win_5(t):
 def win_6(t):
     trips = t.trips.select("trip_id", "status", "requested_at", "base_fare")
     shared = w.share_of_group(trips, ["status"], "base_fare")
-    both = w.running(shared, ["status"], ["requested_at"], {"seen": F.count("trip_id"), "earned": F.sum("base_fare")})
-    both = w.running_avg(both, ["status"], ["requested_at"], "base_fare", "running_avg")
+    totals = {"seen": F.count("trip_id"), "earned": F.sum("base_fare"), "fares": F.count("base_fare")}
+    both = w.running(shared, ["status"], ["requested_at"], totals, of=trips)
+    both = both.withColumn("running_avg", F.try_divide(col("earned").cast("double"), col("fares").cast("double")))
     return both.select(
         "trip_id", "status", "group_total", "group_rows", F.round(col("share").cast("double"), 4).alias("share"),
         "seen", "earned", F.round(col("group_avg").cast("double") + 1e-7, 4).alias("group_avg"),

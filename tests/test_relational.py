@@ -4,6 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starforge.operators import relational as r
+from starforge.operators import windows
 
 col = F.col
 
@@ -82,7 +83,7 @@ def test_sort_orders_nulls_like_the_source_database(spark):
     df = spark.createDataFrame([(1,), (None,), (2,)], "x int")
     assert [x[0] for x in df.orderBy(*r.order_by("x")).collect()] == [1, 2, None]
     assert [x[0] for x in df.orderBy(*r.order_by("-x")).collect()] == [None, 2, 1]
-    assert [x[0] for x in r.page(df, ["x"], 1, 2).collect()] == [2, None]
+    assert [x[0] for x in windows.page(df, ["x"], 1, 2).collect()] == [2, None]
 
 
 def test_above_average_and_group_max(spark):

@@ -120,3 +120,27 @@ def test_share_and_first_per(skewed):
 def test_top_n_is_cut_before_the_shuffle(skewed):
     plan = w.top_n_per(skewed, ["g"], ["o", "id"], 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_deep_pages_cover_every_row_once(spark, monkeypatch):
+    """Ties, a value that a third of the rows share, and rows repeated as a whole."""
+    monkeypatch.setattr(w, "SHALLOW", 0)
+    data = [(7 if i % 3 == 0 else i % 11, None if i % 17 == 0 else i % 5, i if i % 4 else 0) for i in range(600)]
+    df = spark.createDataFrame(data, "a int, b int, c int").repartition(5)
+    pages = [[tuple(r) for r in w.page(df, ["-a", "b"], offset, 97).collect()] for offset in range(0, 600, 97)]
+    flat = [r for p in pages for r in p]
+    key = lambda r: (-r[0], r[1] is None, r[1] or 0)
+    assert [key(r) for r in flat] == sorted(map(key, data))
+    none_last = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(flat, key=none_last) == sorted(data, key=none_last)
+    assert w.page(df, ["a"], 600, 5).collect() == [] and len(w.page(df, ["a"], 598, 50).collect()) == 2
+
+
+def test_wide_rows_are_numbered_by_their_keys(spark):
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("g"), F.lit("x").alias("p"), F.lit("y").alias("q"), F.lit("z").alias("r"), F.lit(1).alias("s"))
+    df = df.unionByName(spark.createDataFrame([(None, 0, "x", "y", "z", 1)], "id long, g long, p string, q string, r string, s int"))
+    got = w.number_rows(df, ["g"], ["-id"], "n")
+    assert got.columns == [*df.columns, "n"] and got.where("id is null").first()["n"] == 1
+    assert rows(got.where("id is not null and g = 1"), "id", "n") == sorted(((i, (300 - i + 1) // 3) for i in range(1, 300, 3)), key=lambda t: tuple((False, str(v)) for v in t))
+    keyed = w.dense_key(df, ["id"], "k", start=10)
+    assert {r["k"] for r in keyed.collect()} == set(range(11, 312)) and keyed.where("k != id + 11").count() == 0
