@@ -17,8 +17,8 @@ from starforge.llm.common import stored
 
 col = F.col
 
-# Bits of the order that one counting step resolves.
-BITS = 12
+# Counting steps, and bits of the order that one of them resolves; a leaf has so many bins in a step.
+STEPS, BITS = 3, 8
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,7 @@ def mixed(
     empty table gives an empty result.
 
     The order is a hash, so the end of a prefix is found by counting tokens per leaf and leading
-    bits of the hash, twice, before the few rows that are left are summed one by one.
+    bits of the hash, in ``STEPS`` steps, before the few rows that are left are summed one by one.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "epochs", "tokens_taken")]
     levels = [f"_l{n}" for n in range(len(mix.levels))]
@@ -124,7 +124,7 @@ def mixed(
 
     # where the prefix of each leaf ends: bin, bin within it, and what lies before
     rest = own.where(col("_n") > 0).join(bounds, levels).withColumn("_place", _place(mix.seed))
-    for step in (0, 1):
+    for step in range(STEPS):
         rest = rest.withColumn("_bin", _bin(step))
         sums = rest.groupBy(*levels, "_rest", "_bin").agg(F.sum(col("_n") * col("_c")).alias("_t"))
         # stored, so that bins are summed over all tasks before those of a leaf meet in one
@@ -144,13 +144,10 @@ def mixed(
     bounds = stored(bounds, "bounds")
     out = rows.join(bounds, levels).withColumn("_place", _place(mix.seed))
     out = out.join(last, [*levels, "_row"], "left")
-    first, second = _bin(0), _bin(1)
-    of_last = (
-        F.when((col("_rest") <= 0) | (first > col("_end0")), 0)
-        .when(first < col("_end0"), col("_n"))
-        .when(second > col("_end1"), 0)
-        .when(second < col("_end1"), col("_n"))
-        .otherwise(F.coalesce("_part", F.lit(0)))
-    )
+    of_last = F.coalesce("_part", F.lit(0))
+    for step in reversed(range(STEPS)):
+        end = col(f"_end{step}")
+        of_last = F.when(_bin(step) > end, 0).when(_bin(step) < end, col("_n")).otherwise(of_last)
+    of_last = F.when(col("_rest") <= 0, 0).otherwise(of_last)
     taken = (col("_epochs") * col("_n") + of_last).cast("bigint")
     return out.select("kept.*", col("_n").alias("n_tokens"), col("_epochs").alias("epochs"), taken.alias("tokens_taken"))
