@@ -228,6 +228,61 @@ def let(value, body):
     return F.transform(F.array(value), body)[0]
 
 
+# Elements that are added up at a time; sums of blocks of so many are kept for four levels.
+_BLOCK, _LEVELS = 64, 4
+
+
+def prefix_sums(values):
+    """For each element of an array of numbers the sum of those before it, in time linear in the array.
+
+    Sums of blocks, of blocks of blocks and so on are taken first; a prefix is less than a block's
+    worth of each.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def total(part):
+        return F.aggregate(part, zero, lambda s, x: s + x)
+
+    def blocks(level):
+        count = F.ceil(F.size(level) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda j: total(F.slice(level, j * _BLOCK + 1, _BLOCK)))
+
+    def of_levels(levels: list):
+        if len(levels) < _LEVELS:
+            return let(blocks(levels[-1]), lambda level: of_levels([*levels, level]))
+
+        def before(_, i):
+            out, width = F.lit(0).cast("bigint"), 1
+            for k, level in enumerate(levels):
+                at = F.floor(i / width).cast("int")
+                first = F.lit(0) if k == _LEVELS - 1 else F.floor(at / _BLOCK).cast("int") * _BLOCK
+                out = out + total(F.slice(level, first + 1, at - first))
+                width *= _BLOCK
+            return out
+
+        return F.transform(levels[0], before)
+
+    return let(F.transform(values, lambda v: v.cast("bigint")), lambda level: of_levels([level]))
+
+
+def ranks(values, queries, inclusive: bool):
+    """For each of the sorted ``queries`` the number of ``values`` below it, or up to it if ``inclusive``."""
+    value, query = (0, 1) if inclusive else (1, 0)
+    events = F.sort_array(
+        F.concat(
+            F.transform(values, lambda v: F.struct(v.cast("bigint").alias("p"), F.lit(value).alias("o"))),
+            F.transform(queries, lambda q: F.struct(q.cast("bigint").alias("p"), F.lit(query).alias("o"))),
+        )
+    )
+
+    def counted(e):
+        before = prefix_sums(F.transform(e, lambda x: (x["o"] == value).cast("int")))
+        both = F.zip_with(e, before, lambda x, n: F.struct(x["o"].alias("o"), n.alias("n")))
+        return F.transform(F.filter(both, lambda x: x["o"] == query), lambda x: x["n"])
+
+    return let(events, counted)
+
+
 def words_of(text):
     """Words between ASCII white space; none for a null or blank text."""
     bare = F.trim(text, F.lit(" \t\n\x0b\f\r"))

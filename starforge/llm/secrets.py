@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import let, stored
+from starforge.llm.common import let, prefix_sums, ranks, stored
 
 col = F.col
 
@@ -58,14 +58,14 @@ def _matches(text: Column, pattern: str, keep=None, group: int = 0) -> Column:
         )
 
         def placed(b: Column) -> Column:
-            def at(h: Column, i: Column) -> Column:
-                before = F.aggregate(F.slice(b, 1, i), F.lit(0), lambda s, x: s + x["gap"] + x["size"])
-                return let(
-                    before + b[i]["gap"],
-                    lambda start: F.struct(start.alias("start"), (start + b[i]["size"]).alias("stop"), values[i].alias("value")),
-                )
+            def with_ends(before: Column) -> Column:
+                def at(x: Column, i: Column) -> Column:
+                    start = (before[i] + x["gap"]).cast("int")
+                    return F.struct(start.alias("start"), (start + x["size"]).alias("stop"), values[i].alias("value"))
 
-            return F.transform(hits, at)
+                return F.transform(b, at)
+
+            return let(prefix_sums(F.transform(b, lambda x: x["gap"] + x["size"])), with_ends)
 
         out = let(both, placed)
         return out if keep is None else F.filter(out, keep)
@@ -179,11 +179,17 @@ def upper_tail(z: Column) -> Column:
 
 def candidates(text: Column, base: Column) -> Column:
     """Strings for the battery outside the base spans: start, stop, length class and score in steps."""
-    free = F.filter(
-        _matches(text, CANDIDATE), lambda m: ~F.exists(base, lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"]))
-    )
+
+    def free_of(found: Column) -> Column:
+        # spans that overlap a match: those that start before its end, less those that end before its start
+        started = ranks(F.transform(base, lambda b: b["start"]), F.transform(found, lambda m: m["stop"]), inclusive=False)
+        ended = ranks(F.transform(base, lambda b: b["stop"]), F.transform(found, lambda m: m["start"]), inclusive=True)
+        pairs = F.arrays_zip(started.alias("started"), ended.alias("ended"))
+        return let(pairs, lambda p: F.filter(found, lambda m, i: p[i]["started"] == p[i]["ended"]))
+
+    found = _matches(text, CANDIDATE)
     return F.transform(
-        free,
+        let(found, lambda m: F.when((F.size(base) > 0) & (F.size(m) > 0), free_of(m)).otherwise(m)),
         lambda m: F.struct(
             m["start"].alias("start"),
             m["stop"].alias("stop"),
@@ -250,15 +256,65 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
+# Code points of a text that are put together at a time.
+PIECE = 4096
+
+
+def merged(spans: Column) -> Column:
+    """(start, stop) of overlapping spans together, in order; spans that only touch stay apart."""
+    events = F.sort_array(
+        F.concat(
+            F.transform(spans, lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("opens"))),
+            F.transform(spans, lambda s: F.struct(s["stop"].alias("at"), F.lit(0).alias("opens"))),
+        )
+    )
+
+    def cover(e: Column) -> Column:
+        depth = prefix_sums(F.transform(e, lambda x: 2 * x["opens"] - 1))
+        both = F.zip_with(e, depth, lambda x, d: F.struct(x["at"].alias("at"), x["opens"].alias("opens"), d.alias("depth")))
+
+        def ends(x: Column) -> Column:
+            starts = F.filter(x, lambda y: (y["opens"] == 1) & (y["depth"] == 0))
+            stops = F.filter(x, lambda y: (y["opens"] == 0) & (y["depth"] == 1))
+            return F.zip_with(starts, stops, lambda a, b: F.struct(a["at"].alias("start"), b["at"].alias("stop")))
+
+        return let(both, ends)
+
+    return let(events, cover)
+
+
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span, overlapping ones together, replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with every span, overlapping ones together, replaced by ``mark``.
+
+    The text is cut into pieces of :data:`PIECE` code points, and each is put together from what lies
+    between its own spans, so a long text with many spans takes time linear in both.
+    """
+
+    def one(piece: Column, first: Column, own: Column) -> Column:
+        """A piece that starts at ``first``; a span has its mark where it starts."""
+
+        def step(done: Column, s: Column) -> Column:
+            start, stop = s["start"] - first, s["stop"] - first
+            gap = F.substring(piece, done["at"] + 1, F.greatest(start - done["at"], F.lit(0)))
+            out = F.concat(done["out"], gap, F.when(start >= 0, F.lit(mark)).otherwise(""))
+            return F.struct(F.greatest(done["at"], stop).alias("at"), out.alias("out"))
+
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(own, begin, step, lambda done: F.concat(done["out"], F.substring(piece, done["at"] + 1, PIECE)))
+
+    def joined(x: Column) -> Column:
+        pieces, spans = x["pieces"], x["spans"]
+        edges = F.transform(pieces, lambda p, j: j * PIECE)
+
+        def put(r: Column) -> Column:
+            def piece(p: Column, j: Column) -> Column:
+                return one(p, j * PIECE, F.slice(spans, r[j]["ended"].cast("int") + 1, (r[j]["started"] - r[j]["ended"]).cast("int")))
+
+            return F.array_join(F.transform(pieces, piece), "")
 
-    def step(done: Column, s: Column) -> Column:
-        fresh = s["start"] >= done["at"]
-        gap = F.substring(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        out = F.concat(done["out"], F.when(fresh, F.concat(gap, F.lit(mark))).otherwise(""))
-        return F.struct(F.greatest(done["at"], s["stop"]).alias("at"), out.alias("out"))
+        ended = ranks(F.transform(spans, lambda s: s["stop"]), edges, inclusive=True)
+        started = ranks(F.transform(spans, lambda s: s["start"]), F.transform(edges, lambda e: e + PIECE), inclusive=False)
+        return let(F.arrays_zip(ended.alias("ended"), started.alias("started")), put)
 
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    whole = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"), merged(spans).alias("spans"))
+    return F.when(F.size(spans) > 0, let(whole, joined)).otherwise(text)

@@ -97,6 +97,117 @@ def test_bound_is_that_of_benjamini_and_hochberg(spark):
     assert got == {5: min(passing)}
 
 
+def test_prefix_sums_and_ranks(spark):
+    from starforge.llm.common import prefix_sums, ranks
+
+    rng = random.Random(4)
+    data = [[rng.randrange(9) for _ in range(n)] for n in (0, 1, 63, 64, 65, 130, 4096, 4097, 9000)]
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(data)], "i int, d array<int>")
+    for r in rows.select("i", prefix_sums(F.col("d")).alias("p")).collect():
+        assert r["p"] == [sum(data[r["i"]][:k]) for k in range(len(data[r["i"]]))]
+    pairs = [(sorted(rng.choices(range(50), k=n)), sorted(rng.choices(range(50), k=m))) for n, m in ((0, 5), (5, 0), (40, 70), (300, 9))]
+    rows = spark.createDataFrame(pairs, "v array<int>, q array<int>")
+    out = rows.select("v", "q", ranks(F.col("v"), F.col("q"), False).alias("b"), ranks(F.col("v"), F.col("q"), True).alias("u")).collect()
+    for r in out:
+        assert r["b"] == [sum(v < q for v in r["v"]) for q in r["q"]] and r["u"] == [sum(v <= q for v in r["v"]) for q in r["q"]]
+
+
+def redact(text, found, mark):
+    out, at = "", 0
+    for start, _, stop in found:
+        if start >= at:
+            out += text[at:start] + mark
+        at = max(at, stop)
+    return out + text[at:]
+
+
+def test_redaction_by_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for n in (1, 10, 4095, 4096, 4097, 20_000):
+        text = "".join(rng.choices("aé🙂\n 日", k=n))
+        starts = [rng.randrange(n) for _ in range(min(n, 60))]
+        found = sorted({(a, rng.randrange(4), min(n, a + rng.choice([1, 3, 40, 5000]))) for a in starts})
+        rows.append((text, found))
+        rows.append((text, sorted({(a, 0, a + 1) for a in starts})))  # spans that touch
+    schema = "t string, s array<struct<start:int,kind:int,stop:int>>"
+    out = spark.createDataFrame(rows, schema).select("t", "s", secrets.redacted(F.col("t"), F.col("s"), "*").alias("o")).collect()
+    assert len(out) == 12
+    for r in out:
+        assert r["o"] == redact(r["t"], [tuple(s) for s in r["s"]], "*")
+
+
+def test_spans_beside_random_strings(docs_of, random_strings):
+    """Strings for the battery that overlap a base span, in whole or in part, are left out."""
+    rng = random.Random(5)
+    kinds = ["token=abcdef1", "f" * 30, "password: zzzzzz9", *random_strings, "token=" + random_strings[0]]
+    texts = [(i, " ".join(rng.choices(kinds, k=40)) + "é") for i in range(8)]
+    for r in secrets.scan(docs_of(texts), keep=["doc_id", "text"], text="text").collect():
+        known = base(r["text"])
+        assert [tuple(s) for s in r["base"]] == known
+        found = [(m.start(), m.end()) for m in re.finditer(secrets.CANDIDATE, r["text"])]
+        free = {m for m in found if not any(a < m[1] and m[0] < b for a, _, b in known)}
+        assert {(s["start"], s["stop"]) for s in r["spans"] if s["kind"] == 3} <= free
+
+
+@pytest.mark.parametrize("kind", ["scan", "redact"])
+def test_time_grows_with_the_matches(docs_of, kind):
+    """Four times the matches take about four times as long, not sixteen."""
+    import time
+
+    def seconds(n):
+        text = " ".join(f"token=abc{k:05d} {'g' * 22}" for k in range(n))
+        found = secrets.scan(docs_of([(1, text)]).withColumn("t", F.col("text")), text="t", keep=["doc_id", "text"])
+        start = time.perf_counter()
+        row = found.select(F.size("base").alias("n"), F.char_length(secrets.redacted(F.col("text"), F.col("spans"))).alias("r")).first()
+        if kind == "redact":
+            assert row["n"] == n
+        return time.perf_counter() - start
+
+    def scanned(n):
+        text = " ".join(f"token=abc{k:05d} {'g' * 22}" for k in range(n))
+        start = time.perf_counter()
+        secrets.scan(docs_of([(1, text)]), keep=["doc_id"])
+        return time.perf_counter() - start
+
+    run = seconds if kind == "redact" else scanned
+    run(100)
+    few, many = run(10_000), run(40_000)
+    assert many < 10 * few + 2
+
+
+def test_battery_by_a_twin(spark, random_strings):
+    """The three statistics and their scores, step by step in Python."""
+    from math import sqrt
+
+    def twin(token):
+        bare = token.rstrip("=")
+        size, change = next((e[2], e[3]) for e in secrets.ENCODINGS if re.search(e[1], bare))
+        codes, n = [ord(c) for c in bare], len(bare)
+        chi = sum(codes.count(c) ** 2 for c in set(codes)) * size / n - n
+        df, uneven = size - 1, n * max(size * secrets.COINCIDENCE - 1, 0.5)
+        scale, free = (df + 2 * uneven) / (df + uneven), (df + uneven) ** 2 / (df + 2 * uneven)
+        z_chi = (1 - 2 / (9 * free) - (max(chi, 0) / (scale * free)) ** (1 / 3)) / sqrt(2 / (9 * free))
+
+        def kind(c):
+            if size == 10:
+                return c >= "5"
+            return "0" if c.isdigit() else "A" if "A" <= c <= "Z" else "a" if "a" <= c <= "z" else "+"
+
+        changes = sum(kind(a) != kind(b) for a, b in zip(bare, bare[1:]))
+        half = change / 2
+        z_runs = (changes - (n - 1) * half) / sqrt((n - 1) * half * (1 - half))
+        mean = sum(codes) / n
+        spread = sum((c - mean) ** 2 for c in codes)
+        r = abs(sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread) if spread else 1.0
+        return (z_chi + z_runs + (secrets.CORRELATION - r) * sqrt(n - 1)) / sqrt(3)
+
+    some = [*random_strings, "9" * 25, "0123456789" * 3, "ABCDEFGH234567ABCDEFGH", "a_b-c/d+e" * 4, "camelCaseName" * 2]
+    table = spark.createDataFrame([(s,) for s in some], "s string")
+    for r in table.withColumn("z", secrets.battery(F.col("s"))).collect():
+        assert r["z"] == pytest.approx(twin(r["s"]), rel=1e-9)
+
+
 def test_redaction(spark):
     schema = "t string, s array<struct<start:int,kind:int,stop:int>>"
     rows = [("é0123456789", [(1, 0, 4), (2, 1, 3), (3, 2, 6), (8, 2, 10)]), ("plain", []), ("", []), ("abc", [(0, 0, 3)])]
