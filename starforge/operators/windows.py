@@ -196,48 +196,55 @@ def share_of_group(df: DataFrame, group: list[str], value: str, share: str = "sh
 SHALLOW = 10_000
 
 
-def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset + 1`` to ``offset + limit`` in the given order.
+def sliced(df: DataFrame, group: list[str], order: list[str], offset: int, limit: int, name: str) -> DataFrame:
+    """Rows ``offset + 1`` to ``offset + limit`` of every group, numbered by ``name``, however large groups are.
 
-    A shallow page is the best ``offset + limit`` rows of every task, merged by one.  For a deep one
-    the order's values are counted and placed over all tasks; the counts of the tasks tell which of
-    them hold the page, and only rows with its values leave where they are.  Rows with equal order
-    values follow a hash of all their columns, so that pages neither overlap nor miss a row;
-    columns of maps cannot be hashed.
+    Order values are counted and placed over all tasks, and their numbers found from the counts of
+    the tasks; only rows with a value of the slice leave where they are.  Rows with equal order
+    values follow a hash of all their columns, so that slices neither overlap nor miss a row, and
+    rows that are equal in every column are counted, not moved.  Maps cannot be hashed.
     """
     end = offset + limit
-    if end <= SHALLOW:
-        return df.orderBy(*order_by(*order)).offset(offset).limit(limit)
     keyed = df.withColumn("_tie", F.xxhash64(*df.columns))
-    keys = [*_names(order), "_tie"]
-    placed = spread(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), [], [*order, "_tie"])
-    # one row per task
-    earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
-    tasks = placed.groupBy(_TASK).agg(F.sum("_n").alias("_rows"))
-    tasks = tasks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    tasks = tasks.where((F.col("_before") < end) & (F.col("_before") + F.col("_rows") > offset)).drop("_rows")
-    upto = Window.partitionBy(_TASK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    values = placed.join(F.broadcast(tasks), _TASK).withColumn("_first", F.col("_before") + F.sum("_n").over(upto) - F.col("_n"))
+    keys = list(dict.fromkeys([*group, *_names(order), "_tie"]))
+    placed = spread(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), group, [*order, "_tie"])
+    local = Window.partitionBy(_TASK, *group).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    counted = placed.withColumn("_upto", F.sum("_n").over(local))
+    values = _add_carry(counted, carried(placed, group, _rows=F.sum("_n")), group)
+    values = values.withColumn("_first", F.coalesce("_rows", F.lit(0)) + F.col("_upto") - F.col("_n"))
     values = values.where((F.col("_first") < end) & (F.col("_first") + F.col("_n") > offset)).select(*keys, "_first")
-    # rows that are equal in every column are counted, not moved
     rows = join_null_safe(keyed, values, keys).groupBy(*df.columns, "_tie", "_first").agg(F.count(F.lit(1)).alias("_n"))
     # different rows with one hash, if there are any
     same = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(1), *df.columns), *df.columns).rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_first") + F.coalesce(F.sum("_n").over(same), F.lit(0))
-    copies = F.least(start + F.col("_n"), F.lit(end)) - F.greatest(start, F.lit(offset))
-    rows = rows.withColumn("_copies", copies).where(F.col("_copies") > 0)
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return rows.orderBy(*order_by(*order, "_tie")).select(*df.columns)
+    rows = rows.withColumn("_from", F.greatest(start, F.lit(offset))).withColumn("_to", F.least(start + F.col("_n"), F.lit(end)))
+    rows = rows.where(F.col("_to") > F.col("_from"))
+    return rows.withColumn(name, F.explode(F.sequence(F.col("_from") + 1, F.col("_to")))).select(*df.columns, name)
+
+
+def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset + 1`` to ``offset + limit`` in the given order.
+
+    A shallow page is the best ``offset + limit`` rows of every task, merged by one; a deep one is a slice.
+    """
+    if offset + limit <= SHALLOW:
+        return df.orderBy(*order_by(*order)).offset(offset).limit(limit)
+    return sliced(df, [], order, offset, limit, "_nr").orderBy("_nr").select(*df.columns)
 
 
 def top_n_per(df: DataFrame, group: list[str], order: list[str], n: int = 1, name: str = "_nr") -> DataFrame:
     """First ``n`` rows per group.
 
     Spark keeps only ``n`` rows of a group per task before the shuffle, for ``n`` up to its
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 unless set).
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 unless set).  Beyond it the n-th order
+    value of each group is found from counts, and no task gets a whole group.
     """
-    w = Window.partitionBy(*group).orderBy(*order_by(*order))
-    out = df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= n)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        out = sliced(df, group, order, 0, n, name)
+    else:
+        w = Window.partitionBy(*group).orderBy(*order_by(*order))
+        out = df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= n)
     return out.drop(name) if name == "_nr" else out
 
 

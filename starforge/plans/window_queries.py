@@ -105,6 +105,19 @@ def win_7(t):
     return w.top_n_per(trips, ["driver_id"], ["-base_fare", "trip_id"], 1)
 
 
+@query(
+    "win_7_large",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, nr FROM (
+           SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS nr
+           FROM lineitem) WHERE nr <= 5000""",
+    bigints="l_linenumber",
+)
+def win_7_large(t):
+    """More rows of a group than Spark limits before the shuffle."""
+    lines = t.raw("lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return w.top_n_per(lines, ["l_returnflag"], ["-l_extendedprice", "l_orderkey", "l_linenumber"], 5000, "nr").drop("l_extendedprice")
+
+
 @query(
     "win_8",
     """SELECT genre_name, title, imdb_rating FROM (

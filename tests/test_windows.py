@@ -144,3 +144,21 @@ def test_wide_rows_are_numbered_by_their_keys(spark):
     assert rows(got.where("id is not null and g = 1"), "id", "n") == sorted(((i, (300 - i + 1) // 3) for i in range(1, 300, 3)), key=lambda t: tuple((False, str(v)) for v in t))
     keyed = w.dense_key(df, ["id"], "k", start=10)
     assert {r["k"] for r in keyed.collect()} == set(range(11, 312)) and keyed.where("k != id + 11").count() == 0
+
+
+def test_many_rows_per_group(spark):
+    """Beyond Spark's group limit no plan has a window over whole groups; the rows are the same."""
+    rng = random.Random(12)
+    data = [(1 if i % 3 else rng.randrange(5), rng.choice([None, 1, 2, 3, rng.randrange(999)]), i) for i in range(900)]
+    df = spark.createDataFrame([*data, (None, 4, 1000), (None, 4, 1000)], "g int, o int, i int").repartition(4)
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    want = {n: rows(w.top_n_per(df, ["g"], ["-o", "i"], n, "nr")) for n in (5, 100, 2000)}
+    try:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1")
+        for n, expected in want.items():
+            found = w.top_n_per(df, ["g"], ["-o", "i"], n, "nr")
+            assert rows(found) == expected
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert all("_pos" in line or "_tie" in line or "_task" in line for line in plan.splitlines() if "windowspecdefinition" in line)
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
