@@ -139,8 +139,16 @@ def run_keys(df: DataFrame, checks: Sequence[KeyCheck]) -> DataFrame:
     Rows are unfolded to (check, value) and counted before the shuffle, so a value that fills
     the table is one row; each parent is read once for all checks that refer to it.
     """
-    used = _unfolded(df, {i: c.value for i, c in enumerate(checks)})
-    used = used.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    return judged_keys(counted_keys(df, checks), checks)
+
+
+def counted_keys(df: DataFrame, checks: Sequence[KeyCheck]) -> DataFrame:
+    """(i, value, n): how often each check's values occur.  Counts of parts of a table add up."""
+    return _unfolded(df, {i: c.value for i, c in enumerate(checks)}).groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def judged_keys(used: DataFrame, checks: Sequence[KeyCheck]) -> DataFrame:
+    """(check, passed, n_bad) from counted keys."""
     parents: dict[int, tuple[DataFrame, dict[int, Column]]] = {}
     for i, c in enumerate(checks):
         if c.parent is not None:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.operators import loads
+from starforge.operators.relational import keys_of
 from starforge.operators.search import unit_rows
 
 col = F.col
@@ -55,10 +56,43 @@ def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = hashin
     return df.withColumn(out, encode(col(text)))
 
 
+def _carried(chunks: DataFrame) -> list[str]:
+    return [c for c in ("chunk_id", "ticket_id", "category", "created_at") if c in chunks.columns]
+
+
+def with_content(chunks: DataFrame) -> DataFrame:
+    """Chunks with a hash of their text."""
+    return chunks.withColumn("content", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def build_index(chunks: DataFrame, make_encoder: Callable[[], Encoder] = hashing_encoder) -> DataFrame:
-    """Vectors of chunks, with what a search may filter on."""
-    carried = [c for c in ("chunk_id", "ticket_id", "category", "created_at") if c in chunks.columns]
-    return embed(chunks, "text", make_encoder).select(*carried, "embedding")
+    """Vectors of chunks, with what a search may filter on and a hash of the text."""
+    return embed(with_content(chunks), "text", make_encoder).select(*_carried(chunks), "content", "embedding")
+
+
+def index_changes(
+    index: DataFrame,
+    chunks: DataFrame,
+    parents: DataFrame,
+    make_encoder: Callable[[], Encoder] = hashing_encoder,
+    key: str = "chunk_id",
+    parent: str = "ticket_id",
+) -> tuple[DataFrame, DataFrame]:
+    """What an edit of ``parents`` changes in an index: rows to insert or replace, and keys to drop.
+
+    ``chunks`` are all chunks that the parents have now.  A chunk that kept its place and text is left
+    alone.  A text that the index has anywhere, as when an insertion moves the chunks after it, keeps
+    its vector; each other text is embedded once.
+    """
+    old = index.join(keys_of(parents, parent), parent, "left_semi")
+    now = with_content(chunks)
+    other = now.join(old.select(key, "content"), [key, "content"], "left_anti")
+    # one vector per text, found among the texts that are wanted only
+    have = index.join(keys_of(other, "content"), "content", "left_semi").groupBy("content").agg(F.first("embedding").alias("embedding"))
+    missing = other.groupBy("content").agg(F.min("text").alias("text")).join(have.select("content"), "content", "left_anti")
+    vectors = have.unionByName(embed(missing, "text", make_encoder).select("content", "embedding"))
+    changed = other.select(*_carried(chunks), "content").join(vectors, "content").select(*_carried(chunks), "content", "embedding")
+    return changed, old.select(key).join(now.select(key), key, "left_anti")
 
 
 def update_index(index: DataFrame, fresh: DataFrame, key: str = "chunk_id") -> DataFrame:

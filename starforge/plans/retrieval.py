@@ -42,6 +42,21 @@ def vec_1(t):
     return index.select("chunk_id", "doc_id", F.size("embedding").alias("dim"), F.round(norm, 4).alias("norm"))
 
 
+@query(
+    "vec_1_changes",
+    """SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 11 = 3 THEN 'gone' ELSE 'changed' END AS kind
+       FROM documents WHERE doc_id % 11 = 3 OR doc_id % 7 = 0""",
+)
+def vec_1_changes(t):
+    """Which chunks an edit of some documents, and the loss of others, changes in the index."""
+    docs = t.documents.select(col("doc_id").cast("string").alias("chunk_id"), col("doc_id").alias("ticket_id"), "text")
+    edited = F.when(col("ticket_id") % 7 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit(" edited"))).otherwise(col("text"))
+    now = docs.where(col("ticket_id") % 11 != 3).withColumn("text", edited)
+    changed, gone = v.index_changes(v.build_index(docs), now, docs.select("ticket_id"))
+    kinds = changed.select("chunk_id", F.lit("changed").alias("kind"))
+    return kinds.unionByName(gone.select("chunk_id", F.lit("gone").alias("kind")))
+
+
 @query("vec_2", f"WITH {_HITS.format(where='', k=5)} {_SHOW}")
 def vec_2(t):
     return _shown(search.top_k_cosine(t.vectors, centroids(t.vectors), 5))

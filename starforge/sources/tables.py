@@ -263,11 +263,22 @@ class Table:
         if wanted.count() > self.rewrite_share * stored or len(self._changes(over)) >= MOST_CHANGES:
             return self.overwrite(loads.upsert(self.read(), src, keys, update, order))
         touched = self._holding(wanted, keys).join(wanted, keys, "left_semi")
+        self._change(wanted, keys, loads.upsert(touched, src, keys, update, order), over)
+
+    def _change(self, wanted: DataFrame, keys: list[str], rows: DataFrame, over: list[str]) -> None:
+        """Store ``rows`` in place of those of the folders ``over`` with a key of ``wanted``."""
         folder = self._next_batch()
         # nothing of this counts until the rows have been written
         wanted.write.parquet(f"{self.path}/changes/{folder}")
         write_text(self.spark, f"{self.path}/changes/{folder}.json", json.dumps({"over": over, "keys": keys}))
-        self._write(loads.upsert(touched, src, keys, update, order), folder)
+        self._write(rows, folder)
+
+    def delete(self, gone: DataFrame, keys: list[str]) -> None:
+        """Drop the rows with a key of ``gone``, by one writer at a time: a change without rows."""
+        if self.exists():
+            folders = self._folders()
+            wanted = gone.select(*keys).where(all_known(keys)).distinct()
+            self._change(wanted, keys, self.read().limit(0), folders[max(folders)])
 
     def compact(self) -> None:
         """Write the next version with all batches and changes folded in."""

@@ -101,3 +101,38 @@ def test_a_suite_scans_a_table_twice(spark, tmp_path):
     assert all(passed for _, passed in rows(found, "check", "passed")) and found.count() == 6
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 3  # the child for rows and for keys, the parent once
+
+
+def test_states_of_partitions_add_up(spark, tmp_path):
+    import random
+
+    from starforge.sources.checkstate import CheckState
+
+    rng = random.Random(6)
+    parts = {
+        p: spark.createDataFrame(
+            [(rng.choice([None, *range(30)]), rng.choice(["a", "b", None]), rng.choice([None, 1, 2, 3]), rng.randrange(-2, 9)) for _ in range(n)],
+            "id int, code string, ref int, fare int",
+        )
+        for p, n in (("p1", 25), ("p2", 40), ("p/3", 0))
+    }
+    parents = CheckState(spark, str(tmp_path / "parents"), keys=[q.unique_key(["id"])])
+    parents.add(spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int"), "x")
+    keys = [q.unique_key(["id"]), q.unique_key(["id", "code"]), q.reference("ref", parents.values("unique_id"), "value")]
+    rules = [q.min_rows(100), q.non_negative("fare"), q.not_null("code")]
+    state = CheckState(spark, str(tmp_path / "state"), rules, keys)
+
+    def same(tables):
+        whole = q.union_all(tables)
+        want = rows(q.run_rules(whole, rules).unionByName(q.run_keys(whole, keys)), "check", "passed", "n_bad")
+        assert rows(state.results(), "check", "passed", "n_bad") == want
+
+    same([parts["p1"].limit(0)])  # nothing yet
+    state.add(parts["p2"], "p1")
+    state.add(parts["p1"], "p1")  # replaces
+    state.add(parts["p2"], "p2")
+    state.add(parts["p/3"], "p/3")
+    same(list(parts.values()))
+    state.drop("p2")
+    same([parts["p1"]])
+    assert rows(parents.results(), "check", "n_bad") == [("unique_id", 1)]

@@ -195,3 +195,36 @@ def test_questions_find_their_ticket(spark):
     assert "Resolution: Reset the password." in dict(v.build_context(queries, hits).collect())[2]
     billing = search.top_k_cosine(index, queries, 3, id_="chunk_id", where=col("category") == "billing")
     assert rows(billing, "query_id", "chunk_id") == [(1, "2-0"), (2, "2-0")]
+
+
+def test_an_edit_embeds_only_new_texts(spark):
+    from starforge.session import scratch_path
+    from starforge.sources.tables import Table
+
+    def picky():
+        """An encoder that must not see a text the index knows."""
+        encode = v.hashing_encoder(32)
+
+        def only_new(texts):
+            if any("old" in t for t in texts):
+                raise ValueError(texts)
+            return encode(texts)
+
+        return only_new
+
+    schema = "chunk_id string, ticket_id int, text string"
+    before = [("1-0", 1, "old a"), ("1-1", 1, "old b"), ("1-2", 1, "old c"), ("2-0", 2, "old a"), ("3-0", 3, "old d"), ("4-0", 4, None)]
+    # a chunk is inserted into ticket 1, ticket 3 loses its text, ticket 5 is new and ticket 2 is not part of the edit
+    edit = [("1-0", 1, "old a"), ("1-1", 1, "fresh x"), ("1-2", 1, "old b"), ("1-3", 1, "old c"), ("5-0", 5, "fresh x"), ("4-0", 4, "fresh y")]
+    table = Table(spark, scratch_path(spark, "index"), rewrite_share=9.0)
+    table.overwrite(v.build_index(spark.createDataFrame(before, schema), lambda: v.hashing_encoder(32)))
+    parents = spark.createDataFrame([(1,), (3,), (4,), (5,)], "ticket_id int")
+    changed, gone = v.index_changes(table.read(), spark.createDataFrame(edit, schema), parents, picky)
+    assert rows(changed, "chunk_id") == [("1-1",), ("1-2",), ("1-3",), ("4-0",), ("5-0",)] and rows(gone) == [("3-0",)]
+    changed = spark.createDataFrame(changed.collect(), changed.schema)
+    gone = spark.createDataFrame(gone.collect(), gone.schema)
+    table.upsert(changed, ["chunk_id"], ["ticket_id", "content", "embedding"], ["ticket_id"])
+    table.delete(gone, ["chunk_id"])
+    whole = [r for r in before if r[1] == 2] + edit
+    want = v.build_index(spark.createDataFrame(whole, schema), lambda: v.hashing_encoder(32))
+    assert rows(table.read().select(*want.columns)) == rows(want)
