@@ -6,8 +6,8 @@ deleted, and the ranks next to it are refreshed.  Many short words go through th
 side, as the rows of one array.  A scan per merge is quadratic, so longer words keep their ranks
 in a heap; the result is the same.
 
-Letters and their cases follow the Unicode tables of this Python and of ``regex``; of code points
-that were assigned only in the last two Unicode versions the tokenizer's own library may differ.
+Letters, digits and cases follow the Unicode tables of this Python, with what the tokenizer's own
+library knows beyond them stated below.
 """
 
 from __future__ import annotations
@@ -33,8 +33,61 @@ BITS = 20
 MASK = (1 << BITS) - 1
 # Symbols up to which a word counts as short.
 SHORT = 32
-# Words whose ids a worker remembers.
-REMEMBERED = 150_000
+# Bytes of words and ids that a worker remembers, and characters of texts that it looks at together.
+REMEMBERED, TOGETHER = 32 << 20, 1 << 20
+
+# Letters, digits and capitals (with their small letters) that were added to Unicode
+# after the tables of Python 3.13 and that the library knows; a pair is a range.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_DIGITS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+    (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+NEW_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB,
+    0xA7DC: 0x19B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
+# Marks that the library's composition does not know as such, as they are newer than its
+# tables, and one that it composes with nothing (the last pair).
+NEW_MARKS = [
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA),
+    (0x1715, 0x1715), (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC),
+    (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B),
+    (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x1193D, 0x1193E), (0x11943, 0x11943), (0x119E0, 0x119E0),
+    (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45),
+    (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136),
+    (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF), (0x11930, 0x11930),
+]
+_APART = re.compile(f"([{''.join(f'{chr(a)}-{chr(b)}' for a, b in NEW_MARKS)}])")
+
+
+def composed(text: str) -> str:
+    """The text in NFC, as the library has it: marks it does not know stay where they are."""
+    return "".join([unicodedata.normalize("NFC", part) for part in _APART.split(text)])
+
+
+class _StandIns(dict):
+    """For each code point one that patterns take for the same: a letter, a digit or another sign.
+
+    Unassigned code points are signs, whatever newer tables of patterns say.
+    """
+
+    def __missing__(self, code: int) -> str:
+        self[code] = out = "\xa7" if unicodedata.category(chr(code)) == "Cn" else chr(code)
+        return out
+
+
+STAND_INS = _StandIns()
+for _ranges, _sign in ((NEW_LETTERS, "z"), (NEW_DIGITS, "1")):
+    STAND_INS.update({c: _sign for first, last in _ranges for c in range(first, last + 1)})
 
 # What str.split() cuts at although the vocabulary's \s does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -68,11 +121,12 @@ class WordBpe:
         self.inner = np.array([vocab[c] for c in letters])
         self.last = np.array([vocab[c + end] for c in letters])
         split = next(p for p in parsed["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        self.pattern = regex.compile(split["pattern"]["Regex"])
         marks = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile(f"({'|'.join(marks)})") if marks else None
         self.known: dict[str, bytes] = {}
         self.pieces_known: dict[str, bytes] = {}
+        self.held = self.pieces_held = 0
 
     # -- merges
 
@@ -155,7 +209,8 @@ class WordBpe:
             return [plain]
         if plain[:-1].isalpha() and plain[-1] in ".,;:!?":
             return [plain[:-1], plain[-1]]
-        return self.pieces(plain)
+        alike = plain if plain.isascii() else plain.translate(STAND_INS)
+        return [plain[m.start() : m.end()] for m in self.pattern.finditer(alike)]
 
     def _learn_pieces(self, pieces: set[str]) -> None:
         """Encode pieces that are not known yet, short ones together."""
@@ -184,23 +239,44 @@ class WordBpe:
                 elif section:
                     if not section.isascii():
                         # letter by letter, so a sigma at a word's end is like any other
-                        section = unicodedata.normalize("NFC", section).replace("Σ", "σ")
-                    found += self._pieces(section.lower())
+                        section = composed(section).replace("Σ", "σ")
+                    small = section.lower()
+                    found += self._pieces(small if small.isascii() else small.translate(NEW_LOWER))
             cut[w] = found
         pieces = {p for found in cut.values() for p in found if isinstance(p, str)}
-        if len(self.pieces_known) + len(pieces) > REMEMBERED:
+        if self.pieces_held > REMEMBERED:
             self.pieces_known.clear()
-        self._learn_pieces(pieces.difference(self.pieces_known))
+            self.pieces_held = 0
+        fresh = pieces.difference(self.pieces_known)
+        self._learn_pieces(fresh)
+        self.pieces_held += sum(self._bytes(p, self.pieces_known[p]) for p in fresh)
         ids = self.pieces_known
         for w, found in cut.items():
             self.known[w] = b"".join([ids[p] if isinstance(p, str) else p for p in found])
+            self.held += self._bytes(w, self.known[w])
+
+    @staticmethod
+    def _bytes(word: str, ids: bytes) -> int:
+        """What an entry takes, about; a hundred bytes besides its text and ids."""
+        return 100 + 2 * len(word) + len(ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts, four bytes each."""
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                out += self._encode(some)
+                some, size = [], 0
+        return out + self._encode(some)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         words = [(_SPACE.split(t) if _NOT_SPACE.search(t) else t.split()) if t else [] for t in texts]
         missing = set().union(*words).difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
             missing = set().union(*words)
         self._learn(missing)
         ids = self.known.__getitem__
@@ -264,13 +340,19 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with the ids of every whole text.
 
     Null and empty texts have no ids; every row keeps its other columns, repeated rows too, and
-    an empty table stays empty.  A column named ``ids`` is replaced.  There is no shuffle.
+    an empty table stays empty.  Texts of any length are encoded whole, and a word of any length takes
+    time that grows with its length, but for a logarithm.  A column named ``ids`` is replaced.  There
+    is no shuffle.
     """
     return docs.withColumn(ids, encoder(docs.sparkSession, path)(col(text)))
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``rows`` with the text that their ids decode to."""
+    """``rows`` with the text that their ids decode to.
+
+    Null and empty lists of ids decode to an empty text, unknown ids to nothing; lists of any length
+    are decoded whole.  Repeated rows get equal texts, and an empty table stays empty.
+    """
     return rows.withColumn(text, decoder(rows.sparkSession, path)(col(ids)))
 
 

@@ -55,6 +55,39 @@ def test_random_characters(library, own):
         assert ids(own, text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point(library, own):
+    """Alone, between letters and before a digit, also where Unicode has grown since this Python."""
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x33500 or c % 61 == 0 or 0xE0000 <= c < 0xE0200)]
+    for start in range(0, len(codes), 2000):
+        text = " ".join(f"{chr(c)} a{chr(c)}b {chr(c)}1" for c in codes[start : start + 2000])
+        want = library.encode(text, add_special_tokens=False).ids
+        if ids(own, text) != want:
+            wrong = [hex(c) for c in codes[start : start + 2000] if ids(own, f"a{chr(c)}b") != library.encode(f"a{chr(c)}b", add_special_tokens=False).ids]
+            raise AssertionError(wrong[:20])
+
+
+def test_random_texts_of_all_of_unicode(library, own):
+    rng = random.Random(5)
+    news = [c for first, last in (*bpe.NEW_LETTERS, *bpe.NEW_DIGITS, *bpe.NEW_MARKS, (0x11935, 0x11938)) for c in range(first, last + 1)] + list(bpe.NEW_LOWER)
+    for _ in range(2000):
+        pool = [rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x33500), rng.choice(news), rng.choice(news), 0x20, 0x27, 0x73, 0x301, 0x327]
+        text = "".join(chr(rng.choice(pool)) for _ in range(30))
+        assert ids(own, text) == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_very_long_word_and_small_caches(library, own, monkeypatch):
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdeé", k=200_000)) + " tail"
+    assert ids(own, text) == library.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    monkeypatch.setattr(bpe, "TOGETHER", 50)
+    small = bpe.WordBpe(bpe.definition(PATH))
+    texts = [sentence(k, 12) for k in range(60)] + [None, ""]
+    got = [np.frombuffer(b, dtype=np.int32).tolist() for b in small.encode(texts)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert small.held < 5000 and small.pieces_held < 5000
+
+
 def test_rows_and_heap_agree(own):
     rng = random.Random(3)
     words = ["".join(rng.choices("etaoinshr", k=rng.randint(1, 32))).encode() for _ in range(400)]
