@@ -207,6 +207,9 @@ def top_k_cosine(
 # Cells at most, and vectors of the sample per cell: what the driver holds and what training reads.
 MOST_CELLS, PER_CELL = 16384, 64
 
+# Vectors that a folder of a stored index should hold at least, on average.
+PER_FOLDER = 10_000
+
 # Numbers in a product of vectors and centroids.
 PRODUCT = 1 << 23
 
@@ -286,8 +289,9 @@ def train_cells(index: DataFrame, vector: str = "embedding", cells: int | None =
 class CellIndex:
     """An index stored by cell: ``path/vectors`` has a folder per cell, ``path/cells`` a row per cell.
 
-    A search reads only the folders of the cells that some query probes, and compares a query only
-    with the vectors of its own cells.
+    Where a cell has too few vectors for a folder, neighbours in number share one and lie in order
+    within its files.  A search reads only the folders of the cells that some query probes, and
+    compares a query only with the vectors of its own cells.
     """
 
     spark: SparkSession
@@ -306,26 +310,30 @@ class CellIndex:
             return pa.array(nearest(list_matrix(batch, shared.value.shape[1] or None), shared.value).astype(np.int32))
 
         rows = index.where(F.exists(vector, lambda x: x != 0)).select(id_, vector)
-        celled = rows.withColumn("cell", cell(col(vector)))
-        celled.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
+        cells = max(1, len(shared.value))
+        folders = max(1, min(cells, rows.count() // PER_FOLDER))
+        folder = F.floor(col("cell") * folders / cells).cast("int")
+        celled = rows.withColumn("cell", cell(col(vector))).withColumn("folder", folder)
+        celled.hint("rebalance", "folder").sortWithinPartitions("folder", "cell").write.partitionBy("folder").parquet(f"{path}/vectors")
         made = cls(spark, path, id_, vector)
         sizes = made._vectors(rows.schema).groupBy("cell").count()
         known = [(c, v.tolist()) for c, v in enumerate(shared.value)]
         known = spark.createDataFrame(known, "cell int, centroid array<double>").join(F.broadcast(sizes), "cell", "left")
-        known.select("cell", "centroid", F.coalesce("count", F.lit(0)).alias("size")).coalesce(1).write.parquet(f"{path}/cells")
+        size = F.coalesce("count", F.lit(0)).alias("size")
+        known.select("cell", "centroid", size, folder.alias("folder")).coalesce(1).write.parquet(f"{path}/cells")
         rows.limit(0).write.parquet(f"{path}/shape")
         return made
 
     def _vectors(self, schema: T.StructType) -> DataFrame:
         """All vectors with their cell; the schema is given as an index may hold no file."""
-        whole = T.StructType([*schema.fields, T.StructField("cell", T.IntegerType())])
+        whole = T.StructType([*schema.fields, *(T.StructField(c, T.IntegerType()) for c in ("cell", "folder"))])
         return self.spark.read.schema(whole).parquet(f"{self.path}/vectors")
 
     def vectors(self) -> DataFrame:
         return self._vectors(self.spark.read.parquet(f"{self.path}/shape").schema)
 
     def _stored_cells(self) -> DataFrame:
-        """(cell, centroid, size); at most ``MOST_CELLS`` rows."""
+        """(cell, centroid, size, folder); at most ``MOST_CELLS`` rows."""
         return self.spark.read.parquet(f"{self.path}/cells")
 
     def _cells(self) -> tuple[np.ndarray, np.ndarray]:
@@ -366,9 +374,11 @@ class CellIndex:
         """(query_id, id, score, rank) among the probed cells; scores are exact."""
         ship_package(self.spark)
         each = probes.select(F.explode("cells").alias("cell"), "_query", self.vector)
-        # cell numbers, at most MOST_CELLS; folders of other cells are not listed into the scan
-        wanted = [r[0] for r in each.select("cell").distinct().collect()]
-        vectors = self.vectors().where(col("cell").isin(wanted)) if wanted else self.vectors().limit(0)
+        # cell numbers, at most MOST_CELLS; other folders are not opened
+        probed = self._stored_cells().select("cell", "folder").join(each.select("cell").distinct(), "cell", "left_semi").collect()
+        folders = sorted({r["folder"] for r in probed})
+        near = col("folder").isin(folders) & col("cell").isin([r["cell"] for r in probed])
+        vectors = self.vectors().where(near) if probed else self.vectors().limit(0)
         asked = packed(each.hint("rebalance", "cell"), "_query", self.vector, keep_zeros=True)
         slices = F.greatest(F.lit(1), F.ceil(col("size") * F.size("centroid") * 8 / SLICE_BYTES)).cast("int")
         known = F.broadcast(self._stored_cells().select("cell", slices.alias("slices")))

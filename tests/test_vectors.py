@@ -105,7 +105,8 @@ def test_trained_cells(spark, tmp_path, shape):
     assert all(abs(r["d"]) < 1e-12 for r in both.collect())
 
 
-def test_a_search_opens_the_probed_cells_only(spark, tmp_path):
+def test_a_search_opens_the_probed_cells_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "PER_FOLDER", 1)
     data = grouped(600, 16, 12, 7)
     index = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, embedding array<float>")
     cells = search.CellIndex.build(index, str(tmp_path / "cells"), cells=30)
@@ -114,7 +115,9 @@ def test_a_search_opens_the_probed_cells_only(spark, tmp_path):
     probed = probes.first()["cells"]
     read = cells.vectors().where(col("cell").isin(probed))
     scan = cells.search(probes, 5)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*cell", scan)
+    assert re.search(r"PartitionFilters: \[[^\]]*folder", scan)
+    folders = [f for f in (tmp_path / "cells" / "vectors").iterdir() if f.name.startswith("folder=")]
+    assert len(folders) == cells.vectors().select("cell").distinct().count() > 20
     assert cells.compared(probes).first()["compared"] == read.count() <= 60
 
 
