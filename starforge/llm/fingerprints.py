@@ -111,8 +111,11 @@ def compared_with_edits(docs: DataFrame, id_: str = "doc_id", text: str = "text"
 
     The edited text has its last half, floor(n / 2) code points, replaced by the first as many
     of the next document by descending id (all, if it has fewer).  Returns id, n_chars, edited,
-    sketch, edited_sketch, next_sketch.  A null text is an empty one.  Other columns are ignored;
-    an empty table gives an empty result.
+    sketch, edited_sketch, next_sketch.  A null text is an empty one.  A text of any length is sketched
+    whole; a sketch has about an eighth of its shingles.  A text with no hash below the fraction, as
+    a short one may be, keeps its smallest, so its likeness to others is 0 or 1; a larger fraction for
+    short texts would make sketches that cannot be merged or compared.  Repeated rows follow each
+    other in the order.  Other columns are ignored; an empty table gives an empty result.
     """
     plain = docs.select(col(id_), F.coalesce(text, F.lit("")).alias(text))
     n = F.char_length("_text")

@@ -194,7 +194,8 @@ def scored(
     """``docs`` with the chance of label 1 for every whole text, null and empty ones too.
 
     Repeated rows get equal scores, a null length counts as the text's own, and other columns
-    are kept; the column ``name`` is replaced.  There is no shuffle.
+    are kept; the column ``name`` is replaced.  A text of any length is read whole, in time linear in
+    it.  An empty table stays empty.  There is no shuffle.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)

@@ -223,7 +223,8 @@ def scan(
     Columns of these two names are replaced.
 
     Spans count in code points, stops are exclusive, kinds are numbers in :data:`KINDS`.  Null and
-    empty texts have no spans; repeated rows get equal ones; an empty table gives an empty result.
+    empty texts have no spans; repeated rows get equal ones; an empty table gives an empty result.  A
+    text of any length is read whole, and takes time linear in its matches but for a sort of them.
     The text is read once: spans and scored candidates are stored, then the bound is taken from
     the counts of all candidates, at most a few thousand.
     """

@@ -134,8 +134,9 @@ def near_duplicates(
     Documents with equal fingerprints are one class; classes link at ``most_bits`` differing
     bits or fewer, and ``component_id`` is the smallest id reachable.  Null and empty texts have
     fingerprint zero and link like any other.  A document without an id gets its component's
-    smallest id, which is null if no member has one.  Repeated rows each get their row.  An empty
-    table gives an empty result, and other columns are ignored.
+    smallest id, which is null if no member has one.  Repeated rows each get their row.  A text of
+    any length is read whole, once, where it lies; only fingerprints move.  An empty table gives an
+    empty result, and other columns are ignored.
     """
     found = _rooted(docs, id_, text, words, most_bits, [])
     return found.select(col("_id").alias(id_), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

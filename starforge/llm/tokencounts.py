@@ -127,7 +127,8 @@ def with_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_pretokens`` and ``n_tokens`` of every whole text; nothing is shuffled.
 
     Null and empty texts have none of either; rows are kept with their other columns, repeated
-    ones too; columns of these two names are replaced; an empty table stays empty.
+    ones too; columns of these two names are replaced; an empty table stays empty.  Texts of any
+    length are counted whole, a batch's distinct pre-tokens at a time.
     """
     kept = F.struct(*[c for c in docs.columns if c not in ("n_pretokens", "n_tokens")])
     found = docs.select(kept.alias("kept"), counter(docs.sparkSession, path)(col(text)).alias("counts"))
