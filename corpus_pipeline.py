@@ -11,7 +11,8 @@ All but the last keep the columns of ``documents`` and no others.
 5. tokens: whole texts are encoded.
 
 Null and empty texts, null ids, repeated rows, empty tables and further columns are handled as
-each operator states; rows that are repeated are one document from the second stage on.
+each operator states; rows that are repeated are one document from the second stage on.  Texts of any
+length pass whole, each within one task.
 """
 
 from __future__ import annotations
