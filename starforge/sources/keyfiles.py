@@ -77,7 +77,7 @@ def candidates(spark: SparkSession, paths: list[str], wanted: DataFrame, keys: l
     asked = wanted.select(_hash(0, keys).alias("h"), _bits(keys).alias("bits"))
     asked = asked.withColumn("buckets", F.explode(F.lit(sorted(set(sizes.values()))).cast("array<long>")))
     asked = asked.withColumn("bucket", F.pmod("h", "buckets"))
-    bitmaps = spark.read.parquet(*[f"{path}/bits" for path in paths]).where(col("_file").isin(list(sizes)))
+    bitmaps = spark.read.parquet(*[f"{path}/bits" for path in paths]).join(near.select("_file"), "_file", "left_semi")
     hit = F.forall("bits", lambda b: _is_set(col("bitmap"), b))
     found = bitmaps.join(asked, ["buckets", "bucket"]).where(hit).select("_file").distinct()
     return sorted(r["_file"] for r in found.collect())
