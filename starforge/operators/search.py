@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 from math import ceil
 
 import numpy as np
@@ -195,10 +196,14 @@ def top_k_cosine(
     whole = F.lit(0).alias("cell")
     asked = packed(queries.select(whole, col(query_id).alias("_query"), vector), "_query", vector, keep_zeros=True)
     blocks = packed(candidates.select(whole, id_, vector), id_, vector)
-    # a block has the ids of a megabyte, so the number of rows tells the number of slices
-    rows, dim = candidates.count(), candidates.select(F.size(vector)).where(col(vector).isNotNull()).first()
-    slices = max(1, ceil(rows * (dim[0] if dim else 0) * 8 / SLICE_BYTES))
-    return _searched(blocks, asked, lambda df: df.withColumn("slices", F.lit(slices)), k, id_)
+
+    @cache
+    def slices() -> int:
+        """Only asked for if queries are copied to slices; the number of rows tells it."""
+        rows, dim = candidates.count(), candidates.select(F.size(vector)).where(col(vector).isNotNull()).first()
+        return max(1, ceil(rows * (dim[0] if dim else 0) * 8 / SLICE_BYTES))
+
+    return _searched(blocks, asked, lambda df: df.withColumn("slices", F.lit(slices())), k, id_)
 
 
 # --------------------------------------------------------------------------- trained cells
