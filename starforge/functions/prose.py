@@ -6,10 +6,11 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import groupby, pairwise
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starforge.functions.batches import text_parts
 from starforge.functions.columns import SPACE, WORD, collapse_spaces, strip_spaces
 from starforge.functions.markup import strip_html
 
@@ -133,8 +134,9 @@ def chunk_text(text: str, limit: int = MAX_CHARS, overlap: int = OVERLAP_CHARS)
 def chunks(c: Column, limit: int = MAX_CHARS, overlap: int = OVERLAP_CHARS) -> Column:
     """Array of the chunks of a text; the whole text is covered."""
 
-    @F.pandas_udf("array<string>")
-    def split(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda text: chunk_text(text, limit, overlap), na_action="ignore")
+    @F.arrow_udf("array<string>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_parts(batches):
+            yield pa.array([None if t is None else chunk_text(t, limit, overlap) for t in texts], pa.list_(pa.string()))
 
     return split(c)

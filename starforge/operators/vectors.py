@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starforge.functions.batches import text_parts
 from starforge.operators import loads
 from starforge.operators.relational import keys_of
 from starforge.operators.search import unit_rows
@@ -21,6 +22,9 @@ col = F.col
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+# Words whose hash an encoder keeps.
+KNOWN_WORDS = 1 << 14
+
 
 # --------------------------------------------------------------------------- embedding
 
@@ -28,7 +32,7 @@ Encoder = Callable[[list[str]], np.ndarray]
 def hashing_encoder(dim: int = 384) -> Encoder:
     """Word counts hashed to ``dim`` signed buckets: a stand-in where no language model is at hand."""
     words = re.compile(r"\w+").findall
-    hashed = lru_cache(100_000)(lambda word: zlib.crc32(word.encode()))
+    hashed = lru_cache(KNOWN_WORDS)(lambda word: zlib.crc32(word.encode()))
 
     def encode(texts: list[str]) -> np.ndarray:
         found = [[hashed(w) for w in words(text.lower())] for text in texts]
@@ -42,14 +46,13 @@ def hashing_encoder(dim: int = 384) -> Encoder:
 
 
 def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = hashing_encoder, out: str = "embedding") -> DataFrame:
-    """Add unit vectors of ``text``; the encoder is built once per task."""
+    """Add unit vectors of ``text``; the encoder is built once per task and called for parts of a batch."""
 
     @F.arrow_udf("array<float>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = make_encoder()
-        for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            vectors = unit_rows(np.asarray(encoder(texts), dtype=np.float64)).astype(np.float32)
+        for texts in text_parts(batches):
+            vectors = unit_rows(np.asarray(encoder([t or "" for t in texts]), dtype=np.float64)).astype(np.float32)
             ends = np.arange(len(texts) + 1, dtype=np.int32) * vectors.shape[1]
             yield pa.ListArray.from_arrays(ends, pa.array(vectors.ravel()))
 

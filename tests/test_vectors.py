@@ -1,10 +1,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from starforge.functions.batches import text_parts
 from starforge.operators import search
 from starforge.operators import vectors as v
 
@@ -164,6 +166,30 @@ def test_embedding_and_index_update(spark):
     assert rows(merged, "chunk_id", "text") == [("a-0", "payment failed"), ("a-1", "Payment FAILED"), ("b-0", "other words")]
 
 
+def test_encoders_and_chunks_work_in_bounded_parts(spark):
+    """A batch of many or long texts is not encoded at once."""
+
+    def encoder():
+        def encode(texts):
+            if len(texts) > 512 or sum(len(t) for t in texts) > 1 << 20 and len(texts) > 1:
+                raise ValueError(f"{len(texts)} texts at once")
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return encode
+
+    texts = ["a" * (n % 7) for n in range(3000)] + ["b" * 700_000, None, "c" * 700_000, "d" * 1_500_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    found = {r["n"]: r["embedding"] for r in v.embed(df, "text", encoder).select("n", "embedding").collect()}
+    assert len(found) == len(texts)
+    for n, t in enumerate(texts):
+        assert found[n] == pytest.approx(search.unit_rows(np.array([[len(t or ""), 1.0]]))[0], rel=1e-6)
+
+
+def test_parts_of_batches():
+    parts = list(text_parts([pa.array(["aa", None, "b", "cccccc", "d"]), pa.array([], pa.string()), pa.array(["e"])], rows=2, size=4))
+    assert parts == [["aa", None], ["b"], ["cccccc"], ["d"], ["e"]]
+
+
 def test_context(spark):
     queries = spark.createDataFrame([(1,), (2,)], "query_id int")
     hits = spark.createDataFrame(
