@@ -221,6 +221,20 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inne
     return a.join(right, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# Tasks that rows without a key are dealt over.
+KEYLESS_PARTS = 64
+
+
+def join_optional(a: DataFrame, b: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """As :func:`join_null_safe`, where very many rows of ``a`` have no key.
+
+    They are dealt over tasks by ``by``, and the few rows of ``b`` without a key are copied to each.
+    """
+    part = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(by), F.lit(KEYLESS_PARTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col(key).isNull(), F.sequence(F.lit(0), F.lit(KEYLESS_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return join_null_safe(a.withColumn("_part", part), b.withColumn("_part", F.explode(parts)), [key, "_part"], how).drop("_part")
+
+
 def join_clean_key(a: DataFrame, b: DataFrame, cleaned: Column, key: str, how: str = "inner") -> DataFrame:
     """Join on a key computed from ``a``; computed once per row, before the shuffle."""
     return a.withColumn(key, cleaned).join(b, key, how)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions import columns as c
-from starforge.operators.relational import cross_series, join_null_safe, keys_of, look_up
+from starforge.operators.relational import cross_series, join_null_safe, join_optional, keys_of, look_up
 from starforge.operators.windows import dense_key
 from starforge.session import cut_lineage, side_by_side
 
@@ -386,7 +386,8 @@ def fact_trips_marts(stg: DataFrame, dims: Lookups) -> DataFrame:
             f"{role}_location_id",
         )
     df = join_null_safe(df, dims.payment_method, ["payment_method_id"], "left")
-    df = join_null_safe(df, dims.promo_code, ["promo_code_id"], "left")
+    # most trips have no promo code
+    df = join_optional(df, dims.promo_code, "promo_code_id", "trip_id", "left")
     fare = col("base_fare") * col("surge_multiplier") + col("tip_amount") - col("discount_amount")
     fact = df.select(
         col("trip_id").alias("source_trip_id"), "date_key", "driver_key", "passenger_key", "pickup_location_key",

@@ -136,3 +136,17 @@ def test_states_of_partitions_add_up(spark, tmp_path):
     state.drop("p2")
     same([parts["p1"]])
     assert rows(parents.results(), "check", "n_bad") == [("unique_id", 1)]
+
+
+def test_keys_are_counted_beside_those_of_their_parents(spark):
+    """Parents are counted along, not joined; whole numbers are compared as numbers, all else as text."""
+    df = spark.createDataFrame([(1, 1, "1"), (1, 2, "02"), (2, 2, None), (3, None, "2"), (None, 7, "x"), (None, 7, "x")], "a long, b int, c string")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "p long")
+    whole = [q.unique_key(["a"]), q.unique_key(["b"]), q.reference("b", parent, "p")]
+    mixed = [*whole, q.unique_key(["a", "b"]), q.reference("c", parent, "p")]
+    expected = [("unique_a", False, 1), ("unique_b", False, 2), ("relationships_b", False, 2), ("unique_a_b", True, 0), ("relationships_c", False, 3)]
+    for checks in (whole, mixed):
+        found = q.run_keys(df, checks)
+        assert [tuple(r) for r in found.collect()] == expected[: len(checks)]
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in q.run_keys(df, whole)._jdf.queryExecution().optimizedPlan().toString()

@@ -91,3 +91,21 @@ def test_above_average_and_group_max(spark):
     assert rows(r.above_average(df, "v")) == [("a", 3), ("b", 3), ("b", 3)]
     assert rows(r.rows_at_group_max(df, "g", "v")) == [("a", 3), ("b", 3), ("b", 3)]
     assert rows(r.usage_count(df.select("g").distinct(), df.where("g = 'a'"), "g", "n")) == [("a", 2), ("b", 0)]
+
+
+def test_rows_without_a_key_are_dealt_over_tasks(spark):
+    left = spark.range(2000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN id % 7 END AS k")
+    right = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c"), (None, "d"), (None, "e"), (9, "f")], "k long, v string")
+    for how in ("inner", "left"):
+        found = r.join_optional(left, right, "k", "id", how)
+        assert found.columns == ["id", "k", "v"]
+        assert rows(found) == rows(r.join_null_safe(left, right, ["k"], how))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = r.join_optional(left, right, "k", "id", "left").where("k IS NULL")
+        assert found.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
