@@ -215,8 +215,11 @@ MOST_CELLS, PER_CELL = 16384, 64
 # Vectors that a folder of a stored index should hold at least, on average.
 PER_FOLDER = 10_000
 
+# Cells whose sums a task passes on at once.
+SUMS = 1024
+
 # Numbers in a product of vectors and centroids.
-PRODUCT = 1 << 23
+PRODUCT = 1 << 20
 
 
 def nearest(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -237,9 +240,12 @@ def _cell_sums(centroids, vector: str):
             cell = nearest(rows, known)
             counts += np.bincount(cell, minlength=len(known))
             np.add.at(sums, cell, unit_rows(rows))
-        some = np.flatnonzero(counts)
-        totals = pa.array([sums[c] for c in some], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some]), totals], ["cell", "n", "total"])
+        cells = np.flatnonzero(counts)
+        for start in range(0, len(cells), SUMS):
+            some = cells[start : start + SUMS]
+            ends = np.arange(len(some) + 1, dtype=np.int32) * known.shape[1]
+            totals = pa.ListArray.from_arrays(ends, pa.array(sums[some].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some]), totals], ["cell", "n", "total"])
 
     return add
 

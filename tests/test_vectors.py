@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +150,31 @@ def test_cells_of_an_empty_index(spark, tmp_path):
     assert search.top_k_cosine(index, queries, 3).collect() == []
 
 
+def test_training_holds_small_products_and_passes_on_few_cells(spark):
+    """The memory of a task does not follow its vectors times the cells."""
+    rng = np.random.default_rng(4)
+    known = search.unit_rows(rng.standard_normal((4096, 8)))
+    data = rng.standard_normal((6000, 8))
+    tracemalloc.start()
+    cell = search.nearest(data, known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    assert cell.tolist() == np.argmax(search.unit_rows(data) @ known.T, axis=1).tolist()
+
+    class Shared:
+        value = known
+
+    lists = pa.ListArray.from_arrays(np.arange(6001, dtype=np.int32) * 8, pa.array(data.ravel()))
+    parts = list(search._cell_sums(Shared, "embedding")(iter([pa.RecordBatch.from_arrays([lists], ["embedding"])])))
+    assert max(p.num_rows for p in parts) <= search.SUMS < sum(p.num_rows for p in parts)
+    sums = {c: (n, t) for p in parts for c, n, t in zip(*(p.column(k).to_pylist() for k in ("cell", "n", "total")))}
+    assert sorted(sums) == np.unique(cell).tolist()
+    for c, (n, total) in sums.items():
+        own = search.unit_rows(data[cell == c])
+        assert n == len(own) and total == pytest.approx(own.sum(axis=0).tolist())
+
+
 def test_vectors_of_another_length_are_an_error(spark, queries):
     odd = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "vec_id long, embedding array<float>")
     with pytest.raises(Exception, match="numbers, not"):
